@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import importlib
 
-_QUERY_MODULES = ["q_overlap", "q_objects", "q_identity", "q_masks"]
-_ORACLE_MODULES = ["oracle_pixels", "oracle_objects", "oracle_identity", "oracle_masks"]
+_QUERY_MODULES = ["q_overlap", "q_objects", "q_identity", "q_masks", "q_stats"]
+_ORACLE_MODULES = ["oracle_pixels", "oracle_objects", "oracle_identity", "oracle_masks", "oracle_stats"]
 
 
 def queries() -> dict:

@@ -131,7 +131,7 @@ def field_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey * 10 + l_linenumber AS field_id", "l_returnflag AS line",
         "l_suppkey % 3 AS batch", "l_linestatus AS enhancer",
-        "l_discount * 1000 AS specificity_percent", "l_extendedprice AS density",
+        "l_discount * 1000 AS specificity_percent", "l_extendedprice / 1000 AS density",
     )
 
 
