@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import importlib
 
-_QUERY_MODULES = ["q_overlap", "q_objects", "q_identity", "q_masks", "q_stats"]
-_ORACLE_MODULES = ["oracle_pixels", "oracle_objects", "oracle_identity", "oracle_masks", "oracle_stats"]
+_QUERY_MODULES = ["q_overlap", "q_objects", "q_identity", "q_masks", "q_stats", "q_fields"]
+_ORACLE_MODULES = ["oracle_pixels", "oracle_objects", "oracle_identity", "oracle_masks", "oracle_stats",
+                   "oracle_fields"]
 
 
 def queries() -> dict:
