@@ -35,12 +35,11 @@ def merge(words: DataFrame, keys: list[str]) -> DataFrame:
 
 def unpack(words: DataFrame, keep: list[str]) -> DataFrame:
     """Words back to one row per pixel, with ``keep`` carried along."""
-    return words.select(
-        *keep, "y", F.expr(
-            "explode(transform(filter(sequence(0, 31), i -> getbit(bits, i) = 1), "
-            "i -> seg * 32 + i))"
-        ).alias("x"),
-    ).select(*keep, "x", "y")
+    b = F.col("bits")
+    spread = words.select(*keep, "y", "seg", "bits", F.explode(
+        F.sequence(lowest(b).cast("int"), highest(b).cast("int"))).alias("_i"))
+    return spread.where("getbit(bits, _i) = 1").select(
+        *keep, (F.col("seg") * SEGMENT + F.col("_i")).alias("x"), "y")
 
 
 def size(bits: Column) -> Column:

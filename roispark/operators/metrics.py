@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,13 +23,15 @@ def pixel_values(words: DataFrame, images: DataFrame, keep: list[str],
     """
     img = images.select(
         "acquisition_id", F.col("channel").alias("_signal"), "y", "seg", "pixel_values")
+    b = F.col("bits")
+    # Only the occupied stretch of a word is visited.
     return (
         words.withColumn("_signal", F.col(signal))
         .join(img, ["acquisition_id", "_signal", "y", "seg"])
+        .withColumn("_at", F.sequence(bits.lowest(b).cast("int"), bits.highest(b).cast("int")))
         .select(*keep, F.expr(
-            "filter(transform(filter(sequence(0, 31), i -> getbit(bits, i) = 1), "
-            "i -> get(pixel_values, i)), "
-            "v -> v IS NOT NULL AND NOT isnan(v) AND abs(v) < double('Infinity'))").alias("vals"))
+            "transform(filter(_at, i -> getbit(bits, i) = 1), "
+            "i -> cast(get(pixel_values, i) AS double))").alias("vals"))
     )
 
 
@@ -42,6 +45,7 @@ def intensity_stats(words: DataFrame, images: DataFrame, keys: list[str],
     per_word = pixel_values(words, images, keys, signal).repartition(*keys)
     return (
         per_word.select(*keys, F.explode("vals").alias("v"))
+        .where(F.col("v").isNotNull() & ~F.isnan("v") & (F.abs("v") < float("inf")))
         .groupBy(*keys)
         .agg(
             F.avg("v").alias("mean_intensity"),
@@ -68,39 +72,44 @@ def object_areas(words: DataFrame, keys: list[str] = OBJ) -> DataFrame:
 def hull_area(ys, lows, highs):
     """M6 helper: hull area over pixel centres from row extremes; null when degenerate.
 
-    Everything the worker needs is nested here, so it travels with the plan.
+    All objects of an Arrow batch are handled together: points are sorted per
+    object, and a point on or inside the line between its current neighbours
+    cannot be a hull vertex, so all such points are dropped at once until none is
+    left (lower and upper chain separately).
     """
-    def twice_area(points):
-        pts = sorted(set(points))
-        if len(pts) < 3:
-            return 0
-
-        def chain(seq):
-            out = []
-            for x, y in seq:
-                while len(out) > 1 and (
-                    (out[-1][0] - out[-2][0]) * (y - out[-2][1])
-                    - (out[-1][1] - out[-2][1]) * (x - out[-2][0])
-                ) <= 0:
-                    out.pop()
-                out.append((x, y))
-            return out[:-1]
-
-        ring = chain(pts) + chain(pts[::-1])
-        if len(ring) < 3:
-            return 0
-        turned = ring[1:] + ring[:1]
-        return abs(sum(p[0] * q[1] - p[1] * q[0] for p, q in zip(ring, turned)))
+    def chain_sum(obj, x, y, sign):
+        while True:
+            same = (obj[2:] == obj[:-2])
+            turn = (x[1:-1] - x[:-2]) * (y[2:] - y[:-2]) - (y[1:-1] - y[:-2]) * (x[2:] - x[:-2])
+            drop = np.zeros(len(obj), dtype=bool)
+            drop[1:-1] = same & (sign * turn <= 0)
+            if not drop.any():
+                break
+            obj, x, y = obj[~drop], x[~drop], y[~drop]
+        edge = obj[1:] == obj[:-1]
+        return obj[1:][edge], sign * (x[:-1] * y[1:] - y[:-1] * x[1:])[edge]
 
     def area(y: pd.Series, lo: pd.Series, hi: pd.Series) -> pd.Series:
-        out = []
-        for rows, left, right in zip(y, lo, hi):
-            rows = rows.tolist()
-            twice = twice_area([*zip(left.tolist(), rows), *zip(right.tolist(), rows)])
-            out.append(twice / 2.0 if twice else None)
-        return pd.Series(out, dtype="float64")
-
-    return F.pandas_udf(area, T.DoubleType())(ys, lows, highs)
+        count = len(y)
+        if count == 0:
+            return pd.Series([], dtype="float64")
+        owner = np.repeat(np.arange(count), [len(v) for v in y])
+        rows = np.concatenate(y.to_numpy()).astype(np.int64)
+        xs = np.concatenate([np.concatenate(lo.to_numpy()), np.concatenate(hi.to_numpy())]).astype(np.int64)
+        obj, yy = np.concatenate([owner, owner]), np.concatenate([rows, rows])
+        order = np.lexsort((yy, xs, obj))
+        obj, xs, yy = obj[order], xs[order], yy[order]
+        fresh = np.ones(len(obj), dtype=bool)
+        fresh[1:] = (obj[1:] != obj[:-1]) | (xs[1:] != xs[:-1]) | (yy[1:] != yy[:-1])
+        obj, xs, yy = obj[fresh], xs[fresh], yy[fresh]
+        twice = np.zeros(count, dtype=np.int64)
+        for sign in (1, -1):
+            at, part = chain_sum(obj, xs, yy, sign)
+            np.add.at(twice, at, part)
+        return pd.Series(np.where(twice > 0, twice / 2.0, np.nan))
+
+    hull = F.pandas_udf(area, T.DoubleType())(ys, lows, highs)
+    return F.when(~F.isnan(hull), hull)
 
 
 def shape_sums(words: DataFrame, keys: list[str] = OBJ) -> DataFrame:

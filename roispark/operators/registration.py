@@ -115,9 +115,15 @@ def assign_pairs(pairs: DataFrame, gate_px: float, bounded: bool = True) -> Data
         def cheapest(cost):
             """Shortest augmenting paths; column j gets row owner[j], or none."""
             n, m = cost.shape
-            u, v = np.zeros(n), np.zeros(m)
-            owner = np.full(m, -1)
-            for row in range(n):
+            # Row minima are feasible duals; rows with a free best column are done at once.
+            u, v = cost.min(axis=1), np.zeros(m)
+            owner, waiting = np.full(m, -1), []
+            for row, j in enumerate(cost.argmin(axis=1)):
+                if owner[j] < 0:
+                    owner[j] = row
+                else:
+                    waiting.append(row)
+            for row in waiting:
                 dist, back = np.full(m, np.inf), np.full(m, -1)
                 done = np.zeros(m, dtype=bool)
                 i, j0, base = row, -1, 0.0

@@ -22,6 +22,8 @@ def build_session(app: str = "roispark", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Sorting is skipped only where every partition of the smaller side was measured to fit.
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }

@@ -55,15 +55,15 @@ def label_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def image_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fluorescence images as 32-pixel row blocks aligned with the bit-row words."""
+    """Fluorescence images (integer grey levels) as 32-pixel row blocks aligned with the words."""
     return (
         objects(spark, sf_dir).select(*K).distinct()
         .selectExpr("*", f"explode(sequence(0L, {CANVAS - 1}L)) AS y")
         .selectExpr("*", f"explode(sequence(0L, {CANVAS // 32 - 1}L)) AS seg")
         .selectExpr(
-            *K, "y", "seg",
-            "transform(sequence(0, 31), i -> cast(((seg * 32 + i) * 131 + y * 17 "
-            "+ (acquisition_id + 1) * (channel + 1) * 29) % 4096 AS double)) AS pixel_values")
+            *K, "y", "seg", "array(" + ", ".join(
+                f"cast(((seg * 32 + {i}) * 131 + y * 17 + (acquisition_id + 1) * (channel + 1) * 29) % 4096 AS int)"
+                for i in range(32)) + ") AS pixel_values")
     )
 
 
@@ -79,13 +79,12 @@ def stack_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .selectExpr("*", f"explode(sequence(0L, {MASK_CANVAS - 1}L)) AS y")
         .selectExpr("*", "explode(sequence(0L, 1L)) AS seg")
         .selectExpr(
-            *K, "z", "y", "seg",
-            "transform(sequence(0, 31), i -> cast(CASE WHEN z <= 1 + acquisition_id % 3 "
-            f"AND y < {MASK_CANVAS} - acquisition_id % 9 "
-            f"AND seg * 32 + i < {MASK_CANVAS} - channel * 5 - acquisition_id % 4 "
-            "THEN ((seg * 32 + i) * 131 + y * 17 + (z + 1) * 7 "
-            "+ (acquisition_id + 1) * (channel + 1) * 29) % 4096 ELSE 0 END AS double)) "
-            "AS pixel_values")
+            *K, "z", "y", "seg", "array(" + ", ".join(
+                f"cast(CASE WHEN z <= 1 + acquisition_id % 3 AND y < {MASK_CANVAS} - acquisition_id % 9 "
+                f"AND seg * 32 + {i} < {MASK_CANVAS} - channel * 5 - acquisition_id % 4 "
+                f"THEN ((seg * 32 + {i}) * 131 + y * 17 + (z + 1) * 7 "
+                "+ (acquisition_id + 1) * (channel + 1) * 29) % 4096 ELSE 0 END AS int)"
+                for i in range(32)) + ") AS pixel_values")
     )
 
 
