@@ -109,8 +109,9 @@ def test_descriptives_edge_cases(spark):
     assert got["one"].sample_variance is None and got["one"].n_100 == 1 and got["one"].median == 100
     assert got["two"].sample_sd == pytest.approx(np.std([0, 100], ddof=1)) and got["two"].n_zero == 1
     assert got["none"].n_valid == 0 and got["none"].n_missing == 1 and got["none"].mean is None
-    grid = stats.variance_matrix(df, ("line", ["one", "two", "x"]), ("line2", ["p"])) if False else None
-    assert grid is None
+    cells = df.withColumn("batch", F.lit("p"))
+    grid = {r.line: r for r in stats.variance_matrix(cells, ("line", ["one", "two", "x"]), ("batch", ["p"])).collect()}
+    assert grid["x"].n_total == 0 and grid["x"].sample_variance is None and grid["two"].n_valid == 2
 
 
 def test_anova_family(spark):
