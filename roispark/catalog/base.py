@@ -76,6 +76,7 @@ def areas(spark, sf_dir):
     return metrics.object_areas(words(spark, sf_dir))
 
 
+@shared_table("sizes")
 def sizes(spark, sf_dir):
     return fixtures.pixel_sizes(spark, sf_dir)
 

@@ -84,8 +84,7 @@ cte("matches", "SELECT g.q AS acquisition_id, g.ca AS channel_a, g.cb AS channel
 cte("cells", f"SELECT *, row_number() OVER (PARTITION BY {KP} ORDER BY object_a, object_b) AS cell_id FROM matches")
 cte("organoid_rows", """SELECT o_orderkey // 600 AS acquisition_id, 1 + o_orderkey % 2 AS image_number,
  o_orderkey AS object_number, CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 17 = 0 THEN -1.0
- ELSE cast(4000 + o_custkey AS double) END AS area_shape_area
- FROM orders WHERE o_orderkey % 600 < 2 OR o_orderkey % 100 = 0""")
+ ELSE cast(4000 + o_custkey AS double) END AS area_shape_area FROM orders""")
 cte("organoid_area", """SELECT acquisition_id, sum(area_shape_area) AS organoid_area_px
  FROM organoid_rows WHERE area_shape_area IS NOT NULL GROUP BY 1""")
 cte("organoid_area_pos", """SELECT acquisition_id, sum(area_shape_area) AS organoid_area_px, count(*) AS organoid_count

@@ -34,17 +34,33 @@ def ranked(df: DataFrame, keys: list[str], order: list[Column | str],
     per_group = Window.partitionBy(*keys)
     before = F.sum("_size").over(
         per_group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = pieces.select(
+    # At most one row per group and range partition.  Written, so that its true size
+    # decides whether the sorted rows must be shuffled once more for this join.
+    offsets = materialize(pieces.select(
         *keys, "_part",
         (F.coalesce(before, F.lit(0)) - F.col("_first") + 1).alias("_shift"),
         F.sum("_size").over(per_group).alias("_total"),
-    )
+    ))
     out = placed.join(offsets, [*keys, "_part"]).withColumn(rank, F.col("_row") + F.col("_shift"))
     if total:
         out = out.withColumn(total, F.col("_total"))
     return out.drop("_row", "_part", "_shift", "_total")
 
 
+def first_rows(df: DataFrame, groups: list[str], order: list[str], size: int,
+               salts: int = 256) -> DataFrame:
+    """The first ``size`` rows of each group in ``order`` (unique inside a group).
+
+    Two levels: the best of every salted sub-group, then the best of those.  The
+    last step sees at most ``salts * size`` rows of a group.
+    """
+    salted = df.withColumn("_salt", F.pmod(F.hash(*order), F.lit(salts)))
+    for partition in ([*groups, "_salt"], groups):
+        rank = F.row_number().over(Window.partitionBy(*partition).orderBy(*order))
+        salted = salted.withColumn("_rank", rank).where(F.col("_rank") <= size).drop("_rank")
+    return salted.drop("_salt")
+
+
 def value_positions(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Distinct values with multiplicity and position: ``(keys, value, times, below, n)``.
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roispark.functions.ranking import group_quantiles, ranked
+from roispark.functions.ranking import first_rows, group_quantiles, ranked
 from roispark.schema import K, KP, OBJ
 
 # Report constants.
@@ -51,13 +51,10 @@ def sample_rows(df: DataFrame, groups: list[str], ids: list[str], size: int,
                 seed: int = SEED) -> DataFrame:
     """At most ``size`` rows per group without replacement, repeatable.
 
-    Order is a digest of seed and key.  The rank filter is applied per task before
-    the shuffle, so a large group sends only ``size`` rows per task.
+    Order is a digest of seed and key.
     """
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in [*groups, *ids]]))
-    window = Window.partitionBy(*groups).orderBy(digest, *ids)
-    return df.withColumn("_pick", F.row_number().over(window)).where(
-        F.col("_pick") <= size).drop("_pick")
+    return first_rows(df.withColumn("_digest", digest), groups, ["_digest", *ids], size).drop("_digest")
 
 
 def histogram(metrics: DataFrame, metric: str, bins: int = HISTOGRAM_BINS,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from roispark.functions.ranking import quantile_columns, value_positions
 from roispark.schema import INTENSITY_METRICS, K, OBJ, SHAPE_METRICS, Rule, validate_rules
+from roispark.session import materialize
 from roispark.sources.io import finite
 
 
@@ -42,7 +43,8 @@ def apply_gate(metrics: DataFrame, rules: list[Rule], allowed: tuple[str, ...],
     enabled = validate_rules(rules, allowed)
     out = metrics
     if enabled:
-        out = out.join(cutoffs(metrics, enabled, keys), keys, "left")
+        # One row per channel; written, so that its true size decides how it is joined.
+        out = out.join(materialize(cutoffs(metrics, enabled, keys)), keys, "left")
     passes = []
     for rule in rules:
         name = f"pass_{rule.metric}"

@@ -2,7 +2,7 @@
 
 A current object is the source object with exactly the same pixels; ids only
 support that.  Candidates come from an equi-join on a fingerprint of the bit-row
-words and are confirmed word by word, so a hash collision cannot pass.
+words and are confirmed word by word, so a hash collision never links two sets.
 """
 
 from __future__ import annotations
@@ -28,29 +28,33 @@ NOT_SELECTED = "not_selected_by_constrained_stable_matching"
 
 def fingerprints(words: DataFrame, keys: list[str]) -> DataFrame:
     """Order-independent digest of each pixel set; combines map-side."""
-    h = F.xxhash64("y", "seg", "bits")
     return words.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_words"), F.sum(bits.size(F.col("bits"))).alias("_px"),
-        F.bit_xor(h).alias("_xor"))
+        F.bit_xor(F.xxhash64("y", "seg", "bits")).alias("_xor"),
+        F.bit_xor(F.xxhash64(F.lit(1), "bits", "y", "seg")).alias("_xor2"))
 
 
 def equal_sets(current: DataFrame, source: DataFrame, within: list[str]) -> DataFrame:
-    """Pairs ``(within, current_id, source_id)`` of identical pixel sets.
+    """Per current set with an identical source set: ``(within, current_id, source_id, copies)``.
 
     ``current``/``source`` are words keyed by ``within`` + ``current_id``/``source_id``.
+    Copies among the sources are reduced to their lowest id and their number before
+    the join, so many equal sets never form pairs; the match is then confirmed
+    against that one source, word by word.
     """
-    digest = ["_words", "_px", "_xor"]
-    cand = fingerprints(current, [*within, "current_id"]).join(
-        fingerprints(source, [*within, "source_id"]), [*within, *digest]
-    ).select(*within, "current_id", "source_id", "_words")
+    digest = ["_words", "_px", "_xor", "_xor2"]
+    classes = fingerprints(source, [*within, "source_id"]).groupBy(*within, *digest).agg(
+        F.min("source_id").alias("source_id"), F.count(F.lit(1)).alias("copies"))
+    cand = fingerprints(current, [*within, "current_id"]).join(classes, [*within, *digest]).select(
+        *within, "current_id", "source_id", "copies", "_words")
     at = ["y", "seg", "bits"]
     agree = (
         cand.join(current.select(*within, "current_id", *at), [*within, "current_id"])
         .join(source.select(*within, "source_id", *at), [*within, "source_id", *at])
-        .groupBy(*within, "current_id", "source_id", "_words")
+        .groupBy(*within, "current_id", "source_id", "copies", "_words")
         .agg(F.count(F.lit(1)).alias("_agree"))
     )
-    return agree.where("_agree = _words").select(*within, "current_id", "source_id")
+    return agree.where("_agree = _words").select(*within, "current_id", "source_id", "copies")
 
 
 def resolve_identities(current_words: DataFrame, current_ids: DataFrame, source_words: DataFrame,
@@ -83,8 +87,8 @@ def resolve_identities(current_words: DataFrame, current_ids: DataFrame, source_
         current_words.withColumnRenamed("object_id", "current_id"),
         source_words.withColumnRenamed("object_id", "source_id").join(markers, [*K, "source_id"], "left_semi"),
         K,
-    ).groupBy(*K, F.col("current_id").alias("object_id")).agg(
-        F.count(F.lit(1)).alias("_sets"), F.min("source_id").alias("_source"))
+    ).select(*K, F.col("current_id").alias("object_id"), F.col("copies").alias("_sets"),
+             F.col("source_id").alias("_source"))
     by_roi = mapping.select(*K, F.col("marker_id").alias("_roi_key"), F.col("marker_id").alias("_from_roi"))
     by_cell = mapping.select(*K, F.col("cell_id").alias("_cell_key"), F.col("marker_id").alias("_from_cell"))
     out = (

@@ -36,35 +36,35 @@ def preferences(edges: DataFrame, keys: list[str] = KP, score: str = "a_percent_
 def stable_matching(edges: DataFrame, keys: list[str] = KP, score: str = "a_percent_inside_b",
                     block: int = BLOCK) -> DataFrame:
     """K2: matches ``(keys, object_a, object_b, score)`` for all groups in lockstep."""
+    # First choices lie in a folder of their own: the first round is a plain scan of it,
+    # later rounds read only the rest.
     prefs = materialize(
         ranked(edges.select(*keys, "object_a", "object_b", F.col(score).alias("score")),
                [*keys, "object_a"], [F.col("score").desc(), F.col("object_b")],
-               "pref_rank", "options")
-    )
+               "rank", "options").withColumn("first_choice", F.col("rank") == 1), ["first_choice"])
     one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
-    proposers = prefs.where("pref_rank = 1").select(
-        *keys, "object_a", one.alias("next_rank"), F.col("object_a").alias("pos"))
-    holders = None
-    waiting = prefs.where("pref_rank = 1").count()
+    columns = [*keys, "object_b", "object_a", "score", "rank", "options"]
+    first, later = (prefs.where(c).select(*columns) for c in ("first_choice", "NOT first_choice"))
+    proposers = holders = None
+    waiting = first.count()
     while waiting:
-        proposals = prefs.join(
-            proposers.withColumnRenamed("next_rank", "pref_rank"), [*keys, "object_a", "pref_rank"]
-        ).select(*keys, "object_b", "object_a", "score", F.col("pref_rank").alias("rank"),
-                 "options", one.alias("fresh"), "pos")
+        if proposers is None:
+            proposals = first.withColumn("pos", F.col("object_a"))
+        else:
+            proposals = later.join(proposers, [*keys, "object_a", "rank"])
+        proposals = proposals.select(*columns, one.alias("fresh"), "pos")
         events = proposals
         if holders is not None:
             events = proposals.unionByName(
-                holders.select(*keys, "object_b", "object_a", "score", "rank", "options",
-                               zero.alias("fresh"), zero.alias("pos")))
+                holders.select(*columns, zero.alias("fresh"), zero.alias("pos")))
         state = materialize(_play(events, keys, block if waiting > block else None))
-        holders = state.where("holds").select(
-            *keys, "object_b", "object_a", "score", "rank", "options")
+        holders = state.where("holds").select(*columns)
         proposers = state.where("loser IS NOT NULL AND loser.rank < loser.options").select(
             *keys, F.col("loser.object_a").alias("object_a"),
-            (F.col("loser.rank") + 1).alias("next_rank"), "pos")
+            (F.col("loser.rank") + 1).alias("rank"), "pos")
         waiting = proposers.count()
     if holders is None:
-        return prefs.select(*keys, "object_a", "object_b", "score").limit(0)
+        return prefs.select(*keys, "object_a", "object_b", "score")
     return holders.select(*keys, "object_a", "object_b", "score")
 
 

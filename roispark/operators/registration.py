@@ -9,9 +9,10 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roispark.functions.ranking import first_rows, group_quantiles
 from roispark.operators.graph import connected_components
 from roispark.session import materialize
 
@@ -30,8 +31,7 @@ def spatial_subsample(points: DataFrame, max_points: int = MAX_POINTS, seed: int
                       keys: list[str] = ["acquisition_id"]) -> DataFrame:
     """The first point of every grid cell, then a repeatable random fill.
 
-    Both steps are per-task limits: the cell step is a min aggregate, the fill a
-    rank filter that Spark applies before its shuffle.
+    The cell step is a min aggregate, the fill a two-level rank limit.
     """
     if max_points <= 0:
         return points
@@ -49,11 +49,9 @@ def spatial_subsample(points: DataFrame, max_points: int = MAX_POINTS, seed: int
     first = placed.groupBy(*keys, "_cx", "_cy").agg(F.min("object_id").alias("object_id")).select(
         *keys, "object_id", F.lit(0).alias("_later"))
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in [*keys, "object_id"]]))
-    order = Window.partitionBy(*keys).orderBy("_later", "_digest", "object_id")
-    ranked = placed.join(first, [*keys, "object_id"], "left").withColumn(
+    placed = placed.join(first, [*keys, "object_id"], "left").withColumn(
         "_later", F.coalesce("_later", F.lit(1))).withColumn("_digest", digest)
-    return ranked.withColumn("_rank", F.row_number().over(order)).where(
-        F.col("_rank") <= max_points).select(*points.columns)
+    return first_rows(placed, keys, ["_later", "_digest", "object_id"], max_points).select(*points.columns)
 
 
 def gated_pairs(moving: DataFrame, fixed: DataFrame, gate_px: float,
@@ -215,17 +213,23 @@ def residuals(anchors: DataFrame, transform: DataFrame, keys: list[str] = ["acqu
         "residual_px", F.hypot(F.col("tmx") - F.col("fx"), F.col("tmy") - F.col("fy"))).drop("a", "b", "tx", "ty")
 
 
+def _quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float], bounded: bool) -> DataFrame:
+    """Exact quantiles: in one aggregate where R1 bounds a group, else by position."""
+    if bounded:
+        return df.groupBy(*keys).agg(*[F.percentile(value, p).alias(n) for n, p in probs.items()])
+    return group_quantiles(df, keys, value, probs)
+
+
 def trim_anchors(measured: DataFrame, gate_px: float, min_anchors: int = MIN_ANCHORS,
-                 outlier_mad: float = OUTLIER_MAD, keys: list[str] = ["acquisition_id"]) -> DataFrame:
+                 outlier_mad: float = OUTLIER_MAD, keys: list[str] = ["acquisition_id"],
+                 bounded: bool = True) -> DataFrame:
     """Robust cutoff from median and MAD; all anchors stay when too few would remain.
 
-    One acquisition has at most as many anchors as R1 keeps points.
+    ``bounded``: one acquisition has at most as many anchors as R1 keeps points.
     """
-    mid = measured.groupBy(*keys).agg(F.percentile("residual_px", 0.5).alias("_med"))
-    dev = measured.join(mid, keys)
-    mad = dev.groupBy(*keys).agg(
-        F.percentile(F.abs(F.col("residual_px") - F.col("_med")), 0.5).alias("_mad"),
-        F.first("_med").alias("_median"))
+    mid = _quantiles(measured, keys, "residual_px", {"_median": 0.5}, bounded)
+    dev = measured.join(mid, keys).withColumn("_dev", F.abs(F.col("residual_px") - F.col("_median")))
+    mad = _quantiles(dev, keys, "_dev", {"_mad": 0.5}, bounded).join(mid, keys)
     cut = F.least(F.lit(gate_px), F.greatest(
         F.lit(0.25 * gate_px), F.col("_median") + outlier_mad * 1.4826 * F.col("_mad")))
     cuts = mad.select(*keys, cut.alias("cutoff_px"))
@@ -262,8 +266,8 @@ def register(moving: DataFrame, fixed: DataFrame, gate_px: float, iterations: in
         pairs = gated_pairs(now, fix, gate_px)
         found = mutual_nearest(pairs) if assignment == "mutual" else assign_pairs(pairs, gate_px, max_points > 0)
         found = materialize(found)
-        kept = materialize(trim_anchors(residuals(found, fit_rigid(found, min_anchors)), gate_px, min_anchors)
-                           .where("keep"))
+        measured = residuals(found, fit_rigid(found, min_anchors))
+        kept = materialize(trim_anchors(measured, gate_px, min_anchors, bounded=max_points > 0).where("keep"))
         step = fit_rigid(kept, 1)
         anchors = residuals(kept.drop("tmx", "tmy", "residual_px"), step)
         s = step.select(*key, F.col("a").alias("_a"), F.col("b").alias("_b"), F.col("tx").alias("_tx"),
@@ -299,13 +303,13 @@ def fit_affine(anchors: DataFrame, keys: list[str] = ["acquisition_id"]) -> Data
 
 def choose_model(anchors: DataFrame, affine: DataFrame, force_affine: bool = False,
                  min_improvement: float = AFFINE_MIN_IMPROVEMENT,
-                 keys: list[str] = ["acquisition_id"]) -> DataFrame:
+                 keys: list[str] = ["acquisition_id"], bounded: bool = True) -> DataFrame:
     """Affine wins when forced or when the median residual improves enough."""
     x = F.col("a11") * F.col("tmx") + F.col("a12") * F.col("tmy") + F.col("shift_x")
     y = F.col("a21") * F.col("tmx") + F.col("a22") * F.col("tmy") + F.col("shift_y")
     both = anchors.join(affine, keys).withColumn("_ra", F.hypot(x - F.col("fx"), y - F.col("fy")))
-    m = both.groupBy(*keys).agg(F.percentile("residual_px", 0.5).alias("rigid_median_px"),
-                                F.percentile("_ra", 0.5).alias("affine_median_px"))
+    m = _quantiles(both, keys, "residual_px", {"rigid_median_px": 0.5}, bounded).join(
+        _quantiles(both, keys, "_ra", {"affine_median_px": 0.5}, bounded), keys)
     gain = F.when(F.col("rigid_median_px") > 0, (F.col("rigid_median_px") - F.col("affine_median_px"))
                   / F.col("rigid_median_px")).otherwise(F.lit(0.0))
     return m.withColumn("improvement", gain).withColumn("model", F.when(
@@ -319,10 +323,9 @@ def anchor_table(anchors: DataFrame, sizes: DataFrame) -> DataFrame:
         (F.col("residual_px") * F.sqrt(F.col("px") * F.col("py"))).alias("residual_um_approx"))
 
 
-def residual_summary(anchors: DataFrame, keys: list[str] = ["acquisition_id"]) -> DataFrame:
-    return anchors.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("anchors"), F.percentile("residual_px", 0.5).alias("median_px"),
-        F.percentile("residual_px", 0.95).alias("p95_px"))
+def residual_summary(anchors: DataFrame, keys: list[str] = ["acquisition_id"], bounded: bool = True) -> DataFrame:
+    q = _quantiles(anchors, keys, "residual_px", {"median_px": 0.5, "p95_px": 0.95}, bounded)
+    return anchors.groupBy(*keys).agg(F.count(F.lit(1)).alias("anchors")).join(q, keys)
 
 
 def gate_pixels(gate_um: float, px: float, py: float) -> float:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from roispark.functions.distributions import (chi2_sf, f_sf, f_tail, mann_whitney_p, norm_ppf, norm_tail,
                                               t_quantile, t_two_sided)
 from roispark.functions.ranking import group_quantiles, ranked, value_positions
+from roispark.session import materialize
 from roispark.sources.io import finite
 
 SHAPIRO_MAX = 5000
@@ -398,11 +399,12 @@ def model_rows(long: DataFrame, models: DataFrame, factors: list[tuple[str, list
                keys: list[str] = ["metric"]) -> DataFrame:
     """Fitted value, residual, standardised residual and leverage of every row.
 
-    ``models`` has one row per metric, which is why it may be broadcast.
+    ``models`` has one row per metric; it is written, so that its true size decides
+    how it is joined.
     """
     cols = [c for _, c in design(factors)]
     p = len(cols)
-    use = long.where("value IS NOT NULL").join(F.broadcast(models.where("beta IS NOT NULL")), keys)
+    use = long.where("value IS NOT NULL").join(materialize(models.where("beta IS NOT NULL")), keys)
     fitted = reduce(lambda a, b: a + b, [c * F.col("beta")[i] for i, c in enumerate(cols)])
     lev = reduce(lambda a, b: a + b, [cols[i] * cols[j] * F.col("inverse")[i * p + j]
                                       for i in range(p) for j in range(p)])
@@ -411,7 +413,7 @@ def model_rows(long: DataFrame, models: DataFrame, factors: list[tuple[str, list
     rss = out.groupBy(*keys).agg(F.sum(F.col("residual") * F.col("residual")).alias("rss"),
                                  F.max("leverage").alias("max_leverage"))
     sd = F.sqrt(F.col("rss") / F.col("df"))
-    return out.join(F.broadcast(rss), keys).withColumn(
+    return out.join(materialize(rss), keys).withColumn(
         "standardized_residual", F.when(sd > 0, F.col("residual") / sd)).drop("inverse", "beta")
 
 

@@ -113,8 +113,7 @@ def organoids(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey AS object_number",
         "CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 17 = 0 THEN -1.0D "
         "ELSE cast(4000 + o_custkey AS double) END AS area_shape_area",
-        "o_orderkey % 600 < 2 AS is_organoid",
-    ).where("is_organoid OR o_orderkey % 100 = 0").drop("is_organoid")
+    )
 
 
 def dense_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
