@@ -37,7 +37,11 @@ def main() -> None:
     spark.sparkContext.setLogLevel("OFF")
     every = queries()
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
-    spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_returnflag").count().collect()
+    # Class loading and code generation are paid once per session, on the smallest tables.
+    small = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
+    for name in ("m11_roi_metrics", "k3_match_table", "t6_kruskal_wallis"):
+        if os.path.isdir(small):
+            every[name](spark, small).write.format("noop").mode("overwrite").save()
     times = {}
     for name in names:
         runs = []

@@ -36,7 +36,8 @@ def merge(words: DataFrame, keys: list[str]) -> DataFrame:
 def unpack(words: DataFrame, keep: list[str]) -> DataFrame:
     """Words back to one row per pixel, with ``keep`` carried along."""
     b = F.col("bits")
-    spread = words.select(*keep, "y", "seg", "bits", F.explode(
+    # The outer form keeps Spark from evaluating the bounds a second time in a filter.
+    spread = words.select(*keep, "y", "seg", "bits", F.explode_outer(
         F.sequence(lowest(b).cast("int"), highest(b).cast("int"))).alias("_i"))
     return spread.where("getbit(bits, _i) = 1").select(
         *keep, (F.col("seg") * SEGMENT + F.col("_i")).alias("x"), "y")

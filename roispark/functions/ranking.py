@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from roispark.session import materialize
 
 
+TASK_LIMIT = 100
+
+
 def ranked(df: DataFrame, keys: list[str], order: list[Column | str],
            rank: str = "rn", total: str | None = "n") -> DataFrame:
     """Add the 1-based position of each row in its group and the group size.
@@ -51,11 +54,12 @@ def first_rows(df: DataFrame, groups: list[str], order: list[str], size: int,
                salts: int = 256) -> DataFrame:
     """The first ``size`` rows of each group in ``order`` (unique inside a group).
 
-    Two levels: the best of every salted sub-group, then the best of those.  The
-    last step sees at most ``salts * size`` rows of a group.
+    For a small ``size`` Spark itself limits every group inside each task before the
+    shuffle.  A larger one is taken in two levels, the best of every salted
+    sub-group first, so that the last step sees ``salts * size`` rows at most.
     """
     salted = df.withColumn("_salt", F.pmod(F.hash(*order), F.lit(salts)))
-    for partition in ([*groups, "_salt"], groups):
+    for partition in ([groups] if size <= TASK_LIMIT else ([*groups, "_salt"], groups)):
         rank = F.row_number().over(Window.partitionBy(*partition).orderBy(*order))
         salted = salted.withColumn("_rank", rank).where(F.col("_rank") <= size).drop("_rank")
     return salted.drop("_salt")

@@ -59,7 +59,7 @@ def mask_runs(words: DataFrame, keys: list[str]) -> DataFrame:
     ends = b.bitwiseAND(F.bitwise_not(F.shiftright(b, 1)))
     runs = words.select(*keys, "y", "seg", starts.alias("_s"), ends.alias("_e")).select(
         *keys, "y", "seg", F.expr(
-            "explode(arrays_zip(filter(sequence(0, 31), i -> getbit(_s, i) = 1), "
+            "explode_outer(arrays_zip(filter(sequence(0, 31), i -> getbit(_s, i) = 1), "
             "filter(sequence(0, 31), i -> getbit(_e, i) = 1)))").alias("_r"))
     return runs.select(
         *keys, "y", "seg",

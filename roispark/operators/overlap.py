@@ -17,9 +17,9 @@ STATS = ["mean_intensity", "median_intensity", "intensity_sd", "min_intensity",
          "p05_intensity", "p95_intensity", "max_intensity"]
 
 
-def _partners(column, pairs, own: int):
+def _partners(column, pairs, own: int, kind):
     """Array of the partner channels configured for the channel in ``column``."""
-    entries = [F.when(column == F.lit(p[own]), F.lit(p[1 - own])) for p in pairs]
+    entries = [F.when(column == F.lit(p[own]), F.lit(p[1 - own]).cast(kind)) for p in pairs]
     return F.filter(F.array(*entries), lambda v: v.isNotNull())
 
 
@@ -29,7 +29,7 @@ def side(words: DataFrame, pairs: list[tuple], own: str) -> DataFrame:
     rest = [c for c in words.columns if c not in (*K, "object_id")]
     return words.select(
         "acquisition_id", F.col("channel").alias(f"channel_{own}"),
-        F.explode(_partners(F.col("channel"), pairs, mine)).alias(f"channel_{other}"),
+        F.explode(_partners(F.col("channel"), pairs, mine, words.schema["channel"].dataType)).alias(f"channel_{other}"),
         F.col("object_id").alias(f"object_{own}"), *rest)
 
 
@@ -89,9 +89,10 @@ def pair_status(acquisitions: DataFrame, overlap: DataFrame, pairs: list[tuple],
                 constrained: bool = False) -> DataFrame:
     """One row per acquisition and pair; no overlap at all is an error status
     unless the matching is constrained, where an empty result is valid."""
+    kind = overlap.schema["channel_a"].dataType
     wanted = acquisitions.select("acquisition_id").distinct().select(
         "acquisition_id",
-        F.explode(F.array(*[F.struct(F.lit(a).alias("channel_a"), F.lit(b).alias("channel_b"))
+        F.explode(F.array(*[F.struct(F.lit(a).cast(kind).alias("channel_a"), F.lit(b).cast(kind).alias("channel_b"))
                             for a, b in validate_pairs(pairs)])).alias("_p"),
     ).select("acquisition_id", "_p.*")
     found = overlap.groupBy(*KP).agg(F.count(F.lit(1)).alias("overlap_pairs"))
