@@ -145,7 +145,7 @@ def _(spark, d):
 def _(spark, d):
     flat = labels.max_project(fixtures.stack_rows(spark, d))
     return flat.select(*K, "y", "seg", F.posexplode("pixel_values").alias("i", "value")).select(
-        *K, (F.col("seg") * 32 + F.col("i")).alias("x"), "y", "value")
+        *K, (F.col("seg") * 32 + F.col("i")).alias("x"), "y", F.col("value").cast("double").alias("value"))
 
 
 @query("l10_usable_z")
