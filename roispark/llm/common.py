@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +27,16 @@ def crc_bucket(column: str | Column, buckets: int) -> Column:
     return F.crc32(F.col(column).cast("string") if isinstance(column, str) else column.cast("string")) % buckets
 
 
-def spread(df: DataFrame, *columns: str) -> DataFrame:
-    """At least as many partitions as the cluster has cores, by the given columns."""
-    return df.repartition(*columns)
+def append_columns(df: DataFrame, work, fields: list) -> DataFrame:
+    """``df`` with the columns that ``work(batch) -> arrays`` computes for each Arrow batch."""
+    names = [f.name for f in fields]
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, *work(batch)], [*batch.schema.names, *names])
+
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, *fields]))
+
+
+def text_of(batch: pa.RecordBatch, name: str = "text") -> pa.Array:
+    return batch.column(name).cast(pa.large_string())

@@ -1,8 +1,11 @@
-"""Queries of the duplicate operators."""
+"""Queries of the duplicate and contamination operators."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from roispark.llm.common import table
+from roispark.llm.decontam import contamination
 from roispark.llm.neardup import near_duplicates
 
 
@@ -10,5 +13,15 @@ def near_documents(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=2, similarity=80)
 
 
-QUERIES = {"op9_minhash_near_dedup": near_documents}
+def contaminated_documents(spark, sf_dir):
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+QUERIES = {
+    "op9_minhash_near_dedup": near_documents,
+    "op10_benchmark_decontamination": contaminated_documents,
+}
 SQL: dict[str, str] = {}
