@@ -1,7 +1,7 @@
 """The training-corpus pipeline: documents to packed sequences.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; the runner writes it as Parquet and
-hands what it reads back to the next stage.
+hands what it reads back to the next stage.  All stages but the last return the columns of ``documents``.
 """
 
 from __future__ import annotations
@@ -9,19 +9,51 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from roispark.llm import decontam, neardup, packing, pii, toxicity
 from roispark.llm.common import table
-from roispark.llm.neardup import drop_near_duplicates
 from roispark.session import scratch_dir
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity models reject go; the labels are those of the given tables."""
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays (five words, similarity 0.8)."""
-    return drop_near_duplicates(docs)
+    return neardup.drop_near_duplicates(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data are replaced by their kinds; ``n_chars`` follows the text."""
+    clean = pii.redact(docs)
+    if "n_chars" in clean.columns:
+        clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return clean
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of every document in its sequence, with its ids (little-endian unsigned 32-bit)."""
+    return packing.pack(docs).select(
+        "doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", F.crc32("ids").alias("ids_crc32"), "ids")
 
 
-STAGES = [("near_dedup", near_dedup)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontaminate),
+    ("pii", redact_pii),
+    ("packing", pack),
+]
 
+# The models, signatures and the tokenizer have no SQL form; tests/llm compares the run with a brute-force version.
 ORACLE_SQL = None
 
 
