@@ -123,6 +123,8 @@ def longest_matches(shard: Slice, tests: Suffixes) -> tuple[np.ndarray, ...]:
     entry = np.repeat(tests.start[window] - np.cumsum(many) + many, many) + np.arange(many.sum())
     item, offset = tests.owner[entry], tests.offset[entry]
     place, size = np.repeat(place, many), np.repeat(tests.length[window], many)
+    if not len(item):
+        return (np.zeros(0, np.int64),) * 5
     by = np.lexsort((offset, place - offset, item))
     item, offset, place, size = item[by], offset[by], place[by], size[by]
     new = np.ones(len(item), bool)
