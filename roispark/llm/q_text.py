@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from roispark.llm import pii, secrets
 from roispark.llm.common import table
+from roispark.llm.linededup import dedup_units
 from roispark.llm.packing import pack
+from roispark.llm.resample import resample
 from roispark.llm.toxicity import toxicity
 
 
@@ -45,10 +47,21 @@ def pii_spans(spark, sf_dir):
         F.sha2(_written(base), 256).alias("base_sha256"), _written(F.col("spans")).alias("spans"))
 
 
+def deduplicated_units(spark, sf_dir):
+    found = dedup_units(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "text", F.size("removed").cast("long").alias("n_removed"), "removed_words", "removed")
+
+
+def resampled_documents(spark, sf_dir):
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op2_packing": packed_pieces,
     "op3_toxicity": toxic_documents,
     "op4_secret_scan": secret_spans,
+    "op6_substring_dedup": deduplicated_units,
+    "op7_importance_resampling": resampled_documents,
     "op8_pii": pii_spans,
 }
 SQL: dict[str, str] = {}
