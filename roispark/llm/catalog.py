@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from roispark.llm import q_dedup, q_text
+from roispark.llm import q_dedup, q_text, q_vectors
 
-_MODULES = [q_dedup, q_text]
+_MODULES = [q_dedup, q_text, q_vectors]
 
 
 def queries() -> dict:
