@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from roispark.llm import pii, secrets
 from roispark.llm.common import table
+from roispark.llm.licences import scan_licences
 from roispark.llm.linededup import dedup_units
 from roispark.llm.packing import pack
 from roispark.llm.resample import resample
@@ -21,6 +22,10 @@ def _count(spans, kind):
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
 
+def licence_paragraphs(spark, sf_dir):
+    return scan_licences(table(spark, sf_dir, "documents"))
+
+
 def packed_pieces(spark, sf_dir):
     packed = pack(table(spark, sf_dir, "documents"))
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -57,6 +62,7 @@ def resampled_documents(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_licence_scan": licence_paragraphs,
     "op2_packing": packed_pieces,
     "op3_toxicity": toxic_documents,
     "op4_secret_scan": secret_spans,
