@@ -112,8 +112,8 @@ cte("tl", """SELECT folder, any_value(q) AS q, sum(n)::BIGINT AS files, count(*)
  CASE WHEN max(n) > 1 THEN 'duplicate_tile' WHEN count(*) < 4 THEN 'incomplete' WHEN max(tile) - min(tile) <> 3 THEN 'noncontiguous' ELSE 'complete' END AS status
  FROM (SELECT folder, any_value(q) AS q, tile, count(*) AS n FROM inv_clean GROUP BY folder, tile) GROUP BY folder""")
 oracle("i2_tiles", "SELECT folder, files, tiles, tile_list, status FROM tl")
-oracle("i3_channel_names", """SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'DAPI,GFP,LHX6,PV' WHEN 1 THEN 'DAPI,NKX2_1' WHEN 2 THEN 'GFP,NKX2_1,PV'
- WHEN 3 THEN '' ELSE 'PV' END AS channels FROM orders""")
+oracle("i3_channel_names", """SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 3 AND o_orderkey % 3 > 0 THEN '' ELSE CASE o_orderkey % 5 WHEN 0 THEN 'DAPI,GFP,LHX6,PV' WHEN 1 THEN 'DAPI,NKX2_1' WHEN 2 THEN 'GFP,NKX2_1,PV'
+ WHEN 3 THEN '' ELSE 'PV' END END AS channels FROM orders""")
 oracle("i4_acquisition_identity", r"""SELECT folder, q AS acquisition_number, set_number, CASE WHEN lo <> hi THEN 'files_disagree' WHEN lo <> q THEN 'folder_and_files_disagree'
  WHEN sets > 1 THEN 'set_mismatch' ELSE 'ok' END AS status FROM (SELECT folder, any_value(q) AS q, 1 + any_value(q) % 3 AS set_number,
  min(CASE WHEN size % 5 <> 0 AND size % 11 = 0 THEN 7777 ELSE q END) AS lo, max(CASE WHEN size % 5 <> 0 AND size % 11 = 0 THEN 7777 ELSE q END) AS hi,

@@ -81,8 +81,9 @@ cte("stack_px", f"""SELECT *, CASE WHEN z <= 1 + acquisition_id % 3 AND y < 64 -
 cte("flat_px", f"SELECT {K}, x, y, max(v) AS value FROM stack_px GROUP BY ALL")
 oracle("l9_max_project", f"SELECT {K}, x, y, {r('value','value')} FROM flat_px")
 oracle("l10_usable_z", f"SELECT {K}, max(z) FILTER (v <> 0) + 1 AS usable_planes FROM stack_px GROUP BY {K}")
-oracle("l11_trim_extent", f"""SELECT {K}, max(y) FILTER (v <> 0 AND y >= 40) + 1 AS height,
- max(x) FILTER (v <> 0 AND x >= 40) + 1 AS width FROM stack_px GROUP BY {K}""")
+oracle("l11_trim_extent", f"""SELECT {K}, max(y) FILTER (corner) + 1 AS height, max(x) FILTER (corner) + 1 AS width,
+ CASE WHEN bool_or(corner) THEN 'ok' ELSE 'no_signal' END AS status
+ FROM (SELECT *, v <> 0 AND y BETWEEN 40 AND 63 AND x BETWEEN 40 AND 63 AS corner FROM stack_px) GROUP BY {K}""")
 oracle("l12_downsample", f"""SELECT {K}, x//5 AS x, y//5 AS y, {r('greatest(least(round_even(avg(value), 0), 65535), 0)','value')}
  FROM flat_px WHERE x < 60 AND y < 60 GROUP BY {K}, x//5, y//5""")
 oracle("l13_out_of_bounds", f"""SELECT {K}, count(*) FILTER (x >= 200 OR y >= 180 + acquisition_id % 50) AS out_of_bounds_px,

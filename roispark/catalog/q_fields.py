@@ -196,7 +196,7 @@ def _(spark, d):
     f = fixtures.table(spark, d, "orders").selectExpr(
         "concat('a/run_', o_orderkey % 7, '_', CASE o_orderkey % 5 WHEN 0 THEN 'DAPI_GFP_LHX6_PV' WHEN 1 THEN 'dapi_NKX2_1' "
         "WHEN 2 THEN 'GFP_NKX2_1_pv' WHEN 3 THEN 'DAPI_UNKNOWN' ELSE 'PV' END, CASE o_orderkey % 3 WHEN 0 THEN '' "
-        "WHEN 1 THEN concat('_Field_', o_custkey % 90) ELSE concat('_', 10 + o_custkey % 90) END, '_F0', o_orderkey % 4, '.ims') AS path",
+        "WHEN 1 THEN concat('_Field_', o_custkey % 90) ELSE concat('_', 10 + o_custkey % 90) END, CASE WHEN o_orderkey % 4 = 3 THEN '' ELSE concat('_F0', o_orderkey % 4) END, '.ims') AS path",
         "o_orderkey")
     named_files = inventory.channel_names(inventory.path_parts(f), MARKERS)
     return named_files.select("o_orderkey", F.array_join("channels", ",").alias("channels"))

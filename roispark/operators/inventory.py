@@ -69,8 +69,9 @@ def _before_tile(stem: Column) -> Column:
 def channel_names(files: DataFrame, markers: list[str]) -> DataFrame:
     """Biological channels named at the end of a file name, in order.
 
-    The vocabulary is matched from the right, markers of more tokens first, after
-    an optional ``Field_N`` or a bare number was taken off.  The pattern is
+    The vocabulary is matched from the right, markers of more tokens first.  If the
+    name ended in a tile, a ``Field_N`` or a bare number before it is taken off
+    first; without a tile nothing is.  The pattern is
     applied to the reversed name with atomic groups, so that a match is never
     taken back.  Nothing found leaves an empty list.
     """
@@ -81,7 +82,8 @@ def channel_names(files: DataFrame, markers: list[str]) -> DataFrame:
     one = f"(?>(?:{alternatives})(?=_|$))"
     numeric_tail = [m for m in markers if "_" in m and m.rsplit("_", 1)[1].isdigit()]
     base = F.trim(_before_tile(F.col("stem")), F.lit("_"))
-    strip = F.when(F.regexp_like(base, F.lit(r"(?i)_Field_\d+$")), F.regexp_replace(base, r"(?i)_Field_\d+$", ""))
+    strip = F.when(~F.regexp_like("stem", F.lit(TILE_PATTERN)), base)
+    strip = strip.when(F.regexp_like(base, F.lit(r"(?i)_Field_\d+$")), F.regexp_replace(base, r"(?i)_Field_\d+$", ""))
     if numeric_tail:
         keep = "|".join(re.escape(m) for m in numeric_tail)
         strip = strip.when(F.regexp_like(base, F.lit(f"(?i)(?:^|_)(?:{keep})$")), base)

@@ -153,20 +153,21 @@ def usable_z(stack: DataFrame, keys: list[str] = K) -> DataFrame:
     return stack.groupBy(*keys).agg((F.max(F.when(lit, F.col("z"))) + 1).alias("usable_planes"))
 
 
-def trim_extent(stack: DataFrame, height: int, width: int, slab: int = TRIM_SLAB,
+def trim_extent(stack: DataFrame, height: int, width: int, slab: int | None = None,
                 keys: list[str] = K) -> DataFrame:
-    """Extent without trailing zero padding, searched in the last slab only.
+    """Extent without trailing zero padding.
 
-    A slab without any signal leaves the extent null.
+    ``slab`` (``TRIM_SLAB`` for the usual search) looks at the corner of the last rows and columns only:
+    a pixel counts for either extent if it lies in both.  The default looks at the whole image.  Nothing
+    found leaves the extents null with status ``no_signal``.
     """
-    x_edge, y_edge = max(width - slab, 0), max(height - slab, 0)
-    last_x = F.array_max(F.transform(
-        "pixel_values", lambda v, i: F.when((v != 0) & (F.col("seg") * bits.SEGMENT + i >= x_edge),
-                                      F.col("seg") * bits.SEGMENT + i)))
-    any_value = F.exists("pixel_values", lambda v: v != 0)
-    return stack.groupBy(*keys).agg(
-        (F.max(F.when(any_value & (F.col("y") >= y_edge), F.col("y"))) + 1).alias("height"),
-        (F.max(last_x) + 1).alias("width"))
+    x_edge, y_edge = (0, 0) if slab is None else (max(width - slab, 0), max(height - slab, 0))
+    x = F.transform("pixel_values", lambda v, i: F.when(
+        (v != 0) & (F.col("seg") * bits.SEGMENT + i >= x_edge), F.col("seg") * bits.SEGMENT + i))
+    last = F.when(F.col("y") >= y_edge, F.array_max(x))
+    found = stack.select(*keys, "y", last.alias("_x")).groupBy(*keys).agg(
+        (F.max(F.when(F.col("_x").isNotNull(), F.col("y"))) + 1).alias("height"), (F.max("_x") + 1).alias("width"))
+    return found.withColumn("status", F.when(F.col("width").isNull(), "no_signal").otherwise("ok"))
 
 
 def downsample(images: DataFrame, factor: int, height: int, width: int, limit: int = 65535,
