@@ -84,7 +84,7 @@ def _(spark, d):
 @query("r3_assignment")
 def _(spark, d):
     pairs = registration.gated_pairs(fixtures.centroids_moving(spark, d), fixtures.centroids_fixed(spark, d), GATE)
-    return registration.assign_pairs(pairs, GATE, bounded=False).select(
+    return registration.assign_pairs(pairs, GATE).select(
         "acquisition_id", "moving_id", "fixed_id", "d2")
 
 
@@ -102,7 +102,7 @@ def _(spark, d):
 @query("r5_trim_anchors")
 def _(spark, d):
     a = anchors(spark, d)
-    trimmed = registration.trim_anchors(registration.residuals(a, registration.fit_rigid(a)), GATE, bounded=False)
+    trimmed = registration.trim_anchors(registration.residuals(a, registration.fit_rigid(a)), GATE)
     return trimmed.select("acquisition_id", "moving_id", "residual_px", "cutoff_px", "keep")
 
 
@@ -117,7 +117,7 @@ def _(spark, d):
     a = anchors(spark, d)
     moved = registration.residuals(a, registration.fit_rigid(a))
     affine = registration.fit_affine(moved)
-    return registration.choose_model(moved, affine, bounded=False).join(affine, "acquisition_id")
+    return registration.choose_model(moved, affine).join(affine, "acquisition_id")
 
 
 @query("r8_anchor_table")
@@ -125,4 +125,4 @@ def _(spark, d):
     a = anchors(spark, d)
     moved = registration.residuals(a, registration.fit_rigid(a))
     table = registration.anchor_table(moved, base.sizes(spark, d))
-    return table.join(registration.residual_summary(moved, bounded=False), "acquisition_id")
+    return table.join(registration.residual_summary(moved), "acquisition_id")

@@ -17,7 +17,6 @@ from roispark.operators.graph import connected_components
 from roispark.session import materialize
 
 # Defaults of the registration.
-MAX_POINTS = 1500
 MATCH_GATE_UM = 25.0
 ITERATIONS = 5
 MIN_ANCHORS = 8
@@ -27,9 +26,9 @@ AFFINE_MIN_IMPROVEMENT = 0.15
 SEED = 42
 
 
-def spatial_subsample(points: DataFrame, max_points: int = MAX_POINTS, seed: int = SEED,
+def spatial_subsample(points: DataFrame, max_points: int = 0, seed: int = SEED,
                       keys: list[str] = ["acquisition_id"]) -> DataFrame:
-    """The first point of every grid cell, then a repeatable random fill.
+    """The first point of every grid cell, then a repeatable random fill; all points unless ``max_points`` is given.
 
     The cell step is a min aggregate, the fill a two-level rank limit.
     """
@@ -74,26 +73,22 @@ def gated_pairs(moving: DataFrame, fixed: DataFrame, gate_px: float,
         *keys, "moving_id", "fixed_id", "mx", "my", "fx", "fy", "d2")
 
 
-def assign_pairs(pairs: DataFrame, gate_px: float, bounded: bool = True) -> DataFrame:
+def assign_pairs(pairs: DataFrame, gate_px: float) -> DataFrame:
     """One-to-one assignment of least cost, a point may stay single.
 
     A pair saves ``2.02 * gate^2 - d2`` against two single points, so the optimum
     is a maximum-saving matching, which splits by connected component.
 
-    ``bounded``: the points were limited by R1, hence one acquisition is at most
-    ``MAX_POINTS`` per side and is one group.  Otherwise the groups are the
-    components of the candidate graph, found on Spark.
+    The groups that are solved are the components of the candidate graph, found on
+    Spark, whatever the number of points.
     """
     single = 2.0 * DUMMY_FACTOR * gate_px * gate_px
-    if bounded:
-        grouped, groups = pairs, ["acquisition_id"]
-    else:
-        edges = pairs.select("acquisition_id", (F.col("moving_id") * 2).alias("u"),
-                             (F.col("fixed_id") * 2 + 1).alias("v"))
-        comp = connected_components(edges, ["acquisition_id"]).select(
-            "acquisition_id", F.col("node").alias("_u"), "component")
-        grouped = pairs.withColumn("_u", F.col("moving_id") * 2).join(comp, ["acquisition_id", "_u"])
-        groups = ["acquisition_id", "component"]
+    edges = pairs.select("acquisition_id", (F.col("moving_id") * 2).alias("u"),
+                         (F.col("fixed_id") * 2 + 1).alias("v"))
+    comp = connected_components(edges, ["acquisition_id"]).select(
+        "acquisition_id", F.col("node").alias("_u"), "component")
+    grouped = pairs.withColumn("_u", F.col("moving_id") * 2).join(comp, ["acquisition_id", "_u"])
+    groups = ["acquisition_id", "component"]
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         import numpy as np
@@ -213,23 +208,12 @@ def residuals(anchors: DataFrame, transform: DataFrame, keys: list[str] = ["acqu
         "residual_px", F.hypot(F.col("tmx") - F.col("fx"), F.col("tmy") - F.col("fy"))).drop("a", "b", "tx", "ty")
 
 
-def _quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float], bounded: bool) -> DataFrame:
-    """Exact quantiles: in one aggregate where R1 bounds a group, else by position."""
-    if bounded:
-        return df.groupBy(*keys).agg(*[F.percentile(value, p).alias(n) for n, p in probs.items()])
-    return group_quantiles(df, keys, value, probs)
-
-
 def trim_anchors(measured: DataFrame, gate_px: float, min_anchors: int = MIN_ANCHORS,
-                 outlier_mad: float = OUTLIER_MAD, keys: list[str] = ["acquisition_id"],
-                 bounded: bool = True) -> DataFrame:
-    """Robust cutoff from median and MAD; all anchors stay when too few would remain.
-
-    ``bounded``: one acquisition has at most as many anchors as R1 keeps points.
-    """
-    mid = _quantiles(measured, keys, "residual_px", {"_median": 0.5}, bounded)
+                 outlier_mad: float = OUTLIER_MAD, keys: list[str] = ["acquisition_id"]) -> DataFrame:
+    """Robust cutoff from median and MAD; all anchors stay when too few would remain."""
+    mid = group_quantiles(measured, keys, "residual_px", {"_median": 0.5})
     dev = measured.join(mid, keys).withColumn("_dev", F.abs(F.col("residual_px") - F.col("_median")))
-    mad = _quantiles(dev, keys, "_dev", {"_mad": 0.5}, bounded).join(mid, keys)
+    mad = group_quantiles(dev, keys, "_dev", {"_mad": 0.5}).join(mid, keys)
     cut = F.least(F.lit(gate_px), F.greatest(
         F.lit(0.25 * gate_px), F.col("_median") + outlier_mad * 1.4826 * F.col("_mad")))
     cuts = mad.select(*keys, cut.alias("cutoff_px"))
@@ -241,12 +225,13 @@ def trim_anchors(measured: DataFrame, gate_px: float, min_anchors: int = MIN_ANC
 
 
 def register(moving: DataFrame, fixed: DataFrame, gate_px: float, iterations: int = ITERATIONS,
-             min_anchors: int = MIN_ANCHORS, max_points: int = MAX_POINTS, seed: int = SEED,
+             min_anchors: int = MIN_ANCHORS, max_points: int = 0, seed: int = SEED,
              shift: DataFrame | None = None, assignment: str = "optimal") -> dict[str, DataFrame]:
     """Match, fit, trim, refit, move; all iterations are composed into one transform.
 
     ``shift`` is an optional ``(acquisition_id, dx, dy)`` table.  Acquisitions with too
-    few anchors leave the loop and do not appear in the result.
+    few anchors leave the loop and do not appear in the result.  All points take part
+    unless ``max_points`` asks for a subsample (R1).
     """
     key = ["acquisition_id"]
     mov = materialize(spatial_subsample(moving, max_points, seed))
@@ -264,10 +249,10 @@ def register(moving: DataFrame, fixed: DataFrame, gate_px: float, iterations: in
         x, y = _moved("x", "y")
         now = mov.join(state, key).select(*key, "object_id", x.alias("x"), y.alias("y"))
         pairs = gated_pairs(now, fix, gate_px)
-        found = mutual_nearest(pairs) if assignment == "mutual" else assign_pairs(pairs, gate_px, max_points > 0)
+        found = mutual_nearest(pairs) if assignment == "mutual" else assign_pairs(pairs, gate_px)
         found = materialize(found)
         measured = residuals(found, fit_rigid(found, min_anchors))
-        kept = materialize(trim_anchors(measured, gate_px, min_anchors, bounded=max_points > 0).where("keep"))
+        kept = materialize(trim_anchors(measured, gate_px, min_anchors).where("keep"))
         step = fit_rigid(kept, 1)
         anchors = residuals(kept.drop("tmx", "tmy", "residual_px"), step)
         s = step.select(*key, F.col("a").alias("_a"), F.col("b").alias("_b"), F.col("tx").alias("_tx"),
@@ -303,13 +288,13 @@ def fit_affine(anchors: DataFrame, keys: list[str] = ["acquisition_id"]) -> Data
 
 def choose_model(anchors: DataFrame, affine: DataFrame, force_affine: bool = False,
                  min_improvement: float = AFFINE_MIN_IMPROVEMENT,
-                 keys: list[str] = ["acquisition_id"], bounded: bool = True) -> DataFrame:
+                 keys: list[str] = ["acquisition_id"]) -> DataFrame:
     """Affine wins when forced or when the median residual improves enough."""
     x = F.col("a11") * F.col("tmx") + F.col("a12") * F.col("tmy") + F.col("shift_x")
     y = F.col("a21") * F.col("tmx") + F.col("a22") * F.col("tmy") + F.col("shift_y")
     both = anchors.join(affine, keys).withColumn("_ra", F.hypot(x - F.col("fx"), y - F.col("fy")))
-    m = _quantiles(both, keys, "residual_px", {"rigid_median_px": 0.5}, bounded).join(
-        _quantiles(both, keys, "_ra", {"affine_median_px": 0.5}, bounded), keys)
+    m = group_quantiles(both, keys, "residual_px", {"rigid_median_px": 0.5}).join(
+        group_quantiles(both, keys, "_ra", {"affine_median_px": 0.5}), keys)
     gain = F.when(F.col("rigid_median_px") > 0, (F.col("rigid_median_px") - F.col("affine_median_px"))
                   / F.col("rigid_median_px")).otherwise(F.lit(0.0))
     return m.withColumn("improvement", gain).withColumn("model", F.when(
@@ -323,8 +308,8 @@ def anchor_table(anchors: DataFrame, sizes: DataFrame) -> DataFrame:
         (F.col("residual_px") * F.sqrt(F.col("px") * F.col("py"))).alias("residual_um_approx"))
 
 
-def residual_summary(anchors: DataFrame, keys: list[str] = ["acquisition_id"], bounded: bool = True) -> DataFrame:
-    q = _quantiles(anchors, keys, "residual_px", {"median_px": 0.5, "p95_px": 0.95}, bounded)
+def residual_summary(anchors: DataFrame, keys: list[str] = ["acquisition_id"]) -> DataFrame:
+    q = group_quantiles(anchors, keys, "residual_px", {"median_px": 0.5, "p95_px": 0.95})
     return anchors.groupBy(*keys).agg(F.count(F.lit(1)).alias("anchors")).join(q, keys)
 
 

@@ -178,8 +178,7 @@ def points(spark, pts, acq=0):
                                  "acquisition_id long, object_id long, x double, y double")
 
 
-@pytest.mark.parametrize("bounded", [True, False])
-def test_assignment_is_optimal(spark, bounded):
+def test_assignment_is_optimal(spark):
     rng = random.Random(8)
     gate = 3.0
     single = 2 * registration.DUMMY_FACTOR * gate * gate
@@ -209,7 +208,7 @@ def test_assignment_is_optimal(spark, bounded):
     for a, b in zip(ms[1:], fs[1:]):
         mov, fix = mov.unionByName(a), fix.unionByName(b)
     pairs = registration.gated_pairs(mov, fix, gate)
-    got = registration.assign_pairs(pairs, gate, bounded).collect()
+    got = registration.assign_pairs(pairs, gate).collect()
     for acq, best in want.items():
         mine = [r for r in got if r.acquisition_id == acq]
         assert len({r.moving_id for r in mine}) == len(mine) == len({r.fixed_id for r in mine})
