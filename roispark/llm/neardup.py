@@ -23,7 +23,7 @@ SIMILARITY = 80
 # CHUNKS * (ERRORS + 1) - 1 = 13 of 28 values share a chunk with at most one differing value.
 CHUNKS, WIDTH = 7, 4
 # Documents per side of one block comparison.
-BLOCK = 256
+BLOCK = 512
 
 _U = np.uint64
 _MULTIPLIERS = np.random.Generator(np.random.PCG64(77)).integers(
@@ -84,9 +84,9 @@ def _shared(keys: DataFrame) -> DataFrame:
     return keys.join(busy, "key")
 
 
-def _star(rows: DataFrame, salt: int) -> DataFrame:
+def _star(rows: DataFrame) -> DataFrame:
     """One leader per key against the key's other members: ``(a, b)``, as many rows as members."""
-    rank = F.struct(F.xxhash64("node", *([F.col("key")] if salt else []), F.lit(salt)).alias("h"), F.col("node").alias("id"))
+    rank = F.struct(F.xxhash64("node", F.lit(0)).alias("h"), F.col("node").alias("id"))
     leader = rows.groupBy("key").agg(F.min(rank).alias("_l")).select("key", F.col("_l.id").alias("leader"))
     return rows.join(leader, "key").where("node <> leader").select(
         F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
@@ -136,16 +136,17 @@ def _remaining_pairs(rows: DataFrame, members: DataFrame, similarity: int) -> Da
     """
     sizes = rows.groupBy("key", "comp").agg(F.count("*").alias("_n"))
     top = sizes.groupBy("key").agg(F.max(F.struct("_n", "comp")).alias("_m"), F.sum("_n").alias("_all")).select(
-        "key", F.col("_m.comp").alias("_top"), F.ceil(F.col("_all") / BLOCK).cast("int").alias("_blocks"))
-    placed = rows.join(top, "key").select(
-        "key", "slot", "node", "comp", "_blocks", (F.col("comp") != F.col("_top")).alias("rest"),
-        F.pmod(F.xxhash64("node", F.lit(5)), F.col("_blocks")).cast("int").alias("_i"))
-    others = F.sequence(F.lit(0), F.col("_blocks") - 1)
-    left = placed.where("rest").select("key", "slot", "node", "comp", "rest", F.lit(True).alias("probe"),
-                                       F.col("_i").alias("i"), F.explode(others).alias("j"))
-    probes = placed.where("rest").select("key", F.col("_i").alias("i")).distinct()
-    right = placed.join(probes, "key").select("key", "slot", "node", "comp", "rest", F.lit(False).alias("probe"), "i",
-                                              F.col("_i").alias("j"))
+        "key", F.col("_m.comp").alias("_top"), F.ceil(F.col("_all") / BLOCK).cast("int").alias("_blocks"),
+        F.ceil((F.col("_all") - F.col("_m._n")) / BLOCK).cast("int").alias("_probes"))
+    placed = rows.join(top, "key").withColumn("rest", F.col("comp") != F.col("_top"))
+    block = F.xxhash64("node", F.lit(5))
+    # The rest's blocks meet all blocks of the key: probe block i, member block j.
+    left = placed.where("rest").select(
+        "key", "slot", "node", "comp", "rest", F.lit(True).alias("probe"), F.pmod(block, F.col("_probes")).cast("int").alias("i"),
+        F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("j"))
+    right = placed.select(
+        "key", "slot", "node", "comp", "rest", F.lit(False).alias("probe"),
+        F.explode(F.sequence(F.lit(0), F.col("_probes") - 1)).alias("i"), F.pmod(block, F.col("_blocks")).cast("int").alias("j"))
     work = left.unionByName(right).join(members.select("node", "n_shingles", "signature", "hashes"), "node")
     def compare(pdf: pd.DataFrame) -> list[tuple[bytes, bytes]]:
         probe = pdf["probe"].to_numpy()
@@ -186,7 +187,12 @@ def _remaining_pairs(rows: DataFrame, members: DataFrame, similarity: int) -> Da
             both = np.bincount(owner[at], minlength=len(theirs))
             # Equal 32-bit values of different shingles can only add to the count.
             alike = good[p] & (100 * both >= similarity * (size[theirs] + size[mine[p]] - both))
-            out += [(node[mine[p]], node[theirs[t]]) for t in np.flatnonzero(alike)]
+            # Two links to each component that the probe meets are enough to join them.
+            met: dict[int, int] = {}
+            for t in np.flatnonzero(alike):
+                met[code[theirs[t]]] = met.get(code[theirs[t]], 0) + 1
+                if met[code[theirs[t]]] <= 2:
+                    out.append((node[mine[p]], node[theirs[t]]))
         return out
 
     def run(frames):
@@ -243,22 +249,19 @@ def _class_components(source: DataFrame, sketch: DataFrame, shingle: int, simila
     shared = materialize(_shared(chunk_keys(classes)))
     wanted = classes.join(shared.select("node").distinct(), "node", "left_semi")
     members = materialize(_members(source, wanted, shingle))
-    links = materialize(_confirmed(_star(shared, 0), members, shingle, similarity))
+    links = materialize(_confirmed(_star(shared), members, shingle, similarity))
     labels = connected_components(links, [])
     apart = materialize(_mixed(shared, labels))
-    if not apart.isEmpty():
-        comp = apart.select("node", "comp").distinct()
-        pairs = _star(apart, 1).join(comp.select(F.col("node").alias("a"), F.col("comp").alias("_ca")), "a").join(
-            comp.select(F.col("node").alias("b"), F.col("comp").alias("_cb")), "b").where("_ca <> _cb").select("a", "b")
-        links = materialize(links.unionByName(_confirmed(pairs, members, shingle, similarity)))
-        labels = connected_components(links, [])
-        apart = materialize(_mixed(apart.select("key", "slot", "node"), labels))
-    if not apart.isEmpty():
-        pairs = materialize(_remaining_pairs(apart, members, similarity))
-        links = links.unionByName(_confirmed(pairs, members, shingle, similarity))
-        labels = connected_components(links, [])
-    return classes.select("node", "first").join(labels, "node", "left").select(
-        "node", "first", F.coalesce("component", "node").alias("component"))
+    pairs = materialize(_remaining_pairs(apart, members, similarity))
+    more = _confirmed(pairs, members, shingle, similarity)
+    # The components found so far are the nodes of a much smaller graph.
+    for side in ("u", "v"):
+        known = labels.select(F.col("node").alias(side), F.col("component").alias("_c"))
+        more = more.join(known, side, "left").withColumn(side, F.coalesce("_c", side)).drop("_c")
+    merged = connected_components(more, []).select(F.col("node").alias("part"), F.col("component").alias("whole"))
+    named = classes.select("node", "first").join(labels, "node", "left").select(
+        "node", "first", F.coalesce("component", "node").alias("part"))
+    return named.join(merged, "part", "left").select("node", "first", F.coalesce("whole", "part").alias("component"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
@@ -269,8 +272,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: int = S
     signatures.  ``component_id`` is the smallest doc_id that links reach, ``kept`` says it is the row's own.
 
     Candidates of one key are never paired with each other.  Every key first confirms its members
-    against one leader, twice with different leaders; members that are then still apart from the
-    others of their key are compared with all of them, block by block, so no link is lost.
+    against one leader; members that are then still apart from the others of their key are compared
+    with all of them, block by block, so no component is lost.
 
     Defined cases: null, empty or blank texts are linked with nothing (``n_shingles`` 0, own component,
     kept); a null doc_id names a component only if all of its members have none; repeated rows are
