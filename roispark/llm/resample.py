@@ -107,9 +107,10 @@ def resample(docs: DataFrame, labels: DataFrame, fraction: float = FRACTION, see
     """
     good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("_id")).distinct()
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    marked = rows.join(good, rows["doc_id"] == good["_id"], "left").select(
-        "text", F.col("_id").isNotNull().cast("int").alias("target"))
-    counts = materialize(bucket_counts(marked))
+    # The same plan at every size: documents are counted where they are, the labelled ones once more.
+    target = rows.join(good.hint("merge"), rows["doc_id"] == good["_id"]).select("text", F.lit(1).alias("target"))
+    counts = materialize(bucket_counts(rows.select("text", F.lit(0).alias("target"))).select("bucket", "n").join(
+        bucket_counts(target).select("bucket", "n_target"), "bucket", "left").fillna(0))
     ratio = log_ratio(counts)
     if not counts.where("n_target > 0").limit(1).count():
         ratio[:] = 0

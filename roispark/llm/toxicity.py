@@ -19,10 +19,10 @@ from roispark.llm.common import append_columns, fresh, text_of
 from roispark.llm.text import ALNUM, Slice, mix, slices
 from roispark.session import materialize
 
-ORDER, OWN = 7, 4
+ORDER, OWN = 5, 4
 DISCOUNT = 0.75
-# Contexts and n-grams of one order are told apart by 20 bits, which bounds the tables that tasks load.
-BITS = 20
+# Contexts and n-grams of one order are told apart by 19 bits, which bounds the tables that tasks load.
+BITS = 19
 # Words per passage whose likelihoods are compared besides the whole text's.
 PASSAGE = 32
 # Labelled rows, at most, that the final logistic step is fitted on.
@@ -153,23 +153,24 @@ def train(labelled: DataFrame) -> Model:
     size = 1 << BITS
     seen, weight, below = {}, {}, {}
     for k in range(1, ORDER + 1):
-        level = _level(counts, k).toPandas()
         for owner in ([0, 1] if k >= OWN else [-1]):
-            own = level[level.toxic == owner]
+            own = _level(counts, k).where(F.col("toxic") == owner).select("s", "c", "low", F.col("n").cast("float")).toPandas()
             s, c, low, n = (own[x].to_numpy() for x in ("s", "c", "low", "n"))
-            total, kinds = np.bincount(c, n, minlength=size) if len(c) else np.zeros(size), np.bincount(c, minlength=size)
-            p = np.full(size, np.nan)
+            del own
+            total, kinds = np.bincount(c, n, minlength=size), np.bincount(c, minlength=size)
+            p = np.full(size, np.nan, np.float32)
             if k == 1:
                 p[s] = np.maximum(n, DISCOUNT) / max(total[0], 1)
             else:
-                back = below.get(owner, below.get(-1))
+                back = below.get((owner, k - 1), below.get((-1, k - 1)))
                 lower = np.nan_to_num(back[low], nan=1e-6)
                 p[s] = (np.maximum(n - DISCOUNT, 0) + DISCOUNT * kinds[c] * lower) / np.maximum(total[c], 1)
-            gamma = np.zeros(size)
+            gamma = np.zeros(size, np.float32)
             some = total > 0
             gamma[some] = np.log(np.clip(DISCOUNT * kinds[some] / total[some], 1e-9, 1))
-            seen[owner, k], weight[owner, k] = np.log(np.maximum(p, 1e-12)).astype(np.float32), gamma.astype(np.float32)
-            below[owner] = p
+            seen[owner, k], weight[owner, k] = np.log(np.maximum(p, 1e-12)), gamma
+            below[owner, k] = p
+        below = {key: p for key, p in below.items() if key[1] == k}
     return Model(seen, weight)
 
 
@@ -226,16 +227,18 @@ class Scorer:
         spark = docs.sparkSession
         marks = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
         texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-        rows = materialize(texts.join(marks, "doc_id").where(learn | check).withColumn("part", F.when(check, 1).otherwise(0)))
-        shares = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+        shares = {r["toxic"]: r["n"] for r in marks.where(learn).groupBy("toxic").agg(F.count("*").alias("n")).collect()}
         self.spark, self.weights, self.model = spark, None, None
         self.prior = shares.get(1, 0) / max(sum(shares.values()), 1)
         if len(shares) < 2:
             return
-        self.model = spark.sparkContext.broadcast(train(rows.where("part = 0")))
-        sample = rows.where("part = 1").orderBy(F.xxhash64("doc_id", "text")).limit(CALIBRATION_ROWS)
+        # The same plan at every size: only the texts that teach are moved.
+        self.model = spark.sparkContext.broadcast(train(texts.where(learn).join(marks.where(learn).hint("merge"), "doc_id")))
+        # At most CALIBRATION_ROWS labels, so the other texts stay where they are.
+        sample = marks.where(check).orderBy(F.xxhash64("doc_id")).limit(CALIBRATION_ROWS)
         names = [f.name for f in _FEATURES]
-        held = _with_features(sample.select("text", "toxic"), self.model, names).select("toxic", *names).toPandas()
+        chosen = texts.where(check).join(F.broadcast(sample), "doc_id").select("text", "toxic")
+        held = _with_features(chosen, self.model, names).select("toxic", *names).limit(2 * CALIBRATION_ROWS).toPandas()
         x, y = held[names].to_numpy(), held["toxic"].to_numpy()
         if len(set(y)) < 2:
             self.model = None
