@@ -314,6 +314,7 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: in
     rows = docs.mapInArrow(run, schema).join(best, digest, "left").where(
         F.col(digest).isNull() | (F.col(rank) & F.col("doc_id").eqNullSafe(F.col(first))))
     # Rows without words are alone in their partition; the others repeat one doc_id.
-    rows = rows.withColumn(part, F.coalesce(F.hex(digest), F.concat(F.lit("~"), F.monotonically_increasing_id())))
-    order = Window.partitionBy(part).orderBy(F.col("text").asc_nulls_last())
+    # The rows lie by digest already, so the texts are not moved again.
+    rows = rows.withColumn(part, F.when(F.col(digest).isNull(), F.monotonically_increasing_id()))
+    order = Window.partitionBy(digest, part).orderBy(F.col("text").asc_nulls_last())
     return rows.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).select(*docs.columns)
