@@ -3,32 +3,36 @@
 The models predict the bytes inside words.  Orders ``OWN`` to ``ORDER`` have counts of their own class;
 lower orders share one set of backoff counts, so a rare word is explained alike by both classes and
 only expressions that a class was seen to use move the comparison.
+
+An n-gram of up to seven bytes is its own key (``codes``), so no two share a count.  The models are never in one
+place: blocks of texts send their distinct n-grams to shards, which count, and get back one ratio for each.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roispark.llm.common import append_columns, fresh, text_of
+from roispark.llm.common import fresh, text_of
 from roispark.llm.text import ALNUM, Slice, mix, slices
-from roispark.session import materialize
+from roispark.session import materialize, scratch_dir
 
-ORDER, OWN = 5, 4
+ORDER, OWN = 7, 4
 DISCOUNT = 0.75
-# Contexts and n-grams of one order are told apart by 19 bits, which bounds the tables that tasks load.
-BITS = 19
 # Words per passage whose likelihoods are compared besides the whole text's.
 PASSAGE = 32
 # Labelled rows, at most, that the final logistic step is fitted on.
 CALIBRATION_ROWS = 20_000
+# Bytes of text in a block (at least one row), and the shards that the second- and third-last bytes of n-grams are dealt to.
+BLOCK = 16 << 20
+SHARDS = 512
 _U = np.uint64
-_MASK = _U((1 << BITS) - 1)
 
 
 def symbols(part: Slice, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -44,145 +48,284 @@ def symbols(part: Slice, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return text, place
 
 
-def slots(text: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
-    """For k = 1 .. ORDER the slot of the k-gram ending at each symbol; -1 where the word is too short."""
-    out, acc = [], np.zeros(len(text), np.uint64)
-    factor = 1
-    for k in range(1, ORDER + 1):
-        back = text if k == 1 else np.concatenate([np.zeros(k - 1, np.uint64), text[:1 - k]])[:len(text)]
-        acc = acc + (back + _U(1)) * _U(factor)
-        factor = factor * 0x9E3779B97F4A7C15 % (1 << 64)
-        slot = (mix(acc + _U(k)) & _MASK).astype(np.int64)
-        out.append(np.where(place >= k - 1, slot, -1))
-    return out
+def codes(text: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The longest n-gram that ends at each symbol, its bytes as one number, the last lowest; no byte is 0."""
+    out = text.copy()
+    for k in range(1, ORDER):
+        back = np.concatenate([np.zeros(k, np.uint64), text])[:len(text)]
+        out |= np.where(place >= k, back << _U(8 * k), _U(0))
+    return out.view(np.int64)
 
 
-_COUNT_FIELDS = ", ".join(["toxic int", "order int", *(f"s{k} int" for k in range(1, ORDER + 1)),
-                           *(f"c{k} int" for k in range(2, ORDER + 1)), "n long"])
+def _cut(code: np.ndarray, k: int) -> np.ndarray:
+    """The last ``k`` symbols."""
+    return code & ((1 << 8 * k) - 1)
 
 
-def gram_counts(labelled: DataFrame) -> DataFrame:
-    """Longest n-grams of all words of ``labelled(text, toxic)`` with their suffixes, contexts and counts."""
-    names = [f.split()[0] for f in _COUNT_FIELDS.split(", ")]
+def _has(code: np.ndarray, k: int) -> np.ndarray:
+    return code >= 1 << 8 * (k - 1)
 
-    def run(batches):
-        for batch in batches:
-            label = np.asarray(batch.column("toxic"))
-            for part in slices(text_of(batch), ALNUM):
-                if not len(part.word):
-                    continue
-                key = part.word * _U(2) + np.repeat(label[part.rows.start:part.rows.stop], np.diff(part.first)).astype(np.uint64)
-                _, first, count = np.unique(key, return_index=True, return_counts=True)
-                text, place = symbols(part, first)
-                size = (part.end - part.begin)[first] + 2
-                all_slots = slots(text, place)
-                own = np.repeat(key[first] & _U(1), size).astype(np.int64)
-                keep = place > 0
-                order = np.minimum(place + 1, ORDER)
-                before = [np.concatenate([[-1], s[:-1]]) for s in all_slots]
-                columns = [own, order, *all_slots,
-                           *(np.where(place >= k - 1, before[k - 2], -1) for k in range(2, ORDER + 1))]
-                rows = np.stack(columns)[:, keep]
-                n = np.repeat(count, size)[keep]
-                head = mix(rows[0].astype(np.uint64) + _U(7) * rows[1].astype(np.uint64))
-                for r in rows[2:]:
-                    head = mix(head * _U(0x9FB21C651E98DF25) + r.astype(np.uint64))
-                _, at, which = np.unique(head, return_index=True, return_inverse=True)
-                total = np.bincount(which.ravel(), weights=n).astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(r, pa.int32()) for r in rows[:, at]), pa.array(total, pa.int64())], names)
-
-    counted = labelled.select(F.col("text").cast("string").alias("text"), F.col("toxic").cast("int").alias("toxic"))
-    return counted.mapInArrow(run, _COUNT_FIELDS).groupBy(*names[:-1]).agg(F.sum("n").alias("n"))
-
-
-def _level(counts: DataFrame, k: int) -> DataFrame:
-    """Counts of order ``k``: seen often (top order or word start) or after many symbols (continuations)."""
-    keys = (["toxic"] if k >= OWN else []) + [f"s{k}"]
-    rows = counts.where(F.col(f"s{k}") >= 0)
-    context = F.col(f"c{k}") if k > 1 else F.lit(0)
-    lower = F.col(f"s{k - 1}") if k > 1 else F.lit(0)
-    raw = F.sum(F.when(F.col("order") == k, F.col("n")).otherwise(0))
-    longer = F.count_distinct(F.when(F.col("order") > k, F.col(f"s{k + 1}"))) if k < ORDER else F.lit(0)
-    return rows.groupBy(*keys).agg((raw + longer).alias("n"), F.min(context).alias("c"), F.min(lower).alias("low")).select(
-        F.lit(k).alias("k"), (F.col("toxic") if k >= OWN else F.lit(-1)).alias("toxic"), F.col(f"s{k}").alias("s"), "c", "low", "n")
-
-
-@dataclass
-class Model:
-    """log P of every seen n-gram and log backoff weight of every seen context, by class and order."""
-
-    seen: dict
-    weight: dict
-
-    def gains(self, part: Slice) -> tuple[np.ndarray, np.ndarray]:
-        """Per word: log-likelihood ratio (toxic to ordinary) and number of predicted symbols."""
-        if not len(part.word):
-            return np.zeros(0), np.zeros(0, np.int64)
-        _, first, which = np.unique(part.word, return_index=True, return_inverse=True)
-        text, place = symbols(part, first)
-        size = (part.end - part.begin)[first] + 2
-        all_slots = slots(text, place)
-        ratio = np.zeros(len(text))
+
+def shard_of(code: np.ndarray) -> np.ndarray:
+    """All n-grams of three symbols or more that one is compared with are in its shard."""
+    return (mix((code.view(np.uint64) >> _U(8)) & _U(0xFFFF)) % _U(SHARDS)).astype(np.int32)
+
+
+def _word_codes(part: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the distinct words: which each word is, how often each occurs, their sizes, and their n-grams, size - 1 each."""
+    _, first, which, count = np.unique(part.word, return_index=True, return_inverse=True, return_counts=True)
+    text, place = symbols(part, first)
+    return which.ravel(), count, (part.end - part.begin)[first] + 2, codes(text, place)[place > 0]
+
+
+def _summed(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    own, which = np.unique(code, return_inverse=True)
+    return own, np.bincount(which.ravel(), n, minlength=len(own))
+
+
+def _find(sorted_: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each code (any place if absent), and whether it is there."""
+    if not len(sorted_):
+        return np.zeros(len(code), np.int64), np.zeros(len(code), bool)
+    at = np.minimum(np.searchsorted(sorted_, code), len(sorted_) - 1)
+    return at, sorted_[at] == code
+
+
+def _level(code: np.ndarray, n: np.ndarray, lower: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Probabilities of one order's n-grams; its contexts and their backoff weights."""
+    context, which = np.unique(code >> 8, return_inverse=True)
+    which = which.ravel()
+    total, kinds = np.bincount(which, n, minlength=len(context)), np.bincount(which, minlength=len(context))
+    p = (np.maximum(n - DISCOUNT, 0) + DISCOUNT * kinds[which] * lower) / np.maximum(total[which], 1)
+    return p, context, np.log(np.clip(DISCOUNT * kinds / np.maximum(total, 1), 1e-9, 1))
+
+
+class Base:
+    """The shared orders 1 and 2, dense: every byte and pair of bytes has its own place."""
+
+    def __init__(self, pair: np.ndarray, n: np.ndarray) -> None:
+        """``n`` of a pair: as a word's beginning its occurrences, else how many symbols it was seen after."""
+        last, kinds = _summed(_cut(pair, 1), np.ones(len(pair)))
+        self.p1, self.p2, self.weight = np.full(256, np.nan), np.full(1 << 16, np.nan), np.zeros(256)
+        self.p1[last] = np.maximum(kinds, DISCOUNT) / max(kinds.sum(), 1)
+        self.p2[pair], context, weight = _level(pair, n, self.p1[_cut(pair, 1)])
+        self.weight[context] = weight
+
+
+class Shard:
+    """The orders from 3 on of the n-grams of one shard."""
+
+    def __init__(self, base: Base, counts: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        """``counts``: distinct longest n-grams and their occurrences, of the ordinary and of the toxic class."""
+        self.base, self.levels = base, {}
+        found: dict = {}
+        for k in range(ORDER, 2, -1):
+            owners = (0, 1) if k >= OWN else (-1,)
+            for owner in owners:
+                mine = counts if owner < 0 else [counts[owner]]
+                own = [(code[only], n[only]) for code, n in mine for only in [_has(code, k) & ~_has(code, k + 1)]]
+                if k < ORDER:
+                    longer = found[owner, k + 1][0] if (owner, k + 1) in found else np.unique(np.concatenate([found[o, k + 1][0] for o in (0, 1)]))
+                    own.append((_cut(longer, k), np.ones(len(longer))))
+                found[owner, k] = _summed(np.concatenate([c for c, _ in own]), np.concatenate([n for _, n in own]))
+        for k in range(3, ORDER + 1):
+            for owner in (0, 1) if k >= OWN else (-1,):
+                code, n = found[owner, k]
+                if k == 3:
+                    lower = base.p2[_cut(code, 2)]
+                else:
+                    below = self.levels.get((owner, k - 1), self.levels.get((-1, k - 1)))
+                    lower = below[1][_find(below[0], _cut(code, k - 1))[0]] if len(code) else np.zeros(0)
+                self.levels[owner, k] = (code, *_level(code, n, lower))
+
+    def ratios(self, code: np.ndarray) -> np.ndarray:
+        """log-likelihood ratio (toxic to ordinary) of the last symbol after those before it."""
+        out = np.zeros(len(code))
         for label, sign in ((1, 1.0), (0, -1.0)):
-            value = np.zeros(len(text), np.float32)
-            open_ = place > 0
+            value, open_ = np.zeros(len(code)), np.ones(len(code), bool)
             for k in range(ORDER, 0, -1):
-                owner = label if k >= OWN else -1
-                slot = all_slots[k - 1]
-                fits = open_ & (slot >= 0)
-                found = np.where(fits, self.seen[owner, k][slot], np.float32(np.nan))
-                known = fits & ~np.isnan(found)
-                value = np.where(known, value + np.nan_to_num(found), value)
-                open_ = open_ & ~known
-                if k > 1:
-                    before = np.concatenate([[-1], all_slots[k - 2][:-1]])
-                    value = np.where(open_ & fits & (before >= 0), value + self.weight[owner, k][before], value)
-            value[open_] += np.float32(-8.0)
-            ratio += sign * value
-        start = np.cumsum(size) - size
-        return np.add.reduceat(ratio, start)[which.ravel()], (size - 1)[which.ravel()]
-
-
-def train(labelled: DataFrame) -> Model:
-    """Kneser-Ney models of both classes from all rows of ``labelled(text, toxic)``.
-
-    The level tables have at most 2^BITS rows an order and class, whatever the size of the corpus.
+                fits = open_ & _has(code, k)
+                gram = _cut(code, k)
+                if k > 2:
+                    own, p, context, weight = self.levels[label if k >= OWN else -1, k]
+                    at, known = _find(own, gram)
+                    p = p[at] if len(p) else np.ones(len(code))
+                    at, some = _find(context, gram >> 8)
+                    back = np.where(some, weight[at], 0) if len(weight) else np.zeros(len(code))
+                else:
+                    p = self.base.p2[gram] if k == 2 else self.base.p1[gram]
+                    known = ~np.isnan(p)
+                    back = self.base.weight[gram >> 8] if k == 2 else np.zeros(len(code))
+                known = known & fits
+                value += np.where(known, np.log(np.maximum(np.where(known, p, 1), 1e-12)), np.where(fits, back, 0))
+                open_ &= ~known
+            value[open_] -= 8.0
+            out += sign * value
+        return out
+
+
+def _blocks(rows: DataFrame) -> DataFrame:
+    """``(block, ids, body)``: the rows in blocks, written once; joins by ``block`` leave them where they are."""
+    spark, kind = rows.sparkSession, rows.schema["doc_id"].dataType
+
+    def run(batches):
+        task, number = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            size = np.frombuffer(text_of(batch).buffers()[1], np.int64)[batch.column("text").offset:][:batch.num_rows + 1]
+            begin = 0
+            while begin < batch.num_rows:
+                end = max(begin + 1, int(np.searchsorted(size, size[begin] + BLOCK, "right")) - 1)
+                part, sink = batch.slice(begin, end - begin), pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    out.write_batch(part)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([task << 32 | number], pa.int64()), pa.array([part.column("doc_id").to_pylist()], pa.list_(part.column("doc_id").type)),
+                    pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["block", "ids", "body"])
+                begin, number = end, number + 1
+
+    made = rows.mapInArrow(run, T.StructType([
+        T.StructField("block", T.LongType()), T.StructField("ids", T.ArrayType(kind)), T.StructField("body", T.BinaryType())]))
+    name = f"t_{uuid.uuid4().hex}"
+    made.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").option(
+        "path", f"{scratch_dir(spark).rstrip('/')}/{name}").format("parquet").saveAsTable(name)
+    found = spark.table(name)
+    found.schema
+    spark.sql(f"DROP TABLE {name}")  # the name only; the files stay
+    return found
+
+
+def _body(value: pa.Scalar) -> pa.RecordBatch:
+    with pa.ipc.open_stream(value.as_buffer()) as source:
+        return source.read_next_batch()
+
+
+def _dealt(code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order of distinct codes by shard, the shards there, and where each begins."""
+    shard = shard_of(code)
+    order = np.argsort(shard, kind="stable")
+    own, start = np.unique(shard[order], return_index=True)
+    return order, own, np.append(start, len(code))
+
+
+_SENT = "shard int, kind int, block long, codes binary, n binary"
+_SENT_NAMES = [f.split()[0] for f in _SENT.split(", ")]
+
+
+def _send(kind: int, block: int, code: np.ndarray, n: np.ndarray | None = None) -> pa.RecordBatch:
+    order, own, start = _dealt(code)
+    code = code[order]
+    n = None if n is None else n[order].astype(np.int64)
+    parts = list(zip(start[:-1], start[1:]))
+    return pa.RecordBatch.from_arrays([
+        pa.array(own, pa.int32()), pa.array([kind] * len(own), pa.int32()), pa.array([block] * len(own), pa.int64()),
+        pa.array([code[a:b].tobytes() for a, b in parts], pa.binary()),
+        pa.array([None if n is None else n[a:b].tobytes() for a, b in parts], pa.binary())], _SENT_NAMES)
+
+
+def asked(blocks: DataFrame) -> DataFrame:
+    """The distinct n-grams of every block, by shard."""
+
+    def run(batches):
+        for batch in batches:
+            for block, body in zip(batch.column("block").to_pylist(), batch.column("body")):
+                own = [np.unique(_word_codes(part)[3]) for part in slices(text_of(_body(body)), ALNUM) if len(part.word)]
+                if own:
+                    yield _send(4, block, np.unique(np.concatenate(own)))
+
+    return blocks.select("block", "body").mapInArrow(run, _SENT)
+
+
+def taught(blocks: DataFrame, labelled: DataFrame) -> DataFrame:
+    """Occurrences of n-grams in the rows ``labelled(block, place, toxic, held)``; ``kind`` is toxic + 2 held."""
+
+    def run(batches):
+        for batch in batches:
+            for block, body, marks in zip(batch.column("block").to_pylist(), batch.column("body"), batch.column("marks").to_pylist()):
+                texts = text_of(_body(body))
+                for kind in range(4):
+                    chosen = texts.take(pa.array([m["place"] for m in marks if m["toxic"] + 2 * m["held"] == kind], pa.int64()))
+                    own = []
+                    for part in slices(chosen, ALNUM):
+                        if len(part.word):
+                            _, count, size, code = _word_codes(part)
+                            own.append(_summed(code, np.repeat(count, size - 1)))
+                    if own:
+                        yield _send(kind, block, *_summed(np.concatenate([c for c, _ in own]), np.concatenate([n for _, n in own])))
+
+    marks = labelled.groupBy("block").agg(F.collect_list(F.struct("place", "toxic", "held")).alias("marks"))
+    return blocks.select("block", "body").join(marks.hint("shuffle_hash"), "block").mapInArrow(run, _SENT)
+
+
+def base(sent: DataFrame, kinds: tuple[int, ...]) -> Base:
+    """Orders 1 and 2 of the rows of these kinds; at most one row for each pair of bytes comes to the driver."""
+
+    def run(batches):
+        for batch in batches:
+            code = np.frombuffer(b"".join(batch.column("codes").to_pylist()), np.int64)
+            n = np.frombuffer(b"".join(batch.column("n").to_pylist()), np.int64)
+            own, n = _summed(_cut(code, 3), np.where(_has(code, 3), 0, n))
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(n.astype(np.int64))], ["code", "n"])
+
+    three = sent.where(F.col("kind").isin(*kinds)).select("codes", "n").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    pairs = three.groupBy(F.col("code").bitwiseAND(0xFFFF).alias("code")).agg(
+        F.sum(F.col("n") + (F.col("code") > 0xFFFF).cast("long")).alias("n")).toPandas()
+    return Base(pairs["code"].to_numpy(np.int64), pairs["n"].to_numpy(np.float64))
+
+
+def answered(sent: DataFrame, models: list[tuple[Base, tuple[int, ...]]]) -> DataFrame:
+    """``(block, shard, r0, r1, …)``: the ratios by each model of the n-grams a block asked a shard for, in their order.
+
+    A model counts the rows of its kinds.  A task holds the distinct n-grams of one shard; questions stream past.
     """
-    counts = materialize(gram_counts(labelled))
-    size = 1 << BITS
-    seen, weight, below = {}, {}, {}
-    for k in range(1, ORDER + 1):
-        for owner in ([0, 1] if k >= OWN else [-1]):
-            own = _level(counts, k).where(F.col("toxic") == owner).select("s", "c", "low", F.col("n").cast("float")).toPandas()
-            s, c, low, n = (own[x].to_numpy() for x in ("s", "c", "low", "n"))
-            del own
-            total, kinds = np.bincount(c, n, minlength=size), np.bincount(c, minlength=size)
-            p = np.full(size, np.nan, np.float32)
-            if k == 1:
-                p[s] = np.maximum(n, DISCOUNT) / max(total[0], 1)
-            else:
-                back = below.get((owner, k - 1), below.get((-1, k - 1)))
-                lower = np.nan_to_num(back[low], nan=1e-6)
-                p[s] = (np.maximum(n - DISCOUNT, 0) + DISCOUNT * kinds[c] * lower) / np.maximum(total[c], 1)
-            gamma = np.zeros(size, np.float32)
-            some = total > 0
-            gamma[some] = np.log(np.clip(DISCOUNT * kinds[some] / total[some], 1e-9, 1))
-            seen[owner, k], weight[owner, k] = np.log(np.maximum(p, 1e-12)), gamma
-            below[owner, k] = p
-        below = {key: p for key, p in below.items() if key[1] == k}
-    return Model(seen, weight)
-
-
-def features(part: Slice, model: Model) -> np.ndarray:
-    """Per row: ratio per symbol of the whole text, of its most toxic passage, and whether it has words."""
-    ratio, size = model.gains(part)
+    names = ["block", "shard", *(f"r{i}" for i in range(len(models)))]
+
+    def run(batches):
+        at, counts, shards = None, {}, []
+        for batch in batches:
+            shard, kind = np.asarray(batch.column("shard")), np.asarray(batch.column("kind"))
+            cut = np.flatnonzero(np.append(True, (shard[1:] != shard[:-1]) | (kind[1:] != kind[:-1]))) if len(shard) else []
+            for a, b in zip(cut, [*cut[1:], len(shard)]):
+                if shard[a] != at:
+                    at, counts, shards = shard[a], {}, []
+                code = [np.frombuffer(x, np.int64) for x in batch.column("codes").slice(a, b - a).to_pylist()]
+                flat = np.concatenate(code)
+                if kind[a] < 4:
+                    n = np.frombuffer(b"".join(batch.column("n").slice(a, b - a).to_pylist()), np.int64)
+                    old = counts.get(kind[a], (flat[:0], n[:0]))
+                    counts[kind[a]] = _summed(np.concatenate([old[0], flat]), np.concatenate([old[1], n]))
+                    continue
+                if not shards:
+                    none = (np.zeros(0, np.int64), np.zeros(0))
+                    for model, kinds in models:
+                        mine = [[counts.get(k, none) for k in kinds if k % 2 == label] for label in (0, 1)]
+                        shards.append(Shard(model, [_summed(*(np.concatenate([none[i], *(c[i] for c in own)]) for i in (0, 1))) for own in mine]))
+                own, which = np.unique(flat, return_inverse=True)
+                ends = np.cumsum([len(c) for c in code])
+                ratios = [np.split(x.ratios(own).astype(np.float32)[which.ravel()], ends[:-1]) for x in shards]
+                yield pa.RecordBatch.from_arrays([
+                    batch.column("block").slice(a, b - a), batch.column("shard").slice(a, b - a),
+                    *(pa.array([r.tobytes() for r in ratio], pa.binary()) for ratio in ratios)], names)
+
+    dealt = sent.repartition("shard").sortWithinPartitions("shard", "kind")
+    return dealt.mapInArrow(run, ", ".join(["block long", "shard int", *(f"{n} binary" for n in names[2:])]))
+
+
+def features(part: Slice, code: np.ndarray, ratio_of: np.ndarray) -> np.ndarray:
+    """Per row: ratio per symbol of the whole text, of its most toxic passage, whether it has words, and the text's ratio."""
+    ratio, size = np.zeros(0), np.zeros(0, np.int64)
+    if len(part.word):
+        which, _, long, own = _word_codes(part)
+        value = ratio_of[np.searchsorted(code, own)]
+        ratio, size = np.add.reduceat(value, np.cumsum(long - 1) - (long - 1))[which], (long - 1)[which]
     total = np.concatenate([[0.0], np.cumsum(ratio)])
     length = np.concatenate([[0], np.cumsum(size)])
-    out = np.zeros((len(part.rows), 3))
+    out = np.zeros((len(part.rows), 4))
     lo, hi = part.first[:-1], part.first[1:]
     some = hi > lo
-    out[some, 0] = (total[hi[some]] - total[lo[some]]) / (length[hi[some]] - length[lo[some]])
+    out[some, 3] = total[hi[some]] - total[lo[some]]
+    out[some, 0] = out[some, 3] / (length[hi[some]] - length[lo[some]])
     out[:, 2] = some
     if len(ratio):
         # Passage i: PASSAGE words from word i on, cut at its text's end and counted as full.
@@ -193,74 +336,32 @@ def features(part: Slice, model: Model) -> np.ndarray:
     return out
 
 
-_FEATURES = [T.StructField(f"x{i}", T.DoubleType()) for i in range(3)]
-
-
-def _with_features(rows: DataFrame, model, names: list[str]) -> DataFrame:
-    def work(batch):
-        parts = [features(part, model.value) for part in slices(text_of(batch), ALNUM)]
-        x = np.concatenate(parts) if parts else np.zeros((0, 3))
-        return [pa.array(x[:, i]) for i in range(3)]
-
-    return append_columns(rows, work, [T.StructField(n, T.DoubleType()) for n in names])
+def _block_features(texts: pa.Array, got: list[dict] | None, chosen: list[int] | None = None) -> np.ndarray:
+    """Features of a block's texts (or of those chosen) by the ratios that its shards have sent."""
+    if got:
+        code = np.unique(np.concatenate([_word_codes(part)[3] for part in slices(texts, ALNUM) if len(part.word)]))
+        ratio = np.zeros(len(code))
+        ratio[_dealt(code)[0]] = np.frombuffer(b"".join(g["r"] for g in sorted(got, key=lambda g: g["shard"])), np.float32)
+    else:
+        code, ratio = np.zeros(0, np.int64), np.zeros(0)
+    texts = texts if chosen is None else texts.take(pa.array(chosen, pa.int64()))
+    return np.concatenate([np.zeros((0, 4)), *(features(part, code, ratio) for part in slices(texts, ALNUM))])
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Ridge-regularised Newton steps; the intercept is the last weight."""
+def _logistic(x: np.ndarray, y: np.ndarray, mass: np.ndarray) -> np.ndarray:
+    """Ridge-regularised Newton steps over rows of the given mass; the intercept is the last weight."""
     a = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(a.shape[1])
     ridge = np.diag([1e-4] * x.shape[1] + [1e-9])
     for _ in range(40):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        step = np.linalg.solve(a.T @ (a * (p * (1 - p))[:, None]) + ridge, a.T @ (y - p) - ridge @ w)
+        step = np.linalg.solve(a.T @ (a * (mass * p * (1 - p))[:, None]) + ridge, a.T @ (mass * (y - p)) - ridge @ w)
         w += np.clip(step, -5 / np.maximum(np.abs(a).max(axis=0), 1e-9), 5 / np.maximum(np.abs(a).max(axis=0), 1e-9))
         if np.abs(step).max() < 1e-9:
             break
     return w
 
 
-class Scorer:
-    """Trained models and the map from their likelihood ratios to a probability."""
-
-    def __init__(self, docs: DataFrame, labels: DataFrame, learn: Column, check: Column) -> None:
-        """``learn`` and ``check`` choose label rows by ``doc_id``: for the counts, and for the final step."""
-        spark = docs.sparkSession
-        marks = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-        texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-        shares = {r["toxic"]: r["n"] for r in marks.where(learn).groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-        self.spark, self.weights, self.model = spark, None, None
-        self.prior = shares.get(1, 0) / max(sum(shares.values()), 1)
-        if len(shares) < 2:
-            return
-        # The same plan at every size: only the texts that teach are moved.
-        self.model = spark.sparkContext.broadcast(train(texts.where(learn).join(marks.where(learn).hint("merge"), "doc_id")))
-        # At most CALIBRATION_ROWS labels, so the other texts stay where they are.
-        sample = marks.where(check).orderBy(F.xxhash64("doc_id")).limit(CALIBRATION_ROWS)
-        names = [f.name for f in _FEATURES]
-        chosen = texts.where(check).join(F.broadcast(sample), "doc_id").select("text", "toxic")
-        held = _with_features(chosen, self.model, names).select("toxic", *names).limit(2 * CALIBRATION_ROWS).toPandas()
-        x, y = held[names].to_numpy(), held["toxic"].to_numpy()
-        if len(set(y)) < 2:
-            self.model = None
-            return
-        self.scale = np.maximum(x.std(axis=0), 1e-9)
-        self.weights = _logistic(x / self.scale, y) / np.append(self.scale, 1.0)
-
-    def score(self, rows: DataFrame) -> tuple[DataFrame, str]:
-        """``rows`` with a column of scores, and its name."""
-        out = fresh(rows, stem="score")
-        if self.model is None:
-            return rows.withColumn(out, F.lit(float(self.prior))), out
-        model, weights = self.model, self.weights
-
-        def work(batch):
-            parts = [features(part, model.value) for part in slices(text_of(batch), ALNUM)]
-            x = np.concatenate(parts) if parts else np.zeros((0, 3))
-            return [pa.array(1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30))))]
-
-        return append_columns(rows, work, [T.StructField(out, T.DoubleType())]), out
-
-
 FOLDS = 5
 
 
@@ -268,12 +369,74 @@ def _fold() -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % FOLDS
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
-    """A scorer that never sees the labels of rows whose crc32(doc_id) modulo 5 is 0.
+class Scorer:
+    """Scores of rows by models of their own labels, and the map from likelihood ratios to a probability.
 
-    Rows of remainder 1 fit the final logistic step (at most ``CALIBRATION_ROWS``), the others the counts.
+    Labels of rows whose crc32(doc_id) modulo 5 is 0 are never seen.  Those of remainder 2 to 4 are counted.  The final logistic
+    step is fitted on at most ``CALIBRATION_ROWS`` rows of remainder 1, as many of each class as there are up to
+    half of them, whose ratios are those of models that have not counted them.
     """
-    return Scorer(docs, labels, _fold() > 1, _fold() == 1)
+
+    def __init__(self, rows: DataFrame, labels: DataFrame) -> None:
+        self.rows, self.weights, self.blocks = rows, None, None
+        marks = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(_fold() > 0)
+        shares = {r["toxic"]: r["n"] for r in marks.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+        self.prior = shares.get(1, 0) / max(sum(shares.values()), 1)
+        if len(shares) < 2:
+            return
+        half = [marks.where((_fold() == 1) & (F.col("toxic") == label)).orderBy(F.xxhash64("doc_id")).limit(CALIBRATION_ROWS // 2) for label in (0, 1)]
+        held = half[0].unionByName(half[1]).select("doc_id", F.lit(1).alias("held"))
+        marks = materialize(marks.join(held, "doc_id", "left").where((_fold() > 1) | F.col("held").isNotNull()).select("doc_id", F.col("toxic").cast("int").alias("toxic"), F.coalesce("held", F.lit(0)).alias("held")))
+        self.blocks = blocks = _blocks(rows)
+        labelled = materialize(blocks.select("block", F.posexplode("ids").alias("place", "doc_id")).join(marks, "doc_id").select("block", "place", "toxic", "held"))
+        lessons = materialize(taught(blocks, labelled))
+        every = others = (0, 1)
+        self.found = materialize(answered(lessons.unionByName(asked(blocks)), [(base(lessons, kinds), kinds) for kinds in (every, others)]))
+        mass = {(r["toxic"], r["held"]): r["n"] for r in labelled.groupBy("toxic", "held").agg(F.count("*").alias("n")).collect()}
+        if len(mass) < 4:
+            self.blocks = None
+            return
+        self._calibrate(labelled, mass)
+
+    def _ratios(self, name: str) -> DataFrame:
+        return self.found.groupBy("block").agg(F.collect_list(F.struct("shard", F.col(name).alias("r"))).alias("got")).hint("shuffle_hash")
+
+    def _calibrate(self, labelled: DataFrame, mass: dict) -> None:
+        def run(batches):
+            for batch in batches:
+                for body, marks, got in zip(batch.column("body"), batch.column("marks").to_pylist(), batch.column("got").to_pylist()):
+                    x = _block_features(text_of(_body(body)), got, [m["place"] for m in marks])
+                    yield pa.RecordBatch.from_arrays([pa.array([m["toxic"] for m in marks], pa.int32()), *(pa.array(x[:, i]) for i in range(3))], ["toxic", *names])
+
+        names = ["x0", "x1", "x2"]
+        marks = labelled.where("held = 1").groupBy("block").agg(F.collect_list(F.struct("place", "toxic")).alias("marks"))
+        chosen = self.blocks.select("block", "body").join(marks.hint("shuffle_hash"), "block").join(self._ratios("r1"), "block", "left")
+        held = chosen.select("body", "marks", "got").mapInArrow(run, "toxic int, x0 double, x1 double, x2 double").limit(2 * CALIBRATION_ROWS).toPandas()
+        x, y = held[names].to_numpy(), held["toxic"].to_numpy()
+        # Each class weighs what it does among all labelled rows.
+        share = np.array([sum(n for (toxic, _), n in mass.items() if toxic == label) for label in (0, 1)]) / sum(mass.values())
+        scale = np.maximum(x.std(axis=0), 1e-9)
+        size = np.maximum(np.bincount(y, minlength=2), 1)
+        self.weights = _logistic(x / scale, y, (share / size)[y] * len(y)) / np.append(scale, 1.0)
+
+    def score(self) -> tuple[DataFrame, str]:
+        """The rows with a column of scores, and its name."""
+        rows, out = self.rows, fresh(self.rows, stem="score")
+        if self.blocks is None:
+            return rows.withColumn(out, F.lit(float(self.prior))), out
+        weights = self.weights
+        weights = np.insert(weights, 3, 0.0)
+        names = [*rows.columns, out]
+
+        def run(batches):
+            for batch in batches:
+                for body, got in zip(batch.column("body"), batch.column("got").to_pylist()):
+                    own = _body(body)
+                    x = _block_features(text_of(own), got)
+                    yield pa.RecordBatch.from_arrays([*own.columns, pa.array(1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30))))], names)
+
+        told = self.blocks.select("block", "body").join(self._ratios("r0"), "block", "left")
+        return told.select("body", "got").mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(out, T.DoubleType())])), out
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -284,7 +447,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     counts; without labels of both classes every score is the share of toxic labels; repeated rows are
     rows of their own; other columns are ignored.
     """
-    rows, score = fit(docs, labels).score(docs.select("doc_id", F.col("text").cast("string").alias("text")))
+    rows, score = Scorer(docs.select("doc_id", F.col("text").cast("string").alias("text")), labels).score()
     return rows.select(
         "doc_id", F.coalesce(_fold() == 0, F.lit(False)).alias("held_out"), F.col(score).alias("score"),
         (F.col(score) >= 0.5).cast("int").alias("predicted"))
@@ -292,5 +455,5 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``, with all their columns; same cases as ``toxicity``."""
-    rows, score = fit(docs, labels).score(docs)
+    rows, score = Scorer(docs, labels).score()
     return rows.where(F.col(score) < threshold).select(*docs.columns)

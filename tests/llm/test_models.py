@@ -32,6 +32,79 @@ def test_toxicity_on_held_out_rows(labelled):
     assert kept.columns == docs.columns
 
 
+def plain_ratios(taught, asked):
+    """log-likelihood ratio of each word by Kneser-Ney models of full order over dictionaries."""
+    own, shared, top = ({0: {}, 1: {}}, {}, toxicity.ORDER)
+    for text, toxic in taught:
+        for word in text.lower().split():
+            w = f"^{word}$"
+            for i in range(1, len(w)):
+                g = w[max(0, i + 1 - top):i + 1]
+                own[toxic][g] = own[toxic].get(g, 0) + 1
+    levels = {}
+    for k in range(top, 0, -1):
+        for o in (0, 1) if k >= toxicity.OWN else (-1,):
+            tables, found = [own[o]] if o >= 0 else [own[0], own[1]], {}
+            for table in tables:
+                for g, n in table.items():
+                    if len(g) == k:
+                        found[g] = found.get(g, 0) + n
+            for g in {g for x in ((0, 1) if o < 0 and k + 1 >= toxicity.OWN else (o,)) for g in levels.get((x, k + 1), {})}:
+                found[g[1:]] = found.get(g[1:], 0) + 1
+            levels[o, k] = found
+    d, ctx = toxicity.DISCOUNT, {}
+    for at, found in levels.items():
+        for g, n in found.items():
+            total, kinds = ctx.get((at, g[:-1]), (0, 0))
+            ctx[at, g[:-1]] = (total + n, kinds + 1)
+
+    def p(o, g):
+        k = len(g)
+        at = (o if k >= toxicity.OWN else -1, k)
+        total, kinds = ctx.get((at, g[:-1]), (0, 0))
+        if g in levels[at]:
+            n = levels[at][g]
+            return max(n, d) / total if k == 1 else (max(n - d, 0) + d * kinds * p(o, g[1:])) / total
+        back = np.exp(-8.0) if k == 1 else p(o, g[1:])
+        return back * (max(d * kinds / total, 1e-9) if total and k > 1 else 1)
+
+    def ratio(word):
+        w = f"^{word}$"
+        grams = [w[max(0, i + 1 - top):i + 1] for i in range(1, len(w))]
+        return sum(np.log(p(1, g)) - np.log(p(0, g)) for g in grams)
+
+    return {w: ratio(w) for w in asked}
+
+
+def test_toxicity_models_match_plain_ones(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "BLOCK", 2_000)
+    # Words that differ by six and more symbols only, so shorter n-grams are the same in both classes.
+    odd = ["xabcdefy", "zabcdefw", "xabcdefw", "zabcdefy"]
+    rows = [(i, f"{prose(i, 12)} {odd[i % 2 + 2 * (i % 3 == 0)]} {prose(i % 7, 3)}") for i in range(90)]
+    toxic = {i: int(i % 3 == 0) for i, _ in rows}
+    blocks = toxicity._blocks(documents(spark, rows).select("doc_id", "text"))
+    assert blocks.count() > 4
+    marks = spark.createDataFrame([(i, t, int(i % 4 == 1)) for i, t in toxic.items()], "doc_id long, toxic int, held int")
+    labelled = blocks.selectExpr("block", "posexplode(ids) as (place, doc_id)").join(marks, "doc_id").select("block", "place", "toxic", "held")
+    lessons = toxicity.taught(blocks, labelled)
+    for kinds, taught in (((0, 1, 2, 3), rows), ((0, 1), [r for r in rows if r[0] % 4 != 1])):
+        model = toxicity.base(lessons, kinds)
+        words = sorted({w for _, t in rows for w in t.split()} | {"xabcdefg", "ünsëen", "q"})
+        want = plain_ratios([(t, toxic[i]) for i, t in taught], words)
+        ask = toxicity._blocks(documents(spark, [(n, w) for n, w in enumerate(words)]).select("doc_id", "text"))
+        got = toxicity.answered(lessons.unionByName(toxicity.asked(ask)), [(model, kinds)])
+        told = got.groupBy("block").agg({"*": "count"}).count()
+        assert told == ask.count()
+        by = {}
+        for r in got.collect():
+            by.setdefault(r.block, []).append({"shard": r.shard, "r": r.r0})
+        for b in ask.collect():
+            x = toxicity._block_features(toxicity.text_of(toxicity._body(toxicity.pa.scalar(bytes(b.body)))), by[b.block])
+            for n, (total, has) in zip(b.ids, x[:, [3, 2]]):
+                assert has == 1 and abs(total - want[words[n]]) < 1e-3, words[n]
+    assert want["xabcdefy"] != want["xabcdefw"]
+
+
 def test_toxicity_without_labels(spark):
     docs = documents(spark, AWKWARD)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
