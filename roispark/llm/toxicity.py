@@ -372,7 +372,7 @@ def _fold() -> Column:
 class Scorer:
     """Scores of rows by models of their own labels, and the map from likelihood ratios to a probability.
 
-    Labels of rows whose crc32(doc_id) modulo 5 is 0 are never seen.  Those of remainder 2 to 4 are counted.  The final logistic
+    Labels of rows whose crc32(doc_id) modulo 5 is 0 are never seen.  All others are counted.  The final logistic
     step is fitted on at most ``CALIBRATION_ROWS`` rows of remainder 1, as many of each class as there are up to
     half of them, whose ratios are those of models that have not counted them.
     """
@@ -386,17 +386,15 @@ class Scorer:
             return
         half = [marks.where((_fold() == 1) & (F.col("toxic") == label)).orderBy(F.xxhash64("doc_id")).limit(CALIBRATION_ROWS // 2) for label in (0, 1)]
         held = half[0].unionByName(half[1]).select("doc_id", F.lit(1).alias("held"))
-        marks = materialize(marks.join(held, "doc_id", "left").where((_fold() > 1) | F.col("held").isNotNull()).select("doc_id", F.col("toxic").cast("int").alias("toxic"), F.coalesce("held", F.lit(0)).alias("held")))
+        marks = materialize(marks.join(held, "doc_id", "left").select("doc_id", F.col("toxic").cast("int").alias("toxic"), F.coalesce("held", F.lit(0)).alias("held")))
         self.blocks = blocks = _blocks(rows)
         labelled = materialize(blocks.select("block", F.posexplode("ids").alias("place", "doc_id")).join(marks, "doc_id").select("block", "place", "toxic", "held"))
         lessons = materialize(taught(blocks, labelled))
-        every = others = (0, 1)
+        every, others = (0, 1, 2, 3), (0, 1)
         self.found = materialize(answered(lessons.unionByName(asked(blocks)), [(base(lessons, kinds), kinds) for kinds in (every, others)]))
         mass = {(r["toxic"], r["held"]): r["n"] for r in labelled.groupBy("toxic", "held").agg(F.count("*").alias("n")).collect()}
-        if len(mass) < 4:
-            self.blocks = None
-            return
-        self._calibrate(labelled, mass)
+        if len(mass) == 4:
+            self._calibrate(labelled, mass)
 
     def _ratios(self, name: str) -> DataFrame:
         return self.found.groupBy("block").agg(F.collect_list(F.struct("shard", F.col(name).alias("r"))).alias("got")).hint("shuffle_hash")
@@ -425,7 +423,11 @@ class Scorer:
         if self.blocks is None:
             return rows.withColumn(out, F.lit(float(self.prior))), out
         weights = self.weights
-        weights = np.insert(weights, 3, 0.0)
+        # Without both classes to fit on: the odds of the classes times the text's likelihood ratio.
+        if weights is None:
+            weights = np.array([0.0, 0.0, 0.0, 1.0, np.log(self.prior / (1 - self.prior))])
+        else:
+            weights = np.insert(weights, 3, 0.0)
         names = [*rows.columns, out]
 
         def run(batches):

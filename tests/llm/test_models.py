@@ -105,6 +105,23 @@ def test_toxicity_models_match_plain_ones(spark, monkeypatch):
     assert want["xabcdefy"] != want["xabcdefw"]
 
 
+def test_toxicity_counts_all_rows_and_needs_no_second_class(spark):
+    """Every toxic label is in the fold that fits the last step, or none is: the models still reject."""
+    import zlib
+
+    for fold in (1, 2):
+        rows, labels = [], []
+        for i in range(400):
+            mine = zlib.crc32(str(i).encode()) % 5
+            bad = mine == fold and i % 2 == 0
+            show = bad or (mine == 0 and i % 2 == 0)
+            rows.append((i, prose(i, 40) + " grobnitvlerk" * (6 * show)))
+            labels.append((i, 1, int(bad)))
+        got = {r.doc_id: r for r in toxicity.toxicity(documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+        assert all(got[i].predicted == 1 for i, text in rows if "vlerk" in text)
+        assert np.mean([got[i].predicted == 0 for i, text in rows if "vlerk" not in text]) > 0.9
+
+
 def test_toxicity_without_labels(spark):
     docs = documents(spark, AWKWARD)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
