@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
@@ -38,6 +39,11 @@ TEMPLATES = [
             "granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    *[(f"cc-{short.lower()}", f"This work is licensed under a Creative Commons {long} 4.0 International License.") for short, long in (
+        ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC", "Attribution-NonCommercial"),
+        ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"), ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"))],
+    *[(f"cc-{short.lower()}", f"Licensed under CC {short} 4.0.") for short in ("BY", "BY-SA", "BY-ND", "BY-NC", "BY-NC-SA", "BY-NC-ND")],
+    ("cc0", "Licensed under CC0 1.0 Universal."),
     ("cc0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("unlicense", "This is free and unencumbered software released into the public domain."),
 ]
@@ -58,10 +64,14 @@ ANCHOR = "licen[cs]e|copyright|permission|redistribut|free software|public domai
 SAMPLE_ROWS = 1_000
 VOCABULARY = 1_500
 CONFIRM = 0.6
+# A line with this share of its word triples (with the two words before or after it) in the templates is part of a notice.
+PART = 0.5
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit("([a-z0-9]+)"), F.lit(1))
+    # Comment leaders with letters go; the others hold none.
+    plain = F.regexp_replace(F.lower(text), r"(?m)^[ \t]*(rem|dnl)[ \t]", "")
+    return F.regexp_extract_all(plain, F.lit("([a-z0-9]+)"), F.lit(1))
 
 
 def grams(tokens: Column, n: int) -> Column:
@@ -75,12 +85,43 @@ def features(tokens: Column) -> Column:
     return F.concat(grams(tokens, 1), grams(tokens, 2))
 
 
+def _template_triples() -> list[str]:
+    every = [re.findall("[a-z0-9]+", text.lower()) for _, text in TEMPLATES]
+    return sorted({" ".join(w[i:i + 3]) for w in every for i in range(len(w) - 2)})
+
+
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """``(doc_id, paragraph, start, end, body)`` of the lines that hold an anchor; places in code points."""
+    """``(doc_id, paragraph, start, end, body)`` of the notices and other lines that hold an anchor; places in code points.
+
+    Consecutive lines that are parts of notices are one paragraph, numbered by its first line, so hard-wrapped
+    notices are seen whole; a line without words (a comment leader alone) parts them.
+    """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(
         F.lower("text").rlike(ANCHOR))
     cut = rows.select("doc_id", F.split("text", "\n", -1).alias("all"))
-    lines = cut.select("doc_id", "all", F.posexplode("all").alias("paragraph", "body")).where(F.lower("body").rlike(ANCHOR))
+    worded = cut.withColumn("_w", F.transform("all", words))
+    none, places = F.array().cast("array<string>"), F.sequence(F.lit(0), F.size("all") - 1)
+    triples = F.array(*map(F.lit, _template_triples()))
+
+    def part(i: Column) -> Column:
+        before, own, after = (F.coalesce(F.get("_w", i + d), none) for d in (-1, 0, 1))
+        ends = F.slice(before, F.greatest(F.size(before) - 1, F.lit(1)), F.lit(2)), F.slice(after, 1, 2)
+        sides = [grams(x, 3) for x in (F.concat(ends[0], own), F.concat(own, ends[1]))]
+        return (F.size(own) > 0) & (F.greatest(*[F.size(F.array_intersect(x, triples)) / F.greatest(F.size(x), F.lit(1)) for x in sides]) >= PART)
+
+    marked = worded.withColumn("_part", F.transform(places, part))
+
+    def longer(found: Column, i: Column) -> Column:
+        own, last = F.get("_part", i), F.element_at(found, -1)
+        joins = own & (F.size(found) > 0) & last["part"] & (last["last"] == i - 1)
+        line = F.array(F.struct(F.when(joins, last["first"]).otherwise(i).alias("first"), i.alias("last"), own.alias("part")))
+        rest = F.when(joins, F.slice(found, F.lit(1), F.size(found) - 1)).otherwise(found)
+        return F.when(own | F.lower(F.get("all", i)).rlike(ANCHOR), F.concat(rest, line)).otherwise(found)
+
+    runs = F.aggregate(places, F.array().cast("array<struct<first:int,last:int,part:boolean>>"), longer)
+    found = marked.select("doc_id", "all", F.explode(runs).alias("_run"))
+    lines = found.select("doc_id", "all", F.col("_run.first").alias("paragraph"), F.array_join(
+        F.slice("all", F.col("_run.first") + 1, F.col("_run.last") - F.col("_run.first") + 1), "\n").alias("body")).where(F.lower("body").rlike(ANCHOR))
     start = F.aggregate(F.slice("all", F.lit(1), F.col("paragraph")), F.lit(0), lambda a, x: a + F.length(x) + 1)
     return lines.select("doc_id", "paragraph", start.alias("start"), (start + F.length("body")).alias("end"), "body")
 
@@ -144,6 +185,9 @@ def train(docs: DataFrame) -> Classifier:
     parts = whole.select("family", F.explode(F.array(
         F.col("t"), F.slice("t", F.lit(1), F.greatest(F.lit(4), F.ceil(size * 0.7).cast("int"))),
         F.slice("t", F.least(F.floor(size * 0.3).cast("int") + 1, size), size))).alias("t"))
+    # A part that another family's template holds too says nothing.
+    texts = F.array(*[F.struct(F.lit(f).alias("f"), F.lit(" ".join(["", *re.findall("[a-z0-9]+", t.lower()), ""])).alias("t")) for f, t in TEMPLATES])
+    parts = parts.where(~F.exists(texts, lambda x: (x["f"] != F.col("family")) & F.contains(x["t"], F.concat(F.lit(" "), F.array_join("t", " "), F.lit(" ")))))
     total = docs.count()
     share = int(1_000_000 * min(1.0, SAMPLE_ROWS / max(total, 1)))
     plain = docs.select(F.col("text").cast("string").alias("text")).where(
@@ -172,7 +216,7 @@ def train(docs: DataFrame) -> Classifier:
 def scan_licences(docs: DataFrame, classifier: Classifier | None = None) -> DataFrame:
     """``(doc_id, paragraph, start, end, family, probability, template, similarity)`` of every candidate paragraph.
 
-    A paragraph is a line; a candidate holds a licence word.  Its family is the classifier's if its probability
+    A paragraph is a line, or all lines of a hard-wrapped notice; a candidate holds a licence word.  Its family is the classifier's if its probability
     reaches the calibrated threshold and at least ``CONFIRM`` of a template's word triples occur, else unknown.
 
     Defined cases: null and empty texts have no candidates; a null doc_id stays null; repeated rows give their

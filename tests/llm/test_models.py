@@ -200,3 +200,25 @@ def test_licences(spark):
     assert {r.doc_id: r.family for r in licences.scan_licences(texts, model).collect()} == {
         i: f for i, (f, _) in enumerate(licences.TEMPLATES)}
     assert licences.scan_licences(documents(spark, []), model).count() == 0
+
+
+def test_wrapped_licences(spark):
+    import textwrap
+
+    texts = [t for _, t in licences.TEMPLATES if len(t) > 90]
+    rows = []
+    for i, t in enumerate(texts):
+        leader = [" * ", "# ", "// ", "", "REM "][i % 5]
+        wrapped = textwrap.wrap(t, 40)
+        rows.append((i, "\n".join([prose(i, 8), *(leader + line for line in wrapped), prose(i + 50, 7)])))
+    rows.append((100, prose(3, 9) + "\nLicensed under CC BY-NC 4.0.\n" + prose(4, 8)))
+    model = licences.train(documents(spark, rows))
+    got = {}
+    for r in licences.scan_licences(documents(spark, rows), model).collect():
+        got.setdefault(r.doc_id, []).append(r)
+    family = {t: f for f, t in licences.TEMPLATES}
+    for i, t in enumerate(texts):
+        assert [r.family for r in got[i]] == [family[t]], t
+        assert rows[i][1][got[i][0].start:got[i][0].end].split("\n") == rows[i][1].split("\n")[1:-1]
+        assert got[i][0].paragraph == 1
+    assert [(r.family, rows[-1][1][r.start:r.end]) for r in got[100]] == [("cc-by-nc", "Licensed under CC BY-NC 4.0.")]
