@@ -15,9 +15,3 @@ def spark(tmp_path_factory):
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch")), "spark.driver.memory": "4g"})
     session.sparkContext.setLogLevel("OFF")
     yield session
-
-
-def rows(df, *columns):
-    """Collected rows as a sorted list of tuples (None sorts first)."""
-    out = [tuple(r[c] for c in (columns or df.columns)) for r in df.collect()]
-    return sorted(out, key=lambda t: tuple((v is not None, v) for v in t))

@@ -1,7 +1,7 @@
 import random
 from collections import deque
 
-from conftest import rows
+from helpers import rows
 
 from roispark.functions import bits
 from roispark.operators import identity, matching, metrics, overlap

@@ -1,6 +1,6 @@
 import duckdb
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from roispark import catalog
