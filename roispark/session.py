@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,6 +51,27 @@ def scratch_dir(spark: SparkSession) -> str:
     return local
 
 
+_owners: list[list[DataFrame]] = []
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``materialize`` that no later job reads."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._scratch_path)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def owned_tables() -> Iterator[None]:
+    """Tables that ``materialize`` writes inside are deleted at the end; the result must be written by then."""
+    _owners.append([])
+    try:
+        yield
+    finally:
+        discard(*_owners.pop())
+
+
 def materialize(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
@@ -63,4 +86,8 @@ def materialize(df: DataFrame, partition_by: list[str] | None = None) -> DataFra
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written._scratch_path = path
+    if _owners:
+        _owners[-1].append(written)
+    return written
