@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,6 +54,14 @@ def scratch_dir(spark: SparkSession) -> str:
 _owners: list[list[DataFrame]] = []
 
 
+def own(df: DataFrame, path: str) -> DataFrame:
+    """``df`` reads the files in ``path``, which the innermost owner deletes."""
+    df._scratch_path = path
+    if _owners:
+        _owners[-1].append(df)
+    return df
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables of ``materialize`` that no later job reads."""
     for df in tables:
@@ -63,13 +71,23 @@ def discard(*tables: DataFrame) -> None:
 
 
 @contextmanager
-def owned_tables() -> Iterator[None]:
-    """Tables that ``materialize`` writes inside are deleted at the end; the result must be written by then."""
-    _owners.append([])
+def collecting(tables: list[DataFrame]) -> Iterator[None]:
+    """Tables that ``materialize`` writes inside are added to ``tables``; whoever holds the list discards them."""
+    _owners.append(tables)
     try:
         yield
     finally:
-        discard(*_owners.pop())
+        _owners.pop()
+
+
+def settled(build: Callable[[], DataFrame]) -> DataFrame:
+    """The result of ``build``, written; the tables that were written on the way are deleted."""
+    inner: list[DataFrame] = []
+    with collecting(inner):
+        df = build()
+    written = materialize(df)
+    discard(*inner)
+    return written
 
 
 def materialize(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
@@ -86,8 +104,4 @@ def materialize(df: DataFrame, partition_by: list[str] | None = None) -> DataFra
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    written = spark.read.schema(df.schema).parquet(path)
-    written._scratch_path = path
-    if _owners:
-        _owners[-1].append(written)
-    return written
+    return own(spark.read.schema(df.schema).parquet(path), path)
