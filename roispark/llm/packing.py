@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import zlib
 from collections import deque
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roispark.llm.common import text_of
+from roispark.llm.text import utf8
 from roispark.session import materialize
 
 WINDOW = 2048
@@ -22,14 +25,17 @@ SHARD_ROWS = 50_000
 _CACHE = 700_000
 # Words that go to the tokenizer in one call.
 _JOIN = 64
-_STOPS = b".,;:!?%$&#*|)"
+_STOPS = ".,;:!?%$&#*|)"
+# Bytes of text that are looked up together (at least one whole text).
+_SLICE = 8 << 20
 
 
 class Encoder:
     """Ids of whole texts, little-endian unsigned 32-bit, by chunks between ASCII white space.
 
     The tokenizer drops white space and never joins characters across it, so the ids of a text are those
-    of its chunks in order.  Letters followed by plain punctuation are two of its words, so they are
+    of its chunks in order.  Arrow splits and tells the distinct chunks of a slice; their ids are gathered
+    by position.  Letters followed by plain punctuation are two of the tokenizer's words, so they are
     encoded apart; every other chunk goes to the tokenizer as it is.
     """
 
@@ -40,66 +46,77 @@ class Encoder:
         # The ids that end a word.
         self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.last[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
-        self.cache: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        self.cache: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
 
-    def _encode(self, chunks: list[bytes]) -> None:
+    def _encode(self, chunks: list[str]) -> None:
         """Words of letters are one word for the tokenizer and go to it many at a time; others one by one."""
-        words = [c for c in chunks if (text := c.decode()).isalpha() and text.lower().isalpha()]
+        words = [c for c in chunks if c.isalpha() and c.lower().isalpha()]
         found = self.tokenizer.encode_batch_fast(
-            [b" ".join(words[o:o + _JOIN]).decode() for o in range(0, len(words), _JOIN)], add_special_tokens=False)
+            [" ".join(words[o:o + _JOIN]) for o in range(0, len(words), _JOIN)], add_special_tokens=False)
         for o, one in zip(range(0, len(words), _JOIN), found):
             ids = np.array(one.ids, "<u4")
             data, ends = ids.tobytes(), (np.flatnonzero(self.last[ids]) * 4 + 4).tolist()
             self.cache.update(zip(words[o:o + _JOIN], [data[x:y] for x, y in zip([0, *ends], ends)]))
         rest = list(set(chunks).difference(words))
-        for chunk, one in zip(rest, self.tokenizer.encode_batch_fast([c.decode() for c in rest], add_special_tokens=False)):
+        for chunk, one in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
             self.cache[chunk] = np.array(one.ids, "<u4").tobytes()
 
-    def _parts(self, chunk: bytes) -> list[bytes]:
+    def _parts(self, chunk: str) -> list[str]:
         stem = chunk.rstrip(_STOPS)
-        if stem and len(stem) < len(chunk):
-            text = stem.decode()
-            if text.isalpha() and text.lower().isalpha():
-                return [stem, chunk[len(stem):]]
+        if stem and len(stem) < len(chunk) and stem.isalpha() and stem.lower().isalpha():
+            return [stem, chunk[len(stem):]]
         return [chunk]
 
-    def _recall(self, chunks: set[bytes]) -> set[bytes]:
+    def _recall(self, chunks: list[str]) -> list[str]:
         """The chunks that neither half knows; what only the older half knows moves to the younger."""
-        unknown = {c for c in chunks if c not in self.cache}
+        unknown = [c for c in chunks if c not in self.cache]
         if self.older:
             known = [c for c in unknown if c in self.older]
             self.cache.update((c, self.older[c]) for c in known)
-            unknown.difference_update(known)
+            unknown = [c for c in unknown if c not in self.cache]
         return unknown
 
-    def texts(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.cache) > _CACHE:
-            self.older, self.cache = self.cache, {}
-        rows = []
-        for text in texts:
-            raw = (text or "").encode()
-            # Special tokens are spelled in lower case: only then does case matter.
-            rows.append((raw if b"<|" in raw else raw.lower()).split())
-        parts = {c: self._parts(c) for c in self._recall(set().union(*rows))}
-        self._encode(list(self._recall({p for ps in parts.values() for p in ps})))
+    def _ids(self, chunks: list[str]) -> list[bytes]:
+        parts = {c: self._parts(c) for c in self._recall(chunks)}
+        self._encode(self._recall(list({p for ps in parts.values() for p in ps})))
         for chunk, ps in parts.items():
             if len(ps) > 1:
                 self.cache[chunk] = b"".join([self.cache[p] for p in ps])
-        return [b"".join(map(self.cache.__getitem__, row)) for row in rows]
+        return [self.cache[c] for c in chunks]
+
+    def texts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts one after the other, and where each text begins."""
+        if len(self.cache) > _CACHE:
+            self.older, self.cache = self.cache, {"": b""}
+        column = column.fill_null("")
+        # Special tokens are spelled in lower case: only then does case matter.
+        column = pc.if_else(pc.match_substring(column, "<|"), column, pc.ascii_lower(column))
+        chunks = pc.ascii_split_whitespace(column)
+        named = chunks.flatten().dictionary_encode()
+        known = self._ids(named.dictionary.to_pylist())
+        data = np.frombuffer(b"".join(known), "<u4")
+        length = np.array([len(k) for k in known], np.int64) // 4
+        first = np.cumsum(length) - length
+        chunk = np.asarray(named.indices)
+        size = length[chunk]
+        end = np.concatenate([[0], np.cumsum(size)])
+        ids = data[np.repeat(first[chunk] - end[:-1], size) + np.arange(end[-1])]
+        bounds = np.asarray(chunks.offsets)
+        return ids, end[bounds - bounds[0]]
 
 
 _encoders: dict[str, Encoder] = {}
 
 PIECE_FIELDS = T.StructType([
     T.StructField("row", T.LongType()), T.StructField("doc_id", T.LongType()), T.StructField("start", T.LongType()),
-    T.StructField("length", T.LongType()), T.StructField("doc_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
+    T.StructField("length", T.LongType()), T.StructField("doc_tokens", T.LongType()), T.StructField("ids_crc32", T.LongType())])
 
 
-def pieces(docs: DataFrame, path: str | None = None, window: int = WINDOW) -> DataFrame:
-    """``(row, doc_id, start, length, doc_tokens, ids)``: every row's ids and the end id, cut into full windows.
+def pieces(docs: DataFrame, path: str | None = None, window: int = WINDOW, with_ids: bool = True) -> DataFrame:
+    """``(row, doc_id, start, length, doc_tokens, ids_crc32[, ids])``: every row's ids and the end id, cut into full windows.
 
-    ``row`` tells rows with equal doc_id apart; ``ids`` are little-endian unsigned 32-bit.
+    ``row`` tells rows with equal doc_id apart; ``ids`` are little-endian unsigned 32-bit, ``ids_crc32`` is their checksum.
     """
     spark = docs.sparkSession
 
@@ -115,22 +132,28 @@ def pieces(docs: DataFrame, path: str | None = None, window: int = WINDOW) -> Da
         encoder = _encoders.setdefault(name, Encoder(name))
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
-            column, ids = text_of(batch), batch.column("doc_id").to_pylist()
-            numbers = batch.column("row").to_pylist()
-            for o in range(0, batch.num_rows, 256):
+            column, ids, numbers = text_of(batch), batch.column("doc_id").to_pylist(), batch.column("row").to_pylist()
+            offsets = utf8(column)[1]
+            o = 0
+            while o < batch.num_rows:
+                stop = max(o + 1, int(np.searchsorted(offsets, offsets[o] + _SLICE, "right")) - 1)
                 out = []
-                for k, data in enumerate(encoder.texts(column.slice(o, 256).to_pylist()), o):
-                    data += end
+                found, begin = encoder.texts(column.slice(o, stop - o))
+                for k in range(o, stop):
+                    data = found[begin[k - o]:begin[k - o + 1]].tobytes() + end
                     total = len(data) // 4
                     for start in range(0, total, window):
                         part = data[4 * start:4 * (start + window)]
-                        out.append((numbers[k], ids[k], start, len(part) // 4, total, part))
+                        out.append((numbers[k], ids[k], start, len(part) // 4, total, zlib.crc32(part), part))
+                o = stop
+                columns = list(zip(*out))[:len(fields)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), [pa.int64()] * 5 + [pa.binary()])], PIECE_FIELDS.names)
+                    [pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 6 + [pa.binary()])], fields.names)
 
+    fields = T.StructType([*PIECE_FIELDS, T.StructField("ids", T.BinaryType())]) if with_ids else PIECE_FIELDS
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.monotonically_increasing_id().alias("row"))
-    return rows.mapInArrow(run, PIECE_FIELDS)
+    return rows.mapInArrow(run, fields)
 
 
 class Capacities:
@@ -200,8 +223,8 @@ def layout(histogram: dict[int, int], window: int = WINDOW) -> list[tuple[int, i
     return runs
 
 
-def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW) -> DataFrame:
-    """``(row, doc_id, start, length, doc_tokens, ids, sequence_id, offset)``: every piece in its sequence.
+def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, with_ids: bool = True) -> DataFrame:
+    """``(row, doc_id, start, length, doc_tokens, ids_crc32[, ids], sequence_id, offset)``: every piece in its sequence.
 
     A document's ids end with the end id.  Documents longer than a window are cut into full windows, each a
     sequence of its own; the rests are packed by best-fit decreasing over the whole table.  The driver plans on
@@ -212,7 +235,7 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW) -> Data
     each; an empty table gives no pieces; other columns are ignored.
     """
     spark = docs.sparkSession
-    cut = materialize(pieces(docs, path, window))
+    cut = materialize(pieces(docs, path, window, with_ids))
     rows = cut.select("row", "start", "length")
     shards = max(1, -(-rows.count() // SHARD_ROWS))
     shard = F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int")

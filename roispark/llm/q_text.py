@@ -27,8 +27,8 @@ def licence_paragraphs(spark, sf_dir):
 
 
 def packed_pieces(spark, sf_dir):
-    packed = pack(table(spark, sf_dir, "documents"))
-    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    packed = pack(table(spark, sf_dir, "documents"), with_ids=False)
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 def toxic_documents(spark, sf_dir):

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from roispark.llm.common import fresh, text_of
 from roispark.llm.text import ALNUM, Slice, mix, slices
-from roispark.session import materialize, scratch_dir
+from roispark.session import materialize, own, scratch_dir
 
 ORDER, OWN = 7, 4
 DISCOUNT = 0.75
@@ -188,12 +188,12 @@ def _blocks(rows: DataFrame) -> DataFrame:
     made = rows.mapInArrow(run, T.StructType([
         T.StructField("block", T.LongType()), T.StructField("ids", T.ArrayType(kind)), T.StructField("body", T.BinaryType())]))
     name = f"t_{uuid.uuid4().hex}"
-    made.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").option(
-        "path", f"{scratch_dir(spark).rstrip('/')}/{name}").format("parquet").saveAsTable(name)
+    path = f"{scratch_dir(spark).rstrip('/')}/{name}"
+    made.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").option("path", path).format("parquet").saveAsTable(name)
     found = spark.table(name)
     found.schema
-    spark.sql(f"DROP TABLE {name}")  # the name only; the files stay
-    return found
+    spark.sql(f"DROP TABLE {name}")  # the name only; the files go with their owner
+    return own(found, path)
 
 
 def _body(value: pa.Scalar) -> pa.RecordBatch:
