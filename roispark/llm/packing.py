@@ -22,7 +22,7 @@ VOCABULARY = "word_bpe_49k.json"
 # Rows per shard whose pieces are numbered together; bounds every window function.
 SHARD_ROWS = 50_000
 # Chunks in each half of a worker's cache: when the younger half is full it replaces the older one.
-_CACHE = 700_000
+_CACHE = 250_000
 # Words that go to the tokenizer in one call.
 _JOIN = 64
 _STOPS = ".,;:!?%$&#*|)"
