@@ -8,12 +8,12 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roispark.functions.ranking import first_rows, group_quantiles
-from roispark.operators.graph import connected_components
 from roispark.session import materialize
 
 # Defaults of the registration.
@@ -73,98 +73,170 @@ def gated_pairs(moving: DataFrame, fixed: DataFrame, gate_px: float,
         *keys, "moving_id", "fixed_id", "mx", "my", "fx", "fy", "d2")
 
 
-def assign_pairs(pairs: DataFrame, gate_px: float) -> DataFrame:
+NOBODY = -(1 << 62)
+# Side of a tile in gates, and edges whose tiles are bid for together.
+TILE_GATES = 128
+_TOGETHER = 200_000
+# Bidding steps as shares of the largest saving: the first, the last, and the factor between.
+_STEP_FIRST, _STEP_LAST, _STEP_FACTOR = 0.15, 1e-8, 6.0
+# Across tiles fewer steps: a round of jobs costs more than bids inside of a task.
+_STEPS_ACROSS = [0.15, 1e-3, 1e-5, _STEP_LAST]
+
+
+def _bidding_edges(pairs: DataFrame, single: float) -> DataFrame:
+    """``(acquisition_id, person, object, w, x, y, ox, oy)``: who may bid for what, with both places.
+
+    Every point is a person and an object, so that prices may start anywhere: moving points bid for fixed points of
+    the gate (by the saving) or stay with themselves (saving nothing), fixed points stay with themselves or take
+    the moving point that has found another partner.  Then everybody can be served, and the best assignment of all
+    is the best matching.  Moving points are even numbers, fixed points odd ones.
+    """
+    key = "acquisition_id"
+    m, f = (F.col("moving_id") * 2).alias("m"), (F.col("fixed_id") * 2 + 1).alias("f")
+    real = pairs.select(key, m, f, (F.lit(single) - F.col("d2")).alias("w"), "mx", "my", "fx", "fy")
+    forth = real.select(key, F.col("m").alias("person"), F.col("f").alias("object"), "w", F.col("mx").alias("x"),
+                        F.col("my").alias("y"), F.col("fx").alias("ox"), F.col("fy").alias("oy"))
+    back = real.select(key, F.col("f").alias("person"), F.col("m").alias("object"), F.lit(0.0).alias("w"), F.col("fx").alias("x"),
+                       F.col("fy").alias("y"), F.col("mx").alias("ox"), F.col("my").alias("oy"))
+    ends = forth.select(key, "person", "x", "y").unionByName(back.select(key, "person", "x", "y")).groupBy(key, "person").agg(
+        F.any_value("x").alias("x"), F.any_value("y").alias("y"))
+    own = ends.select(key, "person", F.col("person").alias("object"), F.lit(0.0).alias("w"), "x", "y",
+                      F.col("x").alias("ox"), F.col("y").alias("oy"))
+    return forth.unionByName(back).unionByName(own)
+
+
+def _bid(person, thing, w, near, price, owner, steps) -> None:
+    """Bidding of all unserved persons at once, until each is served or wants something far.
+
+    ``near`` marks the edges to objects that may be taken here; far ones keep their price.  ``steps`` are the least
+    raises, one after the other; but for the last one they only find prices to start from.
+    """
+    order = np.argsort(person, kind="stable")
+    person, thing, w, near = person[order], thing[order], w[order], near[order]
+    first = np.flatnonzero(np.r_[True, person[1:] != person[:-1]])
+    size = np.diff(np.r_[first, len(person)])
+    for step in steps:
+        if len(steps) > 1:
+            owner[thing[near]] = -1
+        free = np.ones(len(first), bool)
+        free[owner[owner >= 0]] = False
+        while len(who := np.flatnonzero(free)):
+            at = np.repeat(first[who] - np.r_[0, np.cumsum(size[who])[:-1]], size[who]) + np.arange(size[who].sum())
+            begin = np.r_[0, np.cumsum(size[who])[:-1]]
+            value = w[at] - price[thing[at]]
+            best = np.maximum.reduceat(value, begin)
+            top = np.flatnonzero(value == np.repeat(best, size[who]))
+            row = np.repeat(np.arange(len(who)), size[who])[top]
+            pick = top[np.r_[True, row[1:] != row[:-1]]] if len(top) else top
+            value[pick] = -np.inf
+            second = np.maximum.reduceat(value, begin)
+            # A person with one edge has no other choice: any price is right, so it offers the largest raise.
+            raised = np.where(np.isfinite(second), best - second, step) + step
+            edge = at[pick]
+            here = near[edge]
+            free[who[~here]] = False
+            who, edge, raised = who[here], edge[here], raised[here]
+            wanted, offer = thing[edge], price[thing[edge]] + raised
+            by = np.lexsort((who, -offer, wanted))
+            win = by[np.r_[True, wanted[by][1:] != wanted[by][:-1]]] if len(by) else by
+            before = owner[wanted[win]]
+            free[before[before >= 0]] = True
+            owner[wanted[win]], price[wanted[win]] = who[win], offer[win]
+            free[who[win]] = False
+
+
+def assign_pairs(pairs: DataFrame, gate_px: float, tile_gates: int = TILE_GATES) -> DataFrame:
     """One-to-one assignment of least cost, a point may stay single.
 
-    A pair saves ``2.02 * gate^2 - d2`` against two single points, so the optimum
-    is a maximum-saving matching, which splits by connected component.
+    A pair saves ``2.02 * gate^2 - d2`` against two single points, so the optimum is a matching of the largest saving.
+    It is found by an auction over the sparse candidate edges: unserved points raise the price of what suits them best,
+    until all are served, with smaller and smaller steps; the total is within one last step per point of the optimum.
 
-    The groups that are solved are the components of the candidate graph, found on
-    Spark, whatever the number of points.
+    All acquisitions bid in lockstep, one tile of ``tile_gates`` gates a side at a time, which knows the prices around it
+    but sells only what lies inside.  Whoever wants something across the border waits for the next round, whose tiles
+    are shifted by half a side, so no task sees more than a tile and prices and owners are the only state between
+    rounds.  An acquisition that fits into a tile is done after one round.
     """
     single = 2.0 * DUMMY_FACTOR * gate_px * gate_px
-    edges = pairs.select("acquisition_id", (F.col("moving_id") * 2).alias("u"),
-                         (F.col("fixed_id") * 2 + 1).alias("v"))
-    comp = connected_components(edges, ["acquisition_id"]).select(
-        "acquisition_id", F.col("node").alias("_u"), "component")
-    grouped = pairs.withColumn("_u", F.col("moving_id") * 2).join(comp, ["acquisition_id", "_u"])
-    groups = ["acquisition_id", "component"]
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        import numpy as np
-
-        def components(m, f):
-            """Label edges by component: repeated minimum over both ends."""
-            lab = np.arange(m.max() + 1)
-            while True:
-                low = np.full(f.max() + 1, lab.size)
-                np.minimum.at(low, f, lab[m])
-                new = lab.copy()
-                np.minimum.at(new, m, low[f])
-                if (new == lab).all():
-                    return lab[m]
-                lab = new
-
-        def cheapest(cost):
-            """Shortest augmenting paths; column j gets row owner[j], or none."""
-            n, m = cost.shape
-            # Row minima are feasible duals; rows with a free best column are done at once.
-            u, v = cost.min(axis=1), np.zeros(m)
-            owner, waiting = np.full(m, -1), []
-            for row, j in enumerate(cost.argmin(axis=1)):
-                if owner[j] < 0:
-                    owner[j] = row
-                else:
-                    waiting.append(row)
-            for row in waiting:
-                dist, back = np.full(m, np.inf), np.full(m, -1)
-                done = np.zeros(m, dtype=bool)
-                i, j0, base = row, -1, 0.0
-                while True:
-                    slack = base + cost[i] - u[i] - v
-                    better = ~done & (slack < dist)
-                    dist[better], back[better] = slack[better], j0
-                    j0 = int(np.where(done, np.inf, dist).argmin())
-                    base = dist[j0]
-                    done[j0] = True
-                    if owner[j0] < 0:
-                        break
-                    i = owner[j0]
-                u[row] += base
-                seen = done.copy()
-                seen[j0] = False
-                for j in np.flatnonzero(seen):
-                    u[owner[j]] += base - dist[j]
-                    v[j] -= base - dist[j]
-                while j0 >= 0:
-                    prev = back[j0]
-                    owner[j0] = row if prev < 0 else owner[prev]
-                    j0 = prev
-            return owner
-
-        pdf = pdf.sort_values(["moving_id", "fixed_id"], ignore_index=True)
-        _, m = np.unique(pdf["moving_id"], return_inverse=True)
-        _, f = np.unique(pdf["fixed_id"], return_inverse=True)
-        label = components(m, f)
-        keep = []
-        order = np.argsort(label, kind="stable")
-        for part in np.split(order, np.flatnonzero(np.diff(label[order])) + 1):
-            rows, ri = np.unique(m[part], return_inverse=True)
-            cols, ci = np.unique(f[part], return_inverse=True)
-            at = np.full((len(rows), len(cols)), -1)
-            at[ri, ci] = part
-            # Column block two: staying single costs nothing relative to the saving.
-            cost = np.zeros((len(rows), len(cols) + len(rows)))
-            cost[ri, ci] = pdf["d2"].to_numpy()[part] - single
-            owner = cheapest(cost)
-            for j in range(len(cols)):
-                if owner[j] >= 0 and at[owner[j], j] >= 0:
-                    keep.append(at[owner[j], j])
-        return pdf.loc[sorted(keep), columns]
-
-    columns = ["acquisition_id", "moving_id", "fixed_id", "mx", "my", "fx", "fy", "d2"]
-    schema = pairs.select(*columns).schema
-    return grouped.select(*dict.fromkeys([*groups, *columns])).groupBy(*groups).applyInPandas(solve, schema)
+    key = "acquisition_id"
+    edges = _bidding_edges(pairs, single)
+    # Tiles begin at the corner of their acquisition.
+    edges = materialize(edges.join(edges.groupBy(key).agg(F.min("x").alias("x0"), F.min("y").alias("y0")), key))
+    side = tile_gates * gate_px
+    few = max(2, math.ceil(math.log(_STEP_FIRST / _STEP_LAST, _STEP_FACTOR)) + 1)
+    scaling = [single * max(_STEP_LAST, _STEP_FIRST / _STEP_FACTOR ** k) for k in range(few)]
+    out = "acquisition_id long, object long, price double, owner long, waiting long"
+
+    def auction(steps):
+        def serve(tiles: pd.DataFrame) -> pd.DataFrame:
+            group = tiles.groupby(["acquisition_id", "tx", "ty"], sort=False).ngroup().to_numpy()
+            person, people = pd.factorize(pd.MultiIndex.from_arrays([group, tiles["person"]]))
+            thing, things = pd.factorize(pd.MultiIndex.from_arrays([group, tiles["object"]]))
+            here = tiles.assign(thing=thing).drop_duplicates("thing").sort_values("thing")
+            price, held, sold = (here[c].to_numpy(copy=True) for c in ("price", "owner", "near"))
+            # Owners by number; those of another tile have none here.
+            before = people.get_indexer(pd.MultiIndex.from_arrays([things.get_level_values(0), held]))
+            owner = before.copy()
+            _bid(person, thing, tiles["w"].to_numpy(), tiles["near"].to_numpy(), price, owner, steps)
+            changed, known = owner != before, owner >= 0
+            names = people.get_level_values(1).to_numpy()
+            now = pd.DataFrame({
+                "acquisition_id": here["acquisition_id"].to_numpy(), "object": here["object"].to_numpy(), "price": price,
+                "owner": np.where(changed, np.where(known, names[owner], NOBODY), held), "waiting": 0})
+            # Owners of another tile that lose their object here wait too.
+            now.loc[changed & (before < 0) & (held != NOBODY), "waiting"] = 1
+            unserved = np.ones(len(people), bool)
+            unserved[owner[known]] = False
+            first = tiles.assign(person=person).drop_duplicates("person").sort_values("person")
+            more = first["acquisition_id"][unserved].value_counts()
+            return pd.concat([now[sold], pd.DataFrame({
+                "acquisition_id": more.index, "object": NOBODY, "price": 0.0, "owner": NOBODY, "waiting": more.to_numpy()})])
+
+        def run(frames):
+            held = None
+            for frame in frames:
+                held = frame if held is None else pd.concat([held, frame], ignore_index=True)
+                if len(held) >= _TOGETHER:
+                    tile = held[["acquisition_id", "tx", "ty"]]
+                    start = (tile != tile.shift()).any(axis=1).to_numpy().nonzero()[0][-1]
+                    if start:
+                        yield serve(held.iloc[:start].reset_index(drop=True))
+                        held = held.iloc[start:].reset_index(drop=True)
+            if held is not None and len(held):
+                yield serve(held)
+        return run
+
+    def round_(state: DataFrame, steps: list[float], number: int) -> tuple[DataFrame, DataFrame]:
+        """New prices and owners of the objects of ``state``, and the acquisitions where somebody waits."""
+        shift = [(0.0, 0.0), (0.5, 0.5), (0.5, 0.0), (0.0, 0.5)][number % 4]
+
+        def tile(column, k):
+            return F.floor((F.col(column) - F.col(f"{column[-1]}0")) / side + shift[k])
+
+        tiles = edges.join(state, [key, "object"]).select(
+            key, "person", "object", "w", "price", "owner", tile("x", 0).alias("tx"), tile("y", 1).alias("ty"),
+            ((tile("x", 0) == tile("ox", 0)) & (tile("y", 1) == tile("oy", 1))).alias("near"))
+        dealt = tiles.repartition(key, "tx", "ty").sortWithinPartitions(key, "tx", "ty")
+        sold = materialize(dealt.mapInPandas(auction(steps), out))
+        open_ = materialize(sold.where("waiting > 0").select(key).distinct())
+        return sold.where(F.col("object") != NOBODY).select(key, "object", "price", "owner"), open_
+
+    fresh = edges.select(key, "object").distinct().withColumn("price", F.lit(0.0)).withColumn("owner", F.lit(NOBODY))
+    state, waiting = round_(fresh, scaling, 0)
+    done = state.join(waiting, key, "left_anti")
+    if not waiting.isEmpty():
+        # Acquisitions of several tiles: each step is bid to its end everywhere before the next one begins.
+        number, state = 0, state.join(waiting, key)
+        for step in [single * x for x in _STEPS_ACROSS]:
+            state, open_ = state.withColumn("owner", F.lit(NOBODY)), None
+            while open_ is None or not open_.isEmpty():
+                # A person displaced across a border shows one round later, so all acquisitions stay until nobody waits.
+                state, open_ = round_(state, [step], number)
+                number += 1
+        done = done.unionByName(state)
+    chosen = done.where("(owner & 1) = 0 AND (object & 1) = 1").select(
+        key, F.shiftright("owner", 1).alias("moving_id"), F.shiftright("object", 1).alias("fixed_id"))
+    return pairs.join(chosen, [key, "moving_id", "fixed_id"])
 
 
 def mutual_nearest(pairs: DataFrame, keys: list[str] = ["acquisition_id"]) -> DataFrame:

@@ -215,6 +215,34 @@ def test_assignment_is_optimal(spark):
         assert sum(single - r.d2 for r in mine) == pytest.approx(best)
 
 
+def test_assignment_across_tiles_is_that_of_one_tile(spark):
+    """Sparse points over many tiles: borders are crossed by shifted tiles, the total stays the optimum."""
+    rng = random.Random(3)
+    gate, single = 3.0, 2 * registration.DUMMY_FACTOR * 9.0
+    mov, fix = ([(rng.uniform(0, 50), rng.uniform(0, 50)) for _ in range(60)] for _ in range(2))
+    pairs = registration.gated_pairs(points(spark, mov), points(spark, fix), gate)
+    one, many = ({(r.moving_id, r.fixed_id): single - r.d2 for r in registration.assign_pairs(pairs, gate, t).collect()} for t in (128, 8))
+    assert len({m for m, _ in many}) == len(many) == len({f for _, f in many})
+    assert sum(many.values()) == pytest.approx(sum(one.values()), abs=1e-3)
+
+
+def test_register_with_noise_and_outliers(spark):
+    """Refits after trimming recover the motion although a tenth of the points is displaced and all are blurred."""
+    rng = random.Random(12)
+    fixed = [(20 * i + rng.uniform(-4, 4), 20 * j + rng.uniform(-4, 4)) for i in range(12) for j in range(12)]
+    a = 0.01
+    moving = []
+    for k, (x, y) in enumerate(fixed):
+        shift = 7.0 if k % 10 == 0 else 0.0
+        moving.append((math.cos(a) * x - math.sin(a) * y + 2 + rng.gauss(0, 0.1) + shift, math.sin(a) * x + math.cos(a) * y - 1 + rng.gauss(0, 0.1)))
+    out = registration.register(points(spark, moving), points(spark, fixed), 9.0)
+    t = out["transform"].collect()[0]
+    assert t.a == pytest.approx(math.cos(a), abs=1e-3) and t.b == pytest.approx(-math.sin(a), abs=1e-3)
+    anchors = {r.moving_id: r for r in out["anchors"].collect()}
+    assert all(r.moving_id == r.fixed_id for r in anchors.values())
+    assert set(anchors) == {k for k in range(len(fixed)) if k % 10} and t.anchors == len(anchors)
+
+
 def test_register_recovers_known_motion(spark):
     rng = random.Random(2)
     fixed = [(rng.uniform(0, 300), rng.uniform(0, 300)) for _ in range(80)]
