@@ -167,3 +167,17 @@ oracle("t17_qq_points", f"SELECT metric, line, field_id, {r('value','value')}, {
 oracle("t17_qq_line", f"""SELECT metric, line, count(*) AS n, {r('regr_slope(value, theoretical)','slope')},
  {r('regr_intercept(value, theoretical)','intercept')} FROM qq GROUP BY metric, line""")
 oracle("t18_median_deviation", f"SELECT metric, line, field_id, {r('value','value')}, {r('med','group_median',9)}, {r('dev','abs_deviation',9)} FROM devs")
+cte("sw_rank", f"""SELECT *, {ppf('(i - 0.375::DOUBLE)/(n + 0.25)')} AS m FROM (SELECT metric, line, batch, enhancer, value,
+ row_number() OVER g AS i, count(*) OVER (PARTITION BY metric, line, batch, enhancer) AS n FROM lng WHERE value IS NOT NULL
+ WINDOW g AS (PARTITION BY metric, line, batch, enhancer ORDER BY value))""")
+cte("sw_sum", """SELECT metric, line, batch, enhancer, n, sum(m*m) AS ssq, max(m) AS m1, max(m) FILTER (i = n-1) AS m2, sum(m*value) AS mx,
+ max(value) - min(value) AS wide, max(value) FILTER (i = n-1) - max(value) FILTER (i = 2) AS inn, var_pop(value)*n AS dev, 1/sqrt(n) AS u
+ FROM sw_rank GROUP BY metric, line, batch, enhancer, n""")
+cte("sw_top", """SELECT *, ((((-2.706056::DOUBLE*u + 4.434685)*u - 2.071190)*u - 0.147981)*u + 0.221157)*u + m1/sqrt(ssq) AS a1,
+ ((((-3.582633::DOUBLE*u + 5.682633)*u - 1.752461)*u - 0.293762)*u + 0.042981)*u + m2/sqrt(ssq) AS a2 FROM sw_sum""")
+cte("sw_lin", """SELECT *, CASE WHEN n = 3 THEN sqrt(0.5::DOUBLE)*wide WHEN n > 5 THEN
+ (mx - m1*wide - m2*inn)/sqrt((ssq - 2*m1*m1 - 2*m2*m2)/(1 - 2*a1*a1 - 2*a2*a2)) + a1*wide + a2*inn
+ ELSE (mx - m1*wide)/sqrt((ssq - 2*m1*m1)/(1 - 2*a1*a1)) + a1*wide END AS lin FROM sw_top""")
+oracle("t14_shapiro_wilk", f"""SELECT metric, line, batch, enhancer, n, {r('CASE WHEN n >= 3 AND wide > 0 THEN least(1.0, lin*lin/dev) END', 'w')},
+ CASE WHEN n < 3 THEN 'not tested (n<3)' WHEN wide = 0 THEN 'not tested (all values identical)' WHEN n < 8 THEN 'very low power (n<8)'
+ WHEN n > 5000 THEN 'p extrapolated (n>5000)' ELSE 'visual checks also needed' END AS note FROM sw_lin""")

@@ -16,53 +16,36 @@ from roispark.schema import OBJ
 
 def pixel_values(words: DataFrame, images: DataFrame, keep: list[str],
                  signal: str = "channel") -> DataFrame:
-    """Attach to each word the image values under its set bits.
+    """``(keep, v)``: the image value under every pixel of the occupied stretch of each word.
 
-    The join runs on 32-pixel blocks.  Pixels outside the image have no block or
-    no array entry and drop out; so do non-finite values.
+    The join runs on 32-pixel blocks.  Places that are not set, lie outside of the image or hold a non-finite value
+    are null, so that a set without any valid pixel keeps rows.  Everything is generated code: no array is built.
     """
     img = images.select(
         "acquisition_id", F.col("channel").alias("_signal"), "y", "seg", "pixel_values")
     b = F.col("bits")
-    # Only the occupied stretch of a word is visited.
-    return (
-        words.withColumn("_signal", F.col(signal))
-        .join(img, ["acquisition_id", "_signal", "y", "seg"])
-        .withColumn("_at", F.sequence(bits.lowest(b).cast("int"), bits.highest(b).cast("int")))
-        .select(*keep, F.expr(
-            "filter(transform(filter(_at, i -> getbit(bits, i) = 1), "
-            "i -> cast(get(pixel_values, i) AS double)), "
-            "v -> v IS NOT NULL AND NOT isnan(v) AND abs(v) < double('Infinity'))").alias("vals"))
-    )
+    spread = words.withColumn("_signal", F.col(signal)).join(img, ["acquisition_id", "_signal", "y", "seg"]).select(
+        *keep, "bits", "pixel_values", F.explode(F.sequence(bits.lowest(b).cast("int"), bits.highest(b).cast("int"))).alias("_at"))
+    value = spread.select(*keep, F.when(F.expr("getbit(bits, _at) = 1"), F.get("pixel_values", F.col("_at"))).cast("double").alias("v"))
+    return value.select(*keep, F.when(F.abs("v") < float("inf"), F.col("v")).alias("v"))
 
 
 def intensity_stats(words: DataFrame, images: DataFrame, keys: list[str],
                     signal: str = "channel") -> DataFrame:
     """M1/M2: mean, median, population SD, min, P05, P95, max, sum under each pixel set.
 
-    What is shuffled by ``keys`` is one array per word; the group is one pixel
-    set and therefore never larger than one image, and its sorted values give
-    every statistic.  A set without any valid pixel keeps a row of nulls.
+    Sums and a value histogram (distinct values with counts, for the exact quantiles) are built per task and merged
+    after the shuffle: what moves and what a set may hold is bounded by its distinct values, never by its pixels.  A
+    set without any valid pixel keeps a row of nulls.
     """
-    per_word = pixel_values(words, images, keys, signal).repartition(*keys)
-    one = per_word.groupBy(*keys).agg(F.sort_array(F.flatten(F.collect_list("vals"))).alias("_v"))
-    v, n = F.col("_v"), F.size("_v")
-    total = F.aggregate("_v", F.lit(0.0), lambda a, x: a + x)
-    one = one.select(*keys, "_v", n.alias("_n"), F.when(n > 0, total).alias("_sum"))
-    mean = F.col("_sum") / F.col("_n")
-    squares = F.aggregate("_v", F.lit(0.0), lambda a, x: a + (x - F.col("_mean")) * (x - F.col("_mean")))
-
-    def quantile(p):
-        at = (F.col("_n") - 1) * F.lit(p)
-        low, high = F.get(v, F.floor(at).cast("int")), F.get(v, F.ceil(at).cast("int"))
-        return low + (high - low) * (at - F.floor(at))
-
-    return one.withColumn("_mean", mean).select(
-        *keys, F.col("_mean").alias("mean_intensity"), quantile(0.5).alias("median_intensity"),
-        F.when(F.col("_n") > 0, F.sqrt(squares / F.col("_n"))).alias("intensity_sd"),
-        F.get(v, F.lit(0)).alias("min_intensity"), quantile(0.05).alias("p05_intensity"),
-        quantile(0.95).alias("p95_intensity"), F.get(v, F.col("_n") - 1).alias("max_intensity"),
-        F.col("_sum").alias("integrated_intensity"), F.col("_n").cast("long").alias("measured_px"))
+    one = pixel_values(words, images, keys, signal).groupBy(*keys).agg(
+        F.avg("v").alias("mean_intensity"), F.stddev_pop("v").alias("intensity_sd"), F.min("v").alias("min_intensity"),
+        F.percentile("v", F.array(F.lit(0.05), F.lit(0.5), F.lit(0.95))).alias("_q"),
+        F.max("v").alias("max_intensity"), F.sum("v").alias("integrated_intensity"), F.count("v").alias("measured_px"))
+    return one.select(
+        *keys, "mean_intensity", F.col("_q")[1].alias("median_intensity"), "intensity_sd", "min_intensity",
+        F.col("_q")[0].alias("p05_intensity"), F.col("_q")[2].alias("p95_intensity"), "max_intensity",
+        "integrated_intensity", "measured_px")
 
 
 def object_areas(words: DataFrame, keys: list[str] = OBJ) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from roispark.functions import bits
 from roispark.operators.metrics import intensity_stats, object_areas
 from roispark.schema import K, KP, PAIR, validate_pairs, validate_threshold
+from roispark.session import materialize
 
 STATS = ["mean_intensity", "median_intensity", "intensity_sd", "min_intensity",
          "p05_intensity", "p95_intensity", "max_intensity"]
@@ -175,37 +176,30 @@ def region_intensity(pairs: DataFrame, words: DataFrame, images: DataFrame,
                      channel_pairs: list[tuple], shared: DataFrame | None = None) -> DataFrame:
     """Both signals in the A object, the B object and their intersection.
 
-    Object regions are measured once per object and signal, not once per pair;
-    only the intersections are measured per pair.  One wide row per pair.
+    The words of all regions are one table with a region tag, so the images are joined once.  Object regions are
+    measured once per object and signal, not once per pair; only the intersections are measured per pair.  One wide
+    row per pair.
     """
     pairs = pairs.select(*PAIR)
     shared = shared_words(words, channel_pairs) if shared is None else shared
-    wanted = shared.join(pairs, PAIR, "left_semi")
+    regions = shared.join(pairs, PAIR, "left_semi").select(*PAIR, F.lit("intersection").alias("region"), "y", "seg", "bits")
+    on = {"intersection": PAIR}
+    for own, other in (("object_a", "object_b"), ("object_b", "object_a")):
+        ids = on[f"{own[-1]}_roi"] = [*KP, own]
+        part = side(words, channel_pairs, own[-1]).join(pairs.select(*ids).distinct(), ids, "left_semi")
+        regions = regions.unionByName(part.select(
+            *ids, F.lit(None).cast(pairs.schema[other].dataType).alias(other), F.lit(f"{own[-1]}_roi").alias("region"), "y", "seg", "bits"))
     both = F.explode(F.array(F.struct(F.lit("a").alias("signal"), F.col("channel_a").alias("_s")),
                              F.struct(F.lit("b").alias("signal"), F.col("channel_b").alias("_s"))))
-    long = None
-    for s in ("a", "b"):
-        id_cols = [*KP, f"object_{s}"]
-        region = side(words, channel_pairs, s).join(
-            pairs.select(*id_cols).distinct(), id_cols, "left_semi")
-        region = region.select(*id_cols, "y", "seg", "bits", both.alias("_t")).select(
-            *id_cols, "y", "seg", "bits", "_t.*")
-        stats = intensity_stats(region, images, [*id_cols, "signal"], "_s")
-        part = pairs.join(stats, id_cols).withColumn("region", F.lit(f"{s}_roi"))
-        part = part.select(*PAIR, "region", "signal", *STATS, "integrated_intensity")
-        long = part if long is None else long.unionByName(part)
-    inter = wanted.select("*", both.alias("_t")).select(*PAIR, "y", "seg", "bits", "_t.*")
-    inter = intensity_stats(inter, images, [*PAIR, "signal"], "_s").withColumn(
-        "region", F.lit("intersection"))
-    long = long.unionByName(inter.select(*PAIR, "region", "signal", *STATS, "integrated_intensity"))
-    cells = []
+    tagged = regions.select("*", both.alias("_t")).select(*PAIR, "region", "y", "seg", "bits", "_t.*")
+    measured = materialize(intensity_stats(tagged, images, [*PAIR, "region", "signal"], "_s"))
+    out = pairs
     for region in ("a_roi", "b_roi", "intersection"):
-        for signal in ("a", "b"):
-            here = (F.col("region") == region) & (F.col("signal") == signal)
-            for stat in [*STATS, "integrated_intensity"]:
-                cells.append(F.max(F.when(here, F.col(stat))).alias(
-                    f"{signal}_signal_in_{region}_{stat}"))
-    return long.groupBy(*PAIR).agg(*cells)
+        cells = [F.max(F.when(F.col("signal") == signal, F.col(stat))).alias(f"{signal}_signal_in_{region}_{stat}")
+                 for signal in ("a", "b") for stat in [*STATS, "integrated_intensity"]]
+        out = out.join(measured.where(F.col("region") == region).groupBy(*on[region]).agg(
+            F.count(F.lit(1)).alias(f"_{region}"), *cells), on[region], "left")
+    return out.where("coalesce(_a_roi, _b_roi, _intersection) IS NOT NULL").drop("_a_roi", "_b_roi", "_intersection")
 
 
 def matched_intensity(matches: DataFrame, overlap: DataFrame, regions: DataFrame,

@@ -21,8 +21,6 @@ from roispark.functions.ranking import group_quantiles, ranked, value_positions
 from roispark.session import materialize
 from roispark.sources.io import finite
 
-SHAPIRO_MAX = 5000
-
 
 def long_metrics(fields: DataFrame, metrics: list[str], keep: list[str]) -> DataFrame:
     """Wide field rows to ``(keep, metric, value)``; missing stays as null rows."""
@@ -262,37 +260,15 @@ def welch_anova(long: DataFrame, group: str, keys: list[str] = ["metric"]) -> Da
         "p", f_sf(F.col("f"), F.col("df_num"), F.col("df_den")))
 
 
-def _shapiro(x: np.ndarray) -> tuple[float, float]:
-    """Royston (1995) W and p for sorted, non-constant x with 3 <= n <= 5000."""
-    n = len(x)
-    i = np.arange(1, n + 1)
-    m = np.array([_ppf((k - 0.375) / (n + 0.25)) for k in i])
-    ssq = float(m @ m)
-    u = 1 / math.sqrt(n)
-    a = np.zeros(n)
-    if n == 3:
-        a[-1], a[0] = math.sqrt(0.5), -math.sqrt(0.5)
-    else:
-        top = np.polyval([-2.706056, 4.434685, -2.071190, -0.147981, 0.221157, m[-1] / math.sqrt(ssq)], u)
-        if n > 5:
-            second = np.polyval([-3.582633, 5.682633, -1.752461, -0.293762, 0.042981, m[-2] / math.sqrt(ssq)], u)
-            phi = (ssq - 2 * m[-1] ** 2 - 2 * m[-2] ** 2) / (1 - 2 * top ** 2 - 2 * second ** 2)
-            a = m / math.sqrt(phi)
-            a[-2], a[1] = second, -second
-        else:
-            phi = (ssq - 2 * m[-1] ** 2) / (1 - 2 * top ** 2)
-            a = m / math.sqrt(phi)
-        a[-1], a[0] = top, -top
-    d = x - x.mean()
-    w = min(1.0, float((a @ x) ** 2 / (d @ d)))
+def _shapiro_p(w: float, n: int) -> float:
+    """Royston's (1995) p of W: exact for three values, else by a normal transform of log(1 - W)."""
     if n == 3:
-        p = 6 / math.pi * (math.asin(math.sqrt(w)) - math.asin(math.sqrt(0.75)))
-        return w, max(0.0, p)
+        return max(0.0, 6 / math.pi * (math.asin(math.sqrt(w)) - math.asin(math.sqrt(0.75))))
     y = math.log(max(1 - w, 1e-300))
     if n <= 11:
         g = -2.273 + 0.459 * n
         if y >= g:
-            return w, 1e-99
+            return 1e-99
         y = -math.log(g - y)
         mu = np.polyval([-0.0006714, 0.025054, -0.39978, 0.5440], n)
         sd = math.exp(np.polyval([-0.0020322, 0.062767, -0.77857, 1.3822], n))
@@ -300,42 +276,74 @@ def _shapiro(x: np.ndarray) -> tuple[float, float]:
         ln = math.log(n)
         mu = np.polyval([0.0038915, -0.083751, -0.31082, -1.5861], ln)
         sd = math.exp(np.polyval([0.0030302, -0.082676, -0.4803], ln))
-    return w, norm_tail((y - mu) / sd)
+    return norm_tail((y - mu) / sd)
+
 
+def shapiro_p(w: Column, n: Column) -> Column:
+    @F.pandas_udf("double")
+    def tail(ws: pd.Series, ns: pd.Series) -> pd.Series:
+        return pd.Series([None if pd.isna(x) else _shapiro_p(float(x), int(k)) for x, k in zip(ws, ns)], dtype="float64")
+    return tail(w, n)
 
-def _ppf(p: float) -> float:
-    """Normal quantile for the Shapiro weights: bisection start, Newton finish."""
-    lo, hi = -9.0, 9.0
-    for _ in range(40):
-        mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if norm_tail(-mid) < p else (lo, mid)
-    z = (lo + hi) / 2
-    for _ in range(3):
-        z -= (norm_tail(-z) - p) / (math.exp(-z * z / 2) / math.sqrt(2 * math.pi))
-    return z
+
+# Ranks of one value that are scored in one row.
+RANK_CHUNK = 4096
 
 
 def shapiro_wilk(long: DataFrame, keys: list[str]) -> DataFrame:
-    """Normality per group.  Groups beyond 5000 values are not tested by
-    definition, so no task ever receives more than 5000 rows."""
+    """Normality per group of any size: n, W, p and a note.
+
+    W is a linear statistic of the order scores: every distinct value gets its positions, the normal scores of its
+    positions are summed, and W follows from these sums, the moments and the two values at either end.  A value that
+    repeats very often is scored in chunks of positions; no group is gathered anywhere.  The normal transform for p was
+    fitted up to 5000 values; beyond, the note says so.
+    """
     use = long.where("value IS NOT NULL").select(*keys, "value")
-    sizes = use.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
-                                   (F.min("value") == F.max("value")).alias("_flat"))
-    small = use.join(sizes.where(f"n BETWEEN 3 AND {SHAPIRO_MAX} AND NOT _flat").select(*keys), keys, "left_semi")
-
-    def test(pdf: pd.DataFrame) -> pd.DataFrame:
-        w, p = _shapiro(np.sort(pdf["value"].to_numpy()))
-        out = pdf.iloc[:1][keys].copy()
-        out["w"], out["p"] = w, p
-        return out
-
-    schema = ", ".join([f"`{k}` {use.schema[k].dataType.simpleString()}" for k in keys] + ["w double", "p double"])
-    tested = small.groupBy(*keys).applyInPandas(test, schema)
+    moments = use.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.var_pop("value").alias("_var"), (F.min("value") == F.max("value")).alias("_flat"))
+    placed = value_positions(use, keys, "value")
+    first = F.sequence(F.lit(0).cast("long"), F.floor((F.col("times") - 1) / RANK_CHUNK))
+    chunks = placed.select(*keys, "value", "times", "below", "n", F.explode(first).alias("_c")).select(
+        *keys, "value", "n", F.explode(F.sequence(
+            F.col("below") + F.col("_c") * RANK_CHUNK + 1,
+            F.col("below") + F.least(F.col("times"), (F.col("_c") + 1) * RANK_CHUNK))).alias("rank"))
+    score = norm_ppf((F.col("rank") - 0.375) / (F.col("n") + 0.25))
+    at = chunks.withColumn("m", score)
+    n = F.col("n")
+
+    def end(rank):
+        return F.max(F.when(F.col("rank") == rank, F.col("value")))
+
+    sums = at.groupBy(*keys).agg(
+        F.sum(F.col("m") * F.col("m")).alias("ssq"), F.sum(F.col("m") * F.col("value")).alias("mx"),
+        F.max("m").alias("m1"), F.max(F.when(F.col("rank") == n - 1, F.col("m"))).alias("m2"),
+        (end(n) - end(F.lit(1))).alias("wide"), (end(n - 1) - end(F.lit(2))).alias("inner"))
+    u = 1 / F.sqrt(n)
+
+    def weight(coefficients, m):
+        out = F.lit(coefficients[0])
+        for c in coefficients[1:]:
+            out = out * u + F.lit(c)
+        return out * u + m / F.sqrt("ssq")
+
+    # Polynomials of algorithm AS R94 (Royston 1995) for the weights of the two largest values.
+    top = weight([-2.706056, 4.434685, -2.071190, -0.147981, 0.221157], F.col("m1"))
+    second = weight([-3.582633, 5.682633, -1.752461, -0.293762, 0.042981], F.col("m2"))
+    m1, m2, ssq = F.col("m1"), F.col("m2"), F.col("ssq")
+    large = n > 5
+    phi = F.when(large, (ssq - 2 * m1 * m1 - 2 * m2 * m2) / (1 - 2 * top * top - 2 * second * second)).otherwise(
+        (ssq - 2 * m1 * m1) / (1 - 2 * top * top))
+    rest = F.col("mx") - m1 * F.col("wide") - F.when(large, m2 * F.col("inner")).otherwise(F.lit(0.0))
+    linear = F.when(n == 3, F.lit(math.sqrt(0.5)) * F.col("wide")).otherwise(
+        rest / F.sqrt(phi) + top * F.col("wide") + F.when(large, second * F.col("inner")).otherwise(F.lit(0.0)))
+    tested = (n >= 3) & ~F.col("_flat")
+    w = F.when(tested, F.least(F.lit(1.0), linear * linear / (n * F.col("_var"))))
     # Notes.
-    note = (F.when(F.col("n") < 3, F.lit("not tested (n<3)")).when(F.col("n") > SHAPIRO_MAX, F.lit("not tested (n>5000)"))
-            .when(F.col("_flat"), F.lit("not tested (all values identical)"))
-            .when(F.col("n") < 8, F.lit("very low power (n<8)")).otherwise(F.lit("visual checks also needed")))
-    return sizes.join(tested, keys, "left").select(*keys, "n", "w", "p", note.alias("note"))
+    note = (F.when(n < 3, F.lit("not tested (n<3)")).when(F.col("_flat"), F.lit("not tested (all values identical)"))
+            .when(n < 8, F.lit("very low power (n<8)")).when(n > 5000, F.lit("p extrapolated (n>5000)"))
+            .otherwise(F.lit("visual checks also needed")))
+    out = moments.join(sums, keys, "left").select(*keys, "n", w.alias("w"), note.alias("note"))
+    return out.select(*keys, "n", "w", shapiro_p(F.col("w"), n).alias("p"), "note")
 
 
 # --- additive linear model -----------------------------------------------------
