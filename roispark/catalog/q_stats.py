@@ -63,8 +63,7 @@ def _(spark, d):
 
 @query("t7_mann_whitney")
 def _(spark, d):
-    return stats.mann_whitney(long(spark, d), "line", LINE_PAIRS).select(
-        "metric", "group1", "group2", "n1", "n2", "u")
+    return stats.mann_whitney(long(spark, d), "line", LINE_PAIRS)
 
 
 @query("t8_holm")
@@ -119,6 +118,12 @@ def _(spark, d):
                        "standardized_residual", "leverage")
 
 
+@query("t15_model_summary")
+def _(spark, d):
+    data = long(spark, d)
+    return stats.model_summary(stats.model_rows(data, stats.fit_additive(data, FACTORS), FACTORS))
+
+
 @query("t16_joint_test")
 def _(spark, d):
     return stats.robust_inference(long(spark, d), FACTORS)[0]

@@ -93,6 +93,22 @@ def value_positions(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     )
 
 
+def running_totals(df: DataFrame, keys: list[str], value: str, counts: list[str]) -> DataFrame:
+    """``df`` (one row per ``keys`` and ``value``) with ``<count>_below``: the sums over smaller values of the group.
+
+    As in ``value_positions``, a group is spread over range partitions and their totals give the offsets.
+    """
+    order = [F.col(k) for k in keys] + [F.col(value)]
+    placed = materialize(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = placed.groupBy(*keys, "_part").agg(*[F.sum(c).alias(f"_all_{c}") for c in counts]).select(
+        *keys, "_part", *[F.coalesce(F.sum(f"_all_{c}").over(before), F.lit(0)).alias(f"_before_{c}") for c in counts])
+    inside = Window.partitionBy(*keys, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    within = placed.select("*", *[F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(f"_inside_{c}") for c in counts])
+    return within.join(pieces, [*keys, "_part"]).select(
+        *df.columns, *[(F.col(f"_before_{c}") + F.col(f"_inside_{c}")).alias(f"{c}_below") for c in counts])
+
+
 def quantile_columns(value: str, probs: dict[str, float | Column]) -> list[Column]:
     """Aggregates over ``value_positions`` rows: exact linear-interpolation quantiles.
 

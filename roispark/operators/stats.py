@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from roispark.functions.distributions import (chi2_sf, f_sf, f_tail, mann_whitney_p, norm_ppf, norm_tail,
                                               t_quantile, t_two_sided)
-from roispark.functions.ranking import group_quantiles, ranked, value_positions
+from roispark.functions.ranking import group_quantiles, ranked, running_totals, value_positions
 from roispark.session import materialize
 from roispark.sources.io import finite
 
@@ -138,22 +138,26 @@ def kruskal_wallis(long: DataFrame, group: str, keys: list[str] = ["metric"]) ->
 
 
 def mann_whitney(long: DataFrame, group: str, pairs: list[tuple], keys: list[str] = ["metric"]) -> DataFrame:
-    """U of the first group, two-sided p and Holm adjustment, for every listed pair."""
-    tags = F.filter(F.array(*[
-        F.when(F.col(group).isin(list(p)), F.struct(F.lit(p[0]).alias("group1"), F.lit(p[1]).alias("group2")))
-        for p in pairs]), lambda t: t.isNotNull())
-    spread = long.where("value IS NOT NULL").select(*keys, group, "value", F.explode(tags).alias("_p")).select(
-        *keys, group, "value", "_p.*")
-    at = [*keys, "group1", "group2"]
-    sums, totals = rank_sums(spread, at, group)
-    one = sums.groupBy(*at).agg(
-        F.max(F.when(F.col(group) == F.col("group1"), F.col("n_group"))).alias("n1"),
-        F.max(F.when(F.col(group) == F.col("group2"), F.col("n_group"))).alias("n2"),
-        F.max(F.when(F.col(group) == F.col("group1"), F.col("rank_sum"))).alias("_r1")).join(totals, at)
-    one = one.where("n1 IS NOT NULL AND n2 IS NOT NULL").withColumn(
-        "u", F.col("_r1") - F.col("n1") * (F.col("n1") + 1) / 2)
+    """U of the first group, two-sided p and Holm adjustment, for every listed pair.
+
+    One table of counts per distinct value serves all pairs: U adds up, over the values of the first group, how many
+    of the second are smaller and half of those that are equal.  Rows are never copied per pair.
+    """
+    column = {g: f"_c{i}" for i, g in enumerate(dict.fromkeys(g for p in pairs for g in p))}
+    counts = long.where(F.col("value").isNotNull() & F.col(group).isin(list(column))).groupBy(*keys, "value").agg(
+        *[F.count_if(F.col(group) == g).alias(c) for g, c in column.items()])
+    table = running_totals(counts, keys, "value", list(column.values()))
+    tests = []
+    for g1, g2 in pairs:
+        c1, c2, below = F.col(column[g1]), F.col(column[g2]), F.col(f"{column[g2]}_below")
+        same = (c1 + c2).cast("double")
+        tests.append(F.struct(
+            F.lit(g1).alias("group1"), F.lit(g2).alias("group2"), F.sum(c1).alias("n1"), F.sum(c2).alias("n2"),
+            F.sum(c1 * (below + c2 / 2)).alias("u"), F.sum(same * same * same - same).alias("ties")))
+    one = table.groupBy(*keys).agg(F.array(*tests).alias("_t")).select(*keys, F.explode("_t").alias("_t")).select(*keys, "_t.*")
+    one = one.where("n1 > 0 AND n2 > 0")
     return holm(one.withColumn("p_raw", mann_whitney_p(F.col("u"), F.col("n1"), F.col("n2"), F.col("ties"))),
-                "p_raw", keys, ["group1", "group2"]).select(*at, "n1", "n2", "u", "p_raw", "p_holm")
+                "p_raw", keys, ["group1", "group2"]).select(*keys, "group1", "group2", "n1", "n2", "u", "p_raw", "p_holm")
 
 
 def holm(tests: DataFrame, p: str, keys: list[str], tie_break: list[str]) -> DataFrame:
