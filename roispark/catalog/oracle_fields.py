@@ -153,3 +153,4 @@ oracle("i10_duplicates", """SELECT 'order_line' AS "check", l_orderkey || '|' ||
  UNION ALL SELECT 'order:right', o_orderkey::VARCHAR, count(*) FROM orders GROUP BY o_orderkey HAVING count(*) > 1""")
 cte("panel", "SELECT DISTINCT acquisition_id, object_id % (3 + acquisition_id % 3) AS c FROM objects WHERE object_id % (3 + acquisition_id % 3) <> 0")
 oracle("i11_channel_pairs", """SELECT a.acquisition_id, a.c AS channel_a, b.c AS channel_b FROM panel a JOIN panel b USING (acquisition_id) WHERE a.c < b.c""")
+oracle("i6_shared_files", """SELECT 'S' || q AS sample, 'in/S' || q || '_GFP.tif' AS path, 2::BIGINT AS channels FROM acqs WHERE q % 5 = 0""")

@@ -104,6 +104,8 @@ _cmp = [("Marker A input ROIs", "a_rois", "ROIs"), ("Marker B input ROIs", "b_ro
         ("Percent unconstrained final pairs with discordant nuclear identity", "CASE WHEN nu > 0 THEN 100.0*nd/nu ELSE 0 END", "percent")]
 oracle("k13_compare_variants", " UNION ALL ".join(
     f"SELECT {KP}, '{m}' AS metric, {r(f'coalesce({v}, 0)', 'value')}, '{u}' AS units FROM cmp_n" for m, v, u in _cmp))
+oracle("k13_variant_violations", f"""SELECT {PAIR}, 'unconstrained_candidates_differ' AS "check" FROM aud1 WHERE object_b % 31 = 0
+ UNION ALL SELECT {PAIR}, 'constrained_candidates_differ' FROM aud1 WHERE (object_a % 29 = 0) <> (object_b % 31 = 0)""")
 
 # --- classes -------------------------------------------------------------------
 oracle("k14_unmatched_classes", f"SELECT * REPLACE ({r('focal_overlap_percent','focal_overlap_percent')}) FROM single_pos")

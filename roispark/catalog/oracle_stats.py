@@ -151,6 +151,8 @@ cte("ols_rows", f"""SELECT metric, field_id, line, batch, value, {_fit} AS fitte
  FROM lngv JOIN ols USING (metric)""")
 oracle("t15_model_rows", f"""SELECT metric, field_id, line, batch, {r('value','value')}, {r('fitted','fitted')}, {r('e','residual')},
  {r('e/sqrt(sum(e*e) OVER (PARTITION BY metric)/df)','standardized_residual')}, {r('lev','leverage')} FROM ols_rows""")
+oracle("t15_model_summary", f"""SELECT metric, count(*) AS n, any_value(df) AS residual_df, {r('sum(e*e)/any_value(df)','residual_variance')},
+ {r('sqrt(sum(e*e)/any_value(df))','residual_sd')}, {r('max(lev)','max_leverage')} FROM ols_rows GROUP BY metric""")
 _meat = ", ".join(f"sum({X[i]}*{X[j]}*(e/(1-lev))*(e/(1-lev))) AS q{i}_{j}" for i in range(P) for j in range(P))
 cte("meat", f"SELECT metric, sum(e*e) AS rss, any_value(df) AS df, {_meat} FROM ols_rows GROUP BY metric")
 

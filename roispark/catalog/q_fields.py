@@ -235,6 +235,15 @@ def _(spark, d):
     return inventory.stitched_samples(f, r"(S\d+)_([A-Z]+)\.tif", ["DAPI", "GFP", "PV"])
 
 
+@query("i6_shared_files")
+def _(spark, d):
+    """Explicit channel lists in which every fifth acquisition names one file twice."""
+    listed = fixtures.objects(spark, d).select("acquisition_id").distinct().selectExpr(
+        "concat('S', acquisition_id) AS sample", "explode(array('DAPI', 'GFP', 'PV')) AS channel", "acquisition_id").selectExpr(
+        "sample", "channel", "concat('in/', sample, '_', CASE WHEN channel = 'PV' AND acquisition_id % 5 = 0 THEN 'GFP' ELSE channel END, '.tif') AS path")
+    return inventory.shared_files(listed)
+
+
 def found_fields(spark, d):
     return inventory.tiles(clean(spark, d)).withColumn("session", F.element_at(F.split("folder", "/"), 1))
 

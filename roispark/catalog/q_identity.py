@@ -129,6 +129,13 @@ def _(spark, d):
     return identity.compare_variants(audit(spark, d), details(spark, d), rois)
 
 
+@query("k13_variant_violations")
+def _(spark, d):
+    """The constrained table lacks some candidates, the audit others."""
+    found = stage_overlap(spark, d)
+    return identity.variant_violations(found, found.where("object_a % 29 <> 0"), audit(spark, d).where("object_b % 31 <> 0"))
+
+
 @query("k14_unmatched_classes")
 def _(spark, d):
     return single_positive(spark, d)

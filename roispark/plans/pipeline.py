@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roispark.functions import bits
-from roispark.operators import classes, gates, identity, matching, metrics, overlap
+from roispark.operators import classes, gates, identity, labels, matching, metrics, overlap
 from roispark.schema import OBJ, SHAPE_METRICS, INTENSITY_METRICS, AnalysisConfig
 from roispark.session import materialize
 from roispark.sources import io
@@ -40,16 +40,42 @@ def match_stage(words: DataFrame, areas: DataFrame, pairs: list[tuple], threshol
     }
 
 
+CHECK = ["acquisition_id", "channel", "check", "detail"]
+
+
+def input_checks(words: DataFrame, table: DataFrame, config: AnalysisConfig, dims: DataFrame | None) -> DataFrame:
+    """What makes an acquisition unusable: pixels outside of the image, rules without any finite value."""
+    found = words.sparkSession.createDataFrame([], words.select("acquisition_id", "channel").schema).select(
+        "*", F.lit("").alias("check"), F.lit("").alias("detail"))
+    if dims is not None:
+        outside = labels.out_of_bounds(words, dims).where("out_of_bounds_px > 0")
+        found = found.unionByName(outside.select(
+            "acquisition_id", "channel", F.lit("pixels_out_of_bounds").alias("check"), F.col("out_of_bounds_px").cast("string").alias("detail")))
+    rules = list({r.metric: r for r in [*config.intensity_rules, *config.shape_rules]}.values())
+    if rules:
+        gaps = gates.missing_values(table.where(F.col("channel") != F.lit(config.nuclear_channel)), rules)
+        found = found.unionByName(gaps.select(
+            "acquisition_id", "channel", F.lit("rule_without_values").alias("check"), F.col("metric").alias("detail")))
+    return found
+
+
 def analyze(pixels: DataFrame, images: DataFrame, organoids: DataFrame, sizes: DataFrame,
-            config: AnalysisConfig) -> dict[str, DataFrame]:
+            config: AnalysisConfig, dims: DataFrame | None = None) -> dict[str, DataFrame]:
     """From ROI pixels to classes and densities, all channels and acquisitions together.
 
+    Acquisitions that fail an input check are left out of everything but ``words``, ``metrics`` and ``checks``; with
+    ``dims(acquisition_id, width, height)`` pixels outside of the image are one of them.  ``checks`` also lists what the
+    identity stage finds wrong with its own sources (K9) and candidates (K13); it is empty for a sound run.
+
     Written once, because several branches read them: the bit-row words, the
     metrics, and per stage overlap, matches and cell ids.  Everything else is lazy.
     """
     words = materialize(io.read_roi_words(pixels))
     table = materialize(metrics.roi_metrics(words, images, sizes))
     markers = sorted({c for p in config.marker_pairs for c in p})
+    refused = materialize(input_checks(words, table, config, dims))
+    every_word, every_metric = words, table
+    words, table = (df.join(refused.select("acquisition_id").distinct(), "acquisition_id", "left_anti") for df in (words, table))
     gated = materialize(gate_objects(table, config))
     # The nuclear channel is the identity reference and is not gated.
     nuclear = F.col("channel") == F.lit(config.nuclear_channel)
@@ -88,7 +114,11 @@ def analyze(pixels: DataFrame, images: DataFrame, organoids: DataFrame, sizes: D
         "comparison_pairs": details,
         "comparison": identity.compare_variants(audit, details, roi_counts),
     }
-    out = {"words": words, "metrics": table, "gated_words": kept, "areas": areas,
+    sources = identity.source_violations(mapping, kept, current, kept.where(nuclear).select("acquisition_id", "object_id").distinct())
+    differing = identity.variant_violations(free["overlap"], eligible, audit)
+    checks = refused.unionByName(sources.select(*CHECK)).unionByName(differing.select(
+        "acquisition_id", F.col("channel_a").alias("channel"), "check", F.concat_ws(":", "object_a", "object_b").alias("detail")))
+    out = {"checks": checks, "words": every_word, "metrics": every_metric, "gated_words": kept, "areas": areas,
            "positive_areas": overlap.union_area(bits.merge(kept, OBJ), io.organoid_area(organoids, True))}
     for prefix, tables in (("nuclear", first), ("marker", free), ("constrained", constrained)):
         out.update({f"{prefix}_{name}": df for name, df in tables.items()})

@@ -18,15 +18,22 @@ from roispark.session import materialize
 
 
 def process_arrivals(spark: SparkSession, source: str, schema, runs_path: str, checkpoint: str,
-                     process: Callable[[DataFrame], None], config: str = "") -> StreamingQuery:
+                     process: Callable[[DataFrame], None], config: str = "", files_path: str | None = None) -> StreamingQuery:
     """Process all new inventory files once and stop (``availableNow``).
 
-    ``process`` receives the inventory rows of unfinished folders; the fingerprint
-    of each is appended to ``runs_path`` afterwards.  A batch that is replayed
-    after a failure finds its fingerprints there and does nothing.
+    Every file seen is kept in ``files_path`` (one partition per batch, overwritten when a batch is replayed), so a
+    folder that arrives in several batches is fingerprinted and processed whole, as the batch form would.  ``process``
+    receives all inventory rows of the touched folders that are unfinished; their fingerprints are appended to
+    ``runs_path`` afterwards.  A replayed batch whose fingerprints are there does nothing; one that failed in between
+    is processed again, so ``process`` should replace what it wrote for a folder.
     """
+    files_path = files_path or runs_path.rstrip("/") + "_files"
+
     def one_batch(batch: DataFrame, epoch: int) -> None:
-        files = materialize(inventory.path_parts(batch))
+        batch.select("path", "size").write.mode("overwrite").parquet(f"{files_path}/batch={epoch}")
+        seen = inventory.path_parts(spark.read.parquet(files_path).select("path", "size").distinct())
+        touched = inventory.path_parts(spark.read.parquet(f"{files_path}/batch={epoch}")).select("folder").distinct()
+        files = materialize(seen.join(touched, "folder", "left_semi"))
         now = inventory.fingerprints(files, ["folder"], ["path", "size"], config)
         done = spark.read.schema("folder string, fingerprint string").parquet(runs_path)
         todo = materialize(inventory.pending(now, done, ["folder"]))

@@ -40,6 +40,7 @@ def test_analyze_end_to_end(spark):
                             shape_rules=[Rule("area_px", 10)])
     px = fixtures.roi_pixels(spark, SF).withColumnRenamed("object_id", "roi")
     out = analyze(px, fixtures.image_rows(spark, SF), fixtures.organoids(spark, SF), fixtures.pixel_sizes(spark, SF), config)
+    assert out["checks"].count() == 0
     n = out["metrics"].count()
     gated = out["areas"].where("channel <> 0").count()
     assert 0 < gated < out["metrics"].where("channel <> 0").count() and n == 1500
@@ -55,6 +56,21 @@ def test_analyze_end_to_end(spark):
     assert all(abs(r.p - 100) < 1e-9 for r in parts)
 
 
+def test_a_bad_acquisition_does_not_stop_the_others(spark):
+    config = AnalysisConfig(nuclear_channel=0, marker_nuclear_threshold=0.25, marker_marker_threshold=0.25,
+                            marker_pairs=[(1, 2)], intensity_rules=[Rule("mean_intensity", 10)])
+    px = fixtures.roi_pixels(spark, SF).withColumnRenamed("object_id", "roi")
+    first, second = [r[0] for r in px.select("acquisition_id").distinct().orderBy("acquisition_id").limit(2).collect()]
+    px = px.unionByName(px.where(F.col("acquisition_id") == first).limit(1).withColumn("x", F.lit(500).cast(px.schema["x"].dataType)))
+    images = fixtures.image_rows(spark, SF).where(f"acquisition_id <> {second} OR channel <> 2")
+    dims = px.select("acquisition_id").distinct().selectExpr("acquisition_id", "400L AS width", "400L AS height")
+    out = analyze(px, images, fixtures.organoids(spark, SF), fixtures.pixel_sizes(spark, SF), config, dims)
+    found = {(r.acquisition_id, r.check) for r in out["checks"].collect()}
+    assert (first, "pixels_out_of_bounds") in found and {a for a, _ in found} <= {first, second}
+    left = {r[0] for r in out["gated_words"].select("acquisition_id").distinct().collect()}
+    assert first not in left and left and left == {r[0] for r in out["nuclear_summary"].select("acquisition_id").distinct().collect()}
+
+
 def test_run_tables_round_trip_and_dynamic_overwrite(spark, tmp_path):
     df = spark.createDataFrame([("a", 1, 2, 5), ("b", 1, 2, 6)], "acquisition_id string, channel_a long, channel_b long, v long")
     keys = ["acquisition_id", "channel_a", "channel_b"]
@@ -118,3 +134,22 @@ def test_stream_skips_finished_folders(spark, tmp_path):
     spark.createDataFrame([("s/B/B_F0.ims", 2), ("s/C/C_F0.ims", 3)], schema).coalesce(1).write.mode("append").parquet(src)
     run()
     assert seen == [[("s/A",), ("s/B",)], [("s/C",)]]
+
+
+def test_a_folder_in_two_batches_is_processed_whole(spark, tmp_path):
+    src, runs = str(tmp_path / "in"), str(tmp_path / "runs")
+    schema, seen = "path string, size long", []
+
+    def run():
+        process_arrivals(spark, src, schema, runs, str(tmp_path / "cp"), lambda df: seen.append(rows(df.select("path")))).awaitTermination()
+
+    spark.createDataFrame([("s/A/A_F0.ims", 1)], schema).coalesce(1).write.mode("append").parquet(src)
+    run()
+    spark.createDataFrame([("s/A/A_F1.ims", 2), ("s/B/B_F0.ims", 3)], schema).coalesce(1).write.mode("append").parquet(src)
+    run()
+    run()
+    assert seen == [[("s/A/A_F0.ims",)], [("s/A/A_F0.ims",), ("s/A/A_F1.ims",), ("s/B/B_F0.ims",)]]
+    every = inventory.path_parts(spark.read.parquet(src))
+    want = inventory.fingerprints(every, ["folder"], ["path", "size"], "").select("folder", "fingerprint")
+    done = spark.read.parquet(runs)
+    assert want.join(done, ["folder", "fingerprint"], "left_anti").count() == 0 and done.count() == 3
