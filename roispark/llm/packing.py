@@ -129,10 +129,10 @@ def pieces(docs: DataFrame, path: str | None = None, window: int = WINDOW, with_
             import public_tokenizers
 
             name = public_tokenizers.path(VOCABULARY)
-        encoder = _encoders.setdefault(name, Encoder(name))
+        if name not in _encoders:
+            _encoders[name] = Encoder(name)
+        encoder = _encoders[name]
         end = np.array([END_ID], "<u4").tobytes()
-        # A worker is used again by other stages: the chunks do not outlive their task.
-        encoder.cache, encoder.older = {"": b""}, {}
         for batch in batches:
             column, ids, numbers = text_of(batch), batch.column("doc_id").to_pylist(), batch.column("row").to_pylist()
             offsets = utf8(column)[1]
@@ -151,6 +151,7 @@ def pieces(docs: DataFrame, path: str | None = None, window: int = WINDOW, with_
                 columns = list(zip(*out))[:len(fields)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 6 + [pa.binary()])], fields.names)
+        # A worker is used again by other stages: the chunks do not outlive their task.
         encoder.cache, encoder.older = {"": b""}, {}
 
     fields = T.StructType([*PIECE_FIELDS, T.StructField("ids", T.BinaryType())]) if with_ids else PIECE_FIELDS
