@@ -24,6 +24,8 @@ LEAF = 48
 PROBES = 200
 # Rows of a leaf that are compared in one block.
 BLOCK = 4096
+# Difference of two computed cosines below which they may be equal.
+ROUNDING = 1e-12
 SEED = 11
 
 
@@ -149,9 +151,11 @@ def nearest(rows: DataFrame, queries: str = "vec_id % 50 = 0", k: int = NEIGHBOU
     widths = vectors.groupBy(F.length("vec").alias("w")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").limit(1).collect()
     width = widths[0]["w"] if widths else 0
     vectors = vectors.where(F.length("vec") == width)
-    first = vectors.withColumn("_r", F.row_number().over(Window.partitionBy("digest").orderBy("vec_id"))).where(f"_r <= {k + 1}")
-    classes = materialize(first.groupBy("digest").agg(
-        F.min("vec").alias("vec"), F.array_sort(F.collect_list("vec_id")).alias("ids")))
+    # Repeated rows count once, so that they cannot fill the places of a class.
+    first = vectors.select("digest", "vec_id").distinct().withColumn(
+        "_r", F.row_number().over(Window.partitionBy("digest").orderBy("vec_id"))).where(f"_r <= {k + 1}")
+    ids = first.groupBy("digest").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
+    classes = materialize(vectors.groupBy("digest").agg(F.min("vec").alias("vec")).join(ids, "digest"))
     asked = vectors.where(queries).select(F.col("vec_id").alias("query_id"), "digest").distinct()
     forest = spark.sparkContext.broadcast(build(classes, width))
 
@@ -192,12 +196,16 @@ def nearest(rows: DataFrame, queries: str = "vec_id % 50 = 0", k: int = NEIGHBOU
         if not len(x) or not len(q):
             return None
         a, b = (np.stack([np.frombuffer(d, np.float64) for d in part["vec"]]) for part in (q, x))
-        score = (a @ b.T) / (np.linalg.norm(a, axis=1)[:, None] * np.linalg.norm(b, axis=1)[None, :])
+        na, nb = (np.sqrt(np.einsum("ij,ij->i", v, v)) for v in (a, b))
+        score = (a @ b.T) / (na[:, None] * nb[None, :])
         keep = min(k + 1, len(x))
-        # Everything that ties with the last place goes on.
+        # Everything that may tie with the last place goes on.
         least = np.partition(score, len(x) - keep, axis=1)[:, len(x) - keep]
-        i, j = np.nonzero(score >= least[:, None])
-        return pd.DataFrame({"query": q["digest"].to_numpy()[i], "digest": x["digest"].to_numpy()[j], "score": score[i, j]})
+        i, j = np.nonzero(score >= least[:, None] - ROUNDING)
+        # Digits of a matrix product depend on its block; a pair's own product does not.
+        exact = np.concatenate([np.einsum("ij,ij->i", a[i[o:o + BLOCK]], b[j[o:o + BLOCK]]) for o in range(0, len(i), BLOCK)])
+        return pd.DataFrame({"query": q["digest"].to_numpy()[i], "digest": x["digest"].to_numpy()[j],
+                             "score": exact / (na[i] * nb[j])})
 
     def run(frames):
         rest = None
@@ -213,7 +221,7 @@ def nearest(rows: DataFrame, queries: str = "vec_id % 50 = 0", k: int = NEIGHBOU
             yield f
 
     found = work.mapInPandas(run, "query binary, digest binary, score double")
-    # The same pair met in several trees has one score but for rounding: the largest stands for it.
+    # A pair met in several trees has the same score in each.
     pairs = found.groupBy("query", "digest").agg(F.max("score").alias("score"))
     near = pairs.join(classes.select("digest", "ids"), "digest").withColumn("_r", F.row_number().over(
         Window.partitionBy("query").orderBy(F.desc("score"), F.col("ids")[0]))).where(f"_r <= {k + 1}")

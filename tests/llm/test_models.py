@@ -188,6 +188,15 @@ def test_neighbours(spark):
     assert forest.nearest(table.limit(0)).count() == 0
 
 
+def test_repeated_query_rows_do_not_fill_a_class(spark):
+    v, w = [1.0, 2.0, 0.5], [2.0, -1.0, 0.0]
+    # 9 and 10 point the way of 0 and 8: equal scores, the smaller id first.
+    rows = [(0, v)] * 9 + [(7, v), (8, v), (10, [4.0, 8.0, 2.0]), (9, [0.5, 1.0, 0.25]), (11, w)]
+    found = forest.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert [r.vec_id for r in sorted(found, key=lambda r: r["rank"])] == [7, 8, 9, 10, 11]
+    assert {r.query_id for r in found} == {0} and [r["rank"] for r in sorted(found, key=lambda r: r["rank"])] == [1, 2, 3, 4, 5]
+
+
 def test_licences(spark):
     rows = AWKWARD + [(50, prose(1, 20) + "\nLicensed under the Apache License, Version 2.0.\n" + prose(2, 5)),
                       (51, "She asked for permission to renew her driving license."), (52, "Released under the MIT License.")]
