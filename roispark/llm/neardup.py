@@ -129,7 +129,7 @@ def _mixed(rows: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _remaining_pairs(rows: DataFrame, members: DataFrame, similarity: int) -> DataFrame:
-    """``(a, b)``: members of one key that are not connected but similar by their 32-bit sets.
+    """``(u, v)``: members of one key that are not connected but similar, confirmed on their full sets.
 
     The members outside the key's largest component meet every member, in blocks of ``BLOCK``: a task
     compares two blocks at a time.  A pair is looked at for the first key that it shares only.
@@ -175,7 +175,7 @@ def _remaining_pairs(rows: DataFrame, members: DataFrame, similarity: int) -> Da
         if not len(used):
             return []
         good, theirs = good[:, used], theirs[used]
-        sets = [np.frombuffer(h, np.uint32) for h in pdf["hashes"]]
+        sets = [np.frombuffer(h, np.uint64) for h in pdf["hashes"]]
         value, owner = np.concatenate([sets[t] for t in theirs]), np.repeat(np.arange(len(theirs)), size[theirs])
         by = np.argsort(value, kind="stable")
         value, owner = value[by], owner[by]
@@ -185,14 +185,11 @@ def _remaining_pairs(rows: DataFrame, members: DataFrame, similarity: int) -> Da
             span = hi - lo
             at = np.repeat(lo - np.cumsum(span) + span, span) + np.arange(span.sum())
             both = np.bincount(owner[at], minlength=len(theirs))
-            # Equal 32-bit values of different shingles can only add to the count.
             alike = good[p] & (100 * both >= similarity * (size[theirs] + size[mine[p]] - both))
-            # Two links to each component that the probe meets are enough to join them.
-            met: dict[int, int] = {}
-            for t in np.flatnonzero(alike):
-                met[code[theirs[t]]] = met.get(code[theirs[t]], 0) + 1
-                if met[code[theirs[t]]] <= 2:
-                    out.append((node[mine[p]], node[theirs[t]]))
+            # Links are final, so the first to each component that the probe meets joins them.
+            hit = np.flatnonzero(alike)
+            for t in hit[np.unique(code[theirs[hit]], return_index=True)[1]]:
+                out.append((node[mine[p]], node[theirs[t]]))
         return out
 
     def run(frames):
@@ -203,12 +200,12 @@ def _remaining_pairs(rows: DataFrame, members: DataFrame, similarity: int) -> Da
             start = np.flatnonzero((group != group.shift()).any(axis=1).to_numpy())
             held = frame.iloc[start[-1]:] if len(start) else None
             pairs = [p for a, b in zip(start[:-1], start[1:]) for p in compare(frame.iloc[a:b])]
-            yield pd.DataFrame(pairs, columns=["a", "b"])
+            yield pd.DataFrame(pairs, columns=["u", "v"])
         if held is not None:
-            yield pd.DataFrame(compare(held), columns=["a", "b"])
+            yield pd.DataFrame(compare(held), columns=["u", "v"])
 
     dealt = work.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.mapInPandas(run, "a binary, b binary")
+    return dealt.mapInPandas(run, "u binary, v binary")
 
 
 def _source(docs: DataFrame) -> DataFrame:
@@ -219,21 +216,21 @@ def _members(source: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """``(node, text, n_shingles, signature, hashes)``: one text for each wanted class ``(node, first, signature)``.
 
     The row is found by the class's smallest doc_id; rows that only share that doc_id are left out.
-    ``hashes`` holds the set as 32-bit values, for comparisons that a look at the text confirms.
+    ``hashes`` holds the whole set, so that comparisons of it are final.
     """
 
     def run(batches):
         for batch in batches:
             nodes = batch.column("node").to_pylist()
-            keep, size, short = [], [], []
+            keep, size, sets = [], [], []
             for row, own in _document_sets(batch.column("text"), shingle):
                 same = len(own) > 0 and xxhash.xxh3_128_digest(own.tobytes()) == nodes[row]
                 keep.append(same)
                 size.append(len(own))
-                short.append((own >> _U(32)).astype(np.uint32).tobytes() if same else None)
+                sets.append(own.tobytes() if same else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node"), batch.column("text"), pa.array(size, pa.int64()), batch.column("signature"),
-                 pa.array(short, pa.binary())],
+                 pa.array(sets, pa.binary())],
                 ["node", "text", "n_shingles", "signature", "hashes"]).filter(pa.array(keep, pa.bool_()))
 
     found = source.join(wanted, source["doc_id"].eqNullSafe(wanted["first"])).select("node", "text", "signature")
@@ -252,8 +249,7 @@ def _class_components(source: DataFrame, sketch: DataFrame, shingle: int, simila
     links = materialize(_confirmed(_star(shared), members, shingle, similarity))
     labels = connected_components(links, [])
     apart = materialize(_mixed(shared, labels))
-    pairs = materialize(_remaining_pairs(apart, members, similarity))
-    more = _confirmed(pairs, members, shingle, similarity)
+    more = _remaining_pairs(apart, members, similarity)
     # The components found so far are the nodes of a much smaller graph.
     for side in ("u", "v"):
         known = labels.select(F.col("node").alias(side), F.col("component").alias("_c"))
