@@ -179,12 +179,22 @@ def downsample(images: DataFrame, factor: int, height: int, width: int, limit: i
     out_y, out_x = height // factor, width // factor
     if out_y < 1 or out_x < 1:
         raise ValueError("image is smaller than the downsampling factor")
-    px = images.where(F.col("y") < out_y * factor).select(
-        *keys, "y", "seg", F.posexplode("pixel_values").alias("_i", "v"))
-    x = F.col("seg") * bits.SEGMENT + F.col("_i")
-    return px.where(x < out_x * factor).groupBy(
-        *keys, F.floor(F.col("y") / factor).alias("y"), F.floor(x / factor).alias("x")
-    ).agg(F.avg("v").alias("_m")).select(
+    # Every block of an image row is cut where target pixels begin; the pieces are summed inside the block, and
+    # pieces of one target pixel that lie in several rows or blocks meet as partial sums.
+    start = F.col("seg") * bits.SEGMENT
+    end = F.least(start + F.size("pixel_values"), F.lit(out_x * factor))
+    first, last = F.floor(start / factor), F.floor((end - 1) / factor)
+
+    def piece(x):
+        begin, stop = F.greatest(x * factor, start), F.least((x + 1) * factor, end)
+        values = F.slice("pixel_values", (begin - start + 1).cast("int"), (stop - begin).cast("int"))
+        seen = F.filter(values, lambda v: v.isNotNull())
+        return F.struct(x.alias("x"), F.aggregate(seen, F.lit(0.0), lambda a, v: a + v).alias("s"), F.size(seen).alias("n"))
+
+    pieces = images.where((F.col("y") < out_y * factor) & (start < end)).select(
+        *keys, F.floor(F.col("y") / factor).alias("y"), F.explode(F.transform(F.sequence(first, last), piece)).alias("_p"))
+    mean = F.try_divide(F.sum("_p.s"), F.sum("_p.n"))
+    return pieces.groupBy(*keys, "y", F.col("_p.x").alias("x")).agg(mean.alias("_m")).select(
         *keys, "x", "y", F.greatest(F.least(F.rint("_m"), F.lit(float(limit))), F.lit(0.0)).alias("value"))
 
 

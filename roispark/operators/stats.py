@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from roispark.functions.distributions import (chi2_sf, f_sf, f_tail, mann_whitney_p, norm_ppf, norm_tail,
                                               t_quantile, t_two_sided)
-from roispark.functions.ranking import group_quantiles, ranked, running_totals, value_positions
+from roispark.functions.ranking import (group_quantiles, quantile_columns, ranked, running_totals,
+                                         value_positions)
 from roispark.session import materialize
 from roispark.sources.io import finite
 
@@ -28,6 +29,10 @@ def long_metrics(fields: DataFrame, metrics: list[str], keep: list[str]) -> Data
     return fields.select(*keep, F.explode(cells).alias("_c")).select(*keep, "_c.*")
 
 
+# Quartile columns of every table of descriptives.
+QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+
+
 def descriptives(long: DataFrame, keys: list[str]) -> DataFrame:
     """Counts, moments (ddof 1, null below two values), quartiles, extremes."""
     v = F.col("value")
@@ -35,29 +40,66 @@ def descriptives(long: DataFrame, keys: list[str]) -> DataFrame:
         F.count(F.lit(1)).alias("n_total"), F.count(v).alias("n_valid"), F.avg(v).alias("mean"),
         F.var_samp(v).alias("_var"), F.min(v).alias("min"), F.max(v).alias("max"),
         F.count_if(v == 0).alias("n_zero"), F.count_if(v == 100).alias("n_100"))
-    q = group_quantiles(long.where(v.isNotNull()), keys, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    q = group_quantiles(long.where(v.isNotNull()), keys, "value", QUARTILES)
+    return _described(base.join(q, keys, "left"), keys)
+
+
+def _described(found: DataFrame, keys: list[str]) -> DataFrame:
     n = F.col("n_valid")
     var = F.when(n >= 2, F.col("_var"))
-    return base.join(q, keys, "left").select(
+    return found.select(
         *keys, "n_total", "n_valid", (F.col("n_total") - n).alias("n_missing"), "mean", "median",
         var.alias("sample_variance"), F.sqrt(var).alias("sample_sd"), (F.sqrt(var) / F.sqrt(n)).alias("sem"),
         F.when(F.col("mean") != 0, 100 * F.sqrt(var) / F.abs("mean")).alias("cv_percent"),
         "q1", "q3", (F.col("q3") - F.col("q1")).alias("iqr"), "min", "max", "n_zero", "n_100")
 
 
-def expand_groupings(long: DataFrame, groupings: list[tuple[str, ...]], dims: list[str],
-                     fill: str = "") -> DataFrame:
-    """Each row once per grouping set, absent dimensions as ``fill``, with a label."""
+def value_lattice(long: DataFrame, groupings: list[tuple[str, ...]], dims: list[str],
+                  fill: str = "") -> DataFrame:
+    """Value counts of several grouping sets: ``(metric, grouping, dims, value, times)``.
+
+    The rows are counted once, by value in the finest cell; every grouping is rolled up from those counts, so
+    what is copied per grouping is distinct values.  Absent and null dimensions are ``fill``; a missing value is a row.
+    """
+    used = [d for d in dims if any(d in g for g in groupings)]
+    finest = long.groupBy("metric", *used, "value").agg(F.count(F.lit(1)).alias("times"))
     sets = [F.struct(F.lit(" x ".join(g) if g else "overall").alias("grouping"),
-                     *[(F.col(d).cast("string") if d in g else F.lit(fill)).alias(d) for d in dims])
+                     *[(F.coalesce(F.col(d).cast("string"), F.lit(fill)) if d in g else F.lit(fill)).alias(d) for d in dims])
             for g in groupings]
-    rest = [c for c in long.columns if c not in dims]
-    return long.select(*rest, F.explode(F.array(*sets)).alias("_g")).select(*rest, "_g.*")
+    # The finest counts are read once by all groupings.
+    spread = materialize(finest).select("metric", "value", "times", F.explode(F.array(*sets)).alias("_g"))
+    return spread.select("metric", "_g.*", "value", "times").groupBy(
+        "metric", "grouping", *dims, "value").agg(F.sum("times").alias("times"))
 
 
 def grouped_descriptives(long: DataFrame, groupings: list[tuple[str, ...]], dims: list[str]) -> DataFrame:
-    """Descriptives of several grouping sets in one pass, keyed by a label."""
-    return descriptives(expand_groupings(long, groupings, dims), ["metric", "grouping", *dims])
+    """Descriptives of several grouping sets, keyed by a label, from one lattice of value counts."""
+    keys = ["metric", "grouping", *dims]
+    return count_descriptives(materialize(value_lattice(long, groupings, dims)), keys)
+
+
+def count_descriptives(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """T1 from written value counts ``(keys, value, times)``, one row per key and value, keys not null.
+
+    Squares are summed around each group's mean, which keeps their digits.
+    """
+    v, t = F.col("value"), F.col("times")
+    known = v.isNotNull() & ~F.isnan(v)
+    middle = materialize(counts.where(known).groupBy(*keys).agg(
+        (F.sum(v * t) / F.sum(t)).alias("_c"), F.sum(t).alias("n")))
+    d = v - F.col("_c")
+    base = counts.join(middle, keys, "left").groupBy(*keys).agg(
+        F.sum(t).alias("n_total"), F.coalesce(F.sum(F.when(v.isNotNull(), t)), F.lit(0)).alias("n_valid"),
+        F.sum(d * t).alias("_s"), F.sum(d * d * t).alias("_q"), F.max("_c").alias("_c"), F.min(v).alias("min"), F.max(v).alias("max"),
+        F.coalesce(F.sum(F.when(v == 0, t)), F.lit(0)).alias("n_zero"),
+        F.coalesce(F.sum(F.when(v == 100, t)), F.lit(0)).alias("n_100"))
+    placed = running_totals(counts.where(known), keys, "value", ["times"]).withColumnRenamed("times_below", "below")
+    q = placed.join(middle.select(*keys, "n"), keys).groupBy(*keys).agg(*quantile_columns("value", QUARTILES))
+    shift = F.try_divide("_s", "n_valid")
+    spread = F.greatest(F.col("_q") - F.col("_s") * shift, F.lit(0.0))
+    out = base.join(q, keys, "left").withColumn("mean", F.col("_c") + shift).withColumn(
+        "_var", F.try_divide(spread, F.col("n_valid") - 1))
+    return _described(out, keys)
 
 
 def variance_matrix(long: DataFrame, rows: tuple[str, list], columns: tuple[str, list]) -> DataFrame:

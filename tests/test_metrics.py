@@ -245,3 +245,16 @@ def test_downsample_crop_and_rounding(spark):
 def test_union_area_counts_overlap_once(spark):
     words = bits.pack(frame(spark, {1: [(0, 0), (1, 0)], 2: [(1, 0), (2, 0)]}), OBJ)
     assert rows(overlap.union_area(words), "positive_area_px") == [(3,)]
+
+
+def test_downsample_pieces_across_block_and_row_borders(spark):
+    rng = np.random.default_rng(4)
+    image = rng.integers(0, 70000, (23, 101)).astype(float)
+    rows = [(1, 0, y, g, [float(v) for v in image[y, 32 * g:32 * g + 32]]) for y in range(23) for g in range(4)]
+    table = spark.createDataFrame(rows, "acquisition_id long, channel long, y long, seg long, pixel_values array<double>")
+    for f in (1, 3, 7, 20):
+        got = {(r.x, r.y): r.value for r in labels.downsample(table, f, 23, 101).collect()}
+        h, w = 23 // f, 101 // f
+        mean = image[:h * f, :w * f].reshape(h, f, w, f).mean(axis=(1, 3))
+        want = np.clip(np.rint(mean), 0, 65535)
+        assert got == {(x, y): want[y, x] for y in range(h) for x in range(w)}

@@ -257,3 +257,20 @@ def test_register_recovers_known_motion(spark):
     shifted = registration.register(points(spark, [(x + 100, y) for x, y in moving]), points(spark, fixed), 12.0,
                                     shift=spark.createDataFrame([(0, -100.0, 0.0)], "acquisition_id long, dx double, dy double"))
     assert shifted["transform"].collect()[0].a == pytest.approx(math.cos(a), abs=1e-9)
+
+
+def test_grouping_sets_equal_the_groups_on_their_own(spark):
+    rng = random.Random(3)
+    data = [("m" if i % 3 else "k", rng.choice("AB"), rng.randint(0, 2), None if i % 11 == 0 else 1e6 + rng.randint(0, 30) / 8)
+            for i in range(400)] + [("m", "Z", 9, 5.0), ("m", "Y", 9, None), ("void", "A", 0, None)]
+    df = spark.createDataFrame(data, "metric string, line string, batch long, value double")
+    got = stats.grouped_descriptives(df, [(), ("line",), ("line", "batch")], ["line", "batch"]).collect()
+    plain = {g: stats.descriptives(df, ["metric", *g]).collect() for g in ((), ("line",), ("line", "batch"))}
+    want = {(r.metric, " x ".join(g) or "overall", *[str(r[d]) if d in g else "" for d in ("line", "batch")]): r
+            for g, found in plain.items() for r in found}
+    assert {(r.metric, r.grouping, r.line, r.batch) for r in got} == set(want) and len(got) == len(want)
+    for r in got:
+        one = want[r.metric, r.grouping, r.line, r.batch]
+        for c in one.asDict():
+            if c not in ("metric", "line", "batch"):
+                assert r[c] == (one[c] if not isinstance(one[c], float) else pytest.approx(one[c], rel=1e-9, abs=1e-9)), (c, one)
