@@ -11,6 +11,8 @@ positions stay unique without any global numbering).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,7 +21,10 @@ from roispark.operators.overlap import objects_of_side
 from roispark.schema import K, KP, PAIR
 from roispark.session import materialize
 
+# Waiting proposals of all groups beyond which the events of one B object are spread over tasks.
 BLOCK = 1_000_000
+# Log entries (rounds) that are merged into one.
+COMPACT = 8
 
 
 def preferences(edges: DataFrame, keys: list[str] = KP, score: str = "a_percent_inside_b") -> DataFrame:
@@ -35,75 +40,94 @@ def preferences(edges: DataFrame, keys: list[str] = KP, score: str = "a_percent_
 
 def stable_matching(edges: DataFrame, keys: list[str] = KP, score: str = "a_percent_inside_b",
                     block: int = BLOCK) -> DataFrame:
-    """K2: matches ``(keys, object_a, object_b, score)`` for all groups in lockstep."""
+    """K2: matches ``(keys, object_a, object_b, score)`` for all groups in lockstep.
+
+    Who holds a B object is a log: a round appends the B objects that changed hands.  A new holder has a strictly
+    higher score than the one before, so the best entry is the latest and a round can play all of them as they are.
+    Groups without proposers are left out of a round.  After ``COMPACT`` rounds the log is rewritten as its latest
+    entries, so that reading it does not grow with the number of rounds.
+    """
     # First choices lie in a folder of their own: the first round is a plain scan of it,
     # later rounds read only the rest.
     prefs = materialize(
         ranked(edges.select(*keys, "object_a", "object_b", F.col(score).alias("score")),
                [*keys, "object_a"], [F.col("score").desc(), F.col("object_b")],
                "rank", "options").withColumn("first_choice", F.col("rank") == 1), ["first_choice"])
+    b_keys = [*keys, "object_b"]
     one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
-    columns = [*keys, "object_b", "object_a", "score", "rank", "options"]
+    columns = [*b_keys, "object_a", "score", "rank", "options"]
     first, later = (prefs.where(c).select(*columns) for c in ("first_choice", "NOT first_choice"))
-    proposers = holders = None
+    log: list[DataFrame] = []
+    proposals, proposers = first.withColumn("pos", F.col("object_a")), None
     waiting = first.count()
     while waiting:
-        if proposers is None:
-            proposals = first.withColumn("pos", F.col("object_a"))
-        else:
-            proposals = later.join(proposers, [*keys, "object_a", "rank"])
-        proposals = proposals.select(*columns, one.alias("fresh"), "pos")
-        events = proposals
-        if holders is not None:
-            events = proposals.unionByName(
-                holders.select(*columns, zero.alias("fresh"), zero.alias("pos")))
-        state = materialize(_play(events, keys, block if waiting > block else None))
-        holders = state.where("holds").select(*columns)
-        proposers = state.where("loser IS NOT NULL AND loser.rank < loser.options").select(
-            *keys, F.col("loser.object_a").alias("object_a"),
-            (F.col("loser.rank") + 1).alias("rank"), "pos")
+        events = proposals.select(*columns, one.alias("fresh"), "pos")
+        if log:
+            held = _entries(log).join(proposers.select(*keys).distinct(), keys, "left_semi")
+            events = events.unionByName(held.select(*columns, zero.alias("fresh"), zero.alias("pos")))
+        played = _play(events, keys, waiting > block)
+        # Only what changed is written: new holders, and who must ask the next B object.
+        state = materialize(played.where("fresh = 1 AND (holds OR loser.rank < loser.options)"))
+        log.append(state.where("holds").select(*columns))
+        if len(log) == COMPACT:
+            log = [materialize(_latest(log, b_keys))]
+        proposers = state.where("loser.rank < loser.options").select(
+            *keys, F.col("loser.object_a").alias("object_a"), (F.col("loser.rank") + 1).alias("rank"), "pos")
         waiting = proposers.count()
-    if holders is None:
+        proposals = later.join(proposers, [*keys, "object_a", "rank"])
+    if not log:
         return prefs.select(*keys, "object_a", "object_b", "score")
-    return holders.select(*keys, "object_a", "object_b", "score")
+    return _latest(log, b_keys).select(*keys, "object_a", "object_b", "score")
+
+
+def _entries(log: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, log)
+
+
+def _latest(log: list[DataFrame], b_keys: list[str]) -> DataFrame:
+    """The latest log entry of every B object: the one with the highest score."""
+    entries = _entries(log)
+    rest = [c for c in entries.columns if c not in (*b_keys, "score")]
+    return entries.groupBy(*b_keys).agg(F.max(F.struct("score", *rest)).alias("_last")).select(
+        *b_keys, *[F.col(f"_last.{c}").alias(c) for c in ("score", *rest)])
 
 
-def _play(events: DataFrame, keys: list[str], block: int | None) -> DataFrame:
+def _play(events: DataFrame, keys: list[str], spread: bool) -> DataFrame:
     """One round: mark the event that ends up held per B and the loser of every event.
 
-    ``block`` splits the events of one B into position blocks: the running best
-    is then taken inside blocks and over block maxima, so that a B object which
-    receives a third of all proposals is spread over many tasks.
+    ``spread`` splits the events of one B object: a range-partitioned sort by position deals them out in as many
+    pieces as the rows need, whatever the ids are; the running best is taken inside pieces and over their maxima,
+    so a B object that receives a third of all proposals lies in many tasks.
     """
     b_keys = [*keys, "object_b"]
     entry = F.struct("object_a", "rank", "options")
     # Higher score wins; among equals the incumbent, then the earliest event.
-    events = events.withColumn("_standing", F.struct(
-        F.col("score"), (-F.col("fresh")).alias("_held"), (-F.col("pos")).alias("_early"),
-        entry.alias("who")))
+    standing = F.struct(F.col("score"), (-F.col("fresh")).alias("_held"), (-F.col("pos")).alias("_early"),
+                        entry.alias("who"))
     before = (Window.unboundedPreceding, -1)
-    if block is None:
+    if not spread:
         group = Window.partitionBy(*b_keys)
-        events = events.withColumn(
+        events = events.withColumn("_standing", standing).withColumn(
             "_prev", F.max("_standing").over(group.orderBy("fresh", "pos").rowsBetween(*before))
         ).withColumn("_best", F.max("_standing").over(group))
     else:
-        events = events.withColumn("_block", F.when(
-            F.col("fresh") == 0, F.lit(-1).cast("long")).otherwise(F.floor(F.col("pos") / block)))
-        tops = events.groupBy(*b_keys, "_block").agg(F.max("_standing").alias("_top"))
+        # Written, so that the piece of an event is the same in all passes.
+        events = materialize(events.repartitionByRange(*b_keys, "fresh", "pos").withColumn(
+            "_piece", F.spark_partition_id())).withColumn("_standing", standing)
+        tops = events.groupBy(*b_keys, "_piece").agg(F.max("_standing").alias("_top"))
         per_b = Window.partitionBy(*b_keys)
         tops = tops.select(
-            *b_keys, "_block",
-            F.max("_top").over(per_b.orderBy("_block").rowsBetween(*before)).alias("_before"),
+            *b_keys, "_piece",
+            F.max("_top").over(per_b.orderBy("_piece").rowsBetween(*before)).alias("_before"),
             F.max("_top").over(per_b).alias("_best"))
-        inside = Window.partitionBy(*b_keys, "_block").orderBy("pos").rowsBetween(*before)
+        inside = Window.partitionBy(*b_keys, "_piece").orderBy("fresh", "pos").rowsBetween(*before)
         events = events.withColumn("_inside", F.max("_standing").over(inside)).join(
-            tops, [*b_keys, "_block"]
+            tops, [*b_keys, "_piece"]
         ).withColumn("_prev", F.greatest("_inside", "_before"))
     loser = F.when(F.col("_prev").isNull(), F.lit(None)).when(
         F.col("score") > F.col("_prev.score"), F.col("_prev.who")).otherwise(entry)
     return events.select(
-        *b_keys, "object_a", "score", "rank", "options", "pos",
+        *b_keys, "object_a", "score", "rank", "options", "fresh", "pos",
         F.when(F.col("fresh") == 1, loser).alias("loser"),
         (F.col("_standing") == F.col("_best")).alias("holds"))
 

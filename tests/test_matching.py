@@ -1,6 +1,7 @@
 import random
 from collections import deque
 
+import pytest
 from helpers import rows
 
 from roispark.functions import bits
@@ -57,17 +58,33 @@ def test_rounds_equal_fifo(spark):
     check(spark, random_groups(1), matching.BLOCK)
 
 
-def test_split_blocks_equal_fifo(spark):
-    # Every b group is split into blocks of four positions.
+@pytest.fixture
+def pieces(spark):
+    """Small partitions are not merged, so that the events of a B object lie in several pieces."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.set(name, "true")
+
+
+def test_split_events_equal_fifo(spark, pieces):
     check(spark, random_groups(2), 4)
 
 
-def test_hot_partner_is_split(spark):
-    # One B object wanted by every A object.
-    edges = [(0, a, 1, float(a % 3)) for a in range(1, 60)] + [(0, a, 2 + a % 5, 0.5) for a in range(1, 60)]
+def test_hot_partner_is_split_whatever_the_ids(spark, pieces):
+    # One B object wanted by every A object; ids far apart and negative.
+    ids = [(-1) ** a * a * 10**14 for a in range(1, 60)]
+    edges = [(0, a, 1, float(n % 3)) for n, a in enumerate(ids)] + [(0, a, 2 + n % 5, 0.5) for n, a in enumerate(ids)]
     check(spark, edges, 7)
 
 
+def test_long_chains_outlast_the_log(spark):
+    # Every round displaces one holder, so the log is merged several times.
+    n = 2 * matching.COMPACT + 3
+    edges = [(0, a, b, float(100 - b if a == 0 else 10 * a - b)) for a in range(n) for b in range(n)]
+    check(spark, edges, matching.BLOCK)
+
+
 def test_no_edges(spark):
     df = spark.createDataFrame([], "run_id long, object_a long, object_b long, score double")
     assert matching.stable_matching(df, ["run_id"], "score").count() == 0
