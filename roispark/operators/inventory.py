@@ -207,6 +207,20 @@ def reconcile_plan(found: DataFrame, plan: DataFrame) -> DataFrame:
     return both.withColumn("passed", ok)
 
 
+def glob_pattern(glob: str) -> str:
+    """A glob as a regular expression: ``*``, ``?``, ``[abc]``, ``[a-c]`` and ``[!abc]``; an open bracket is itself."""
+    parts = re.findall(r"\[!?\]?[^\]]*\]|.", glob, re.DOTALL)
+    out = []
+    for part in parts:
+        if len(part) > 1:
+            negated = part[1] == "!"
+            inside = re.sub(r"([\\\[\]&^])", r"\\\1", part[1 + negated:-1])
+            out.append(f"[{'^' if negated else ''}{inside}]")
+        else:
+            out.append({"*": ".*", "?": "."}.get(part) or re.escape(part))
+    return "".join(out)
+
+
 def select_fields(fields: DataFrame, sessions: list[str] | None = None, name_glob: str | None = None,
                   indices: list[int] | None = None, contains: str | None = None,
                   first: int | None = None) -> DataFrame:
@@ -215,9 +229,7 @@ def select_fields(fields: DataFrame, sessions: list[str] | None = None, name_glo
     if sessions:
         out = out.where(F.col("session").isin(sessions))
     if name_glob:
-        # Glob to regex; only *, ? are special.
-        pattern = "".join(".*" if ch == "*" else "." if ch == "?" else re.escape(ch) for ch in name_glob.lower())
-        out = out.where(F.regexp_like(F.lower("name"), F.lit(f"^{pattern}$")))
+        out = out.where(F.regexp_like(F.lower("name"), F.lit(f"^{glob_pattern(name_glob.lower())}$")))
     if indices is not None:
         out = out.where(F.col("index").isin(indices))
     if contains:

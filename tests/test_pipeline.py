@@ -153,3 +153,15 @@ def test_a_folder_in_two_batches_is_processed_whole(spark, tmp_path):
     want = inventory.fingerprints(every, ["folder"], ["path", "size"], "").select("folder", "fingerprint")
     done = spark.read.parquet(runs)
     assert want.join(done, ["folder", "fingerprint"], "left_anti").count() == 0 and done.count() == 3
+
+
+def test_globs_with_classes(spark):
+    import fnmatch
+
+    from roispark.operators.inventory import select_fields
+
+    names = ["s1_a", "S2_b", "s3_c", "s-_x", "s]_y", "s[_z", "s[1]", "t1_a", "s^_q", "s!_w", "s\\_e"]
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    for glob in ("s[12]_*", "S[1-3]_?", "s[!1-3]_*", "s[]]_*", "s[[]_*", "s[[]1]", "s[^]_q", "s[-x]_*", "s[_*", "*", "s[\\]_*"):
+        got = sorted(r.name for r in select_fields(df, name_glob=glob).collect())
+        assert got == sorted(n for n in names if fnmatch.fnmatchcase(n.lower(), glob.lower())), glob
