@@ -88,6 +88,14 @@ def audit(blocks: str, excluded: str, selected: str) -> str:
 
 
 oracle("f8_collect_fields", audit("block_id <> 152", "index IN (12, 13)", "index % 2 = 0"))
+cte("aud8", audit("block_id <> 152", "index IN (12, 13)", "index % 2 = 0"))
+oracle("f8_selection_gaps", """SELECT index, reason FROM aud8 WHERE index % 2 = 0 AND NOT included
+ UNION ALL SELECT index + 1000000, NULL FROM aud8 WHERE index % 10 = 4""")
+oracle("f8_manifest_violations", """SELECT index, CASE WHEN index % 23 = 7 THEN 'not in original manifest' WHEN index % 19 = 6 THEN 'not in remaining manifest'
+ ELSE 'source field differs' END AS "check", 0::BIGINT AS differing_tiles FROM flist
+ WHERE (index % 23 = 7) <> (index % 19 = 6) OR (index % 23 <> 7 AND index % 19 <> 6 AND index % 29 = 8)
+ UNION ALL SELECT q, 'tiles differ', count(DISTINCT tile) FROM inv WHERE q % 23 <> 7 AND q % 19 <> 6
+ AND ((q % 13 = 4 AND tile >= 2) OR (q % 17 = 3 AND tile = 1)) GROUP BY q""")
 cte("aud9", audit("true", "false", "true"))
 oracle("f9_sample_summary", f"""SELECT cell_line, condition, experiment_id, sample, count(*) AS n_fields, {r('avg(100.0*dp/nullif(dp+ao, 0))','mean_b_within_a_percent')},
  {r('avg((dp+ao)/(um/1e6))','mean_a_positive_density_per_mm2')}, {r('avg(dp/(um/1e6))','mean_double_positive_density_per_mm2')},

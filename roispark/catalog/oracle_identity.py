@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from roispark.catalog.oracle_pixels import KP, PX, PY, matching_ctes
+from roispark.catalog.oracle_pixels import KP, PX, PY, STAT_SQL, UM2, image_value, matching_ctes
 from roispark.catalog.oracles import cte, oracle, r
 
 K = "acquisition_id, channel"
@@ -109,6 +109,35 @@ oracle("k13_variant_violations", f"""SELECT {PAIR}, 'unconstrained_candidates_di
 
 # --- classes -------------------------------------------------------------------
 oracle("k14_unmatched_classes", f"SELECT * REPLACE ({r('focal_overlap_percent','focal_overlap_percent')}) FROM single_pos")
+cte("lone", """SELECT *, CASE side WHEN 'a' THEN object_id ELSE context_object_id END AS object_a,
+ CASE side WHEN 'a' THEN context_object_id ELSE object_id END AS object_b,
+ CASE side WHEN 'a' THEN channel_a ELSE channel_b END AS own, CASE side WHEN 'a' THEN channel_b ELSE channel_a END AS other FROM single_pos""")
+cte("lone_px", f"""SELECT side, p.acquisition_id, channel_a, channel_b, p.object_id, 'a_roi' AS region, x, y FROM lone p JOIN roi_pixels q
+ ON q.acquisition_id = p.acquisition_id AND q.channel = channel_a AND q.object_id = object_a
+ UNION ALL SELECT side, p.acquisition_id, channel_a, channel_b, p.object_id, 'b_roi', x, y FROM lone p JOIN roi_pixels q
+ ON q.acquisition_id = p.acquisition_id AND q.channel = channel_b AND q.object_id = object_b
+ UNION ALL SELECT side, {KP}, p.object_id, 'intersection', x, y FROM lone p JOIN shared USING ({KP}, object_a, object_b)""")
+_lone_key = f"side, {KP}, object_id"
+cte("lone_stats", f"""SELECT {_lone_key}, """ + ", ".join(
+    f"{fn} FILTER (region = '{g}' AND signal = '{s}') AS {s}_signal_in_{g}_{n}"
+    for g in ("a_roi", "b_roi", "intersection") for s in "ab" for n, fn in STAT_SQL.items())
+    + f""" FROM (SELECT *, 'a' AS signal, {image_value('channel_a')} AS v FROM lone_px
+ UNION ALL SELECT *, 'b', {image_value('channel_b')} FROM lone_px) GROUP BY {_lone_key}""")
+cte("lone_geo", """SELECT p.*, a.area_px AS an, b.area_px AS bn, intersection_px AS s, coalesce(a.area_px, 0) + coalesce(b.area_px, 0) AS ab_px,
+ b.cx - a.cx AS dx, b.cy - a.cy AS dy FROM lone p
+ LEFT JOIN centres a ON a.acquisition_id = p.acquisition_id AND a.channel = p.channel_a AND a.object_id = p.object_a
+ LEFT JOIN centres b ON b.acquisition_id = p.acquisition_id AND b.channel = p.channel_b AND b.object_id = p.object_b""")
+oracle("k14_unmatched_metrics", f"""SELECT {KP}, side, own || ' only / not final matched' AS cell_class, reason, own::VARCHAR AS focal_object,
+ CASE WHEN context_object_id IS NULL THEN 'No overlapping ' || other || ' ROI' ELSE 'Best overlapping ' || other || ' context' END AS context_partner_type,
+ object_a, object_b, {r('focal_overlap_percent','focal_overlap_percent')}, an AS a_pixel_count, bn AS b_pixel_count, s AS intersection_pixels,
+ ab_px - s AS union_pixels, {r(f'an*{UM2}','a_area_um2')}, {r(f'bn*{UM2}','b_area_um2')}, {r(f's*{UM2}','intersection_area_um2')},
+ {r(f'(ab_px-s)*{UM2}','union_area_um2')}, {r('100.0*s/an','a_percent_inside_b')}, {r('100.0*s/bn','b_percent_inside_a')},
+ {r('100.0*s/(ab_px-s)','iou_percent')}, {r('200.0*s/ab_px','dice_percent')}, {r('dx','centroid_dx_px')}, {r('dy','centroid_dy_px')},
+ {r('sqrt(dx*dx+dy*dy)','centroid_distance_px')}, {r(f'dx*{PX}','centroid_dx_um')}, {r(f'dy*{PY}','centroid_dy_um')},
+ {r(f'sqrt(dx*{PX}*dx*{PX}+dy*{PY}*dy*{PY})','centroid_distance_um')}, """ + ", ".join(
+    r(f"{s}_signal_in_{g}_{n}", f"{s}_signal_in_{g}_{n}")
+    for g in ("a_roi", "b_roi", "intersection") for s in "ab" for n in STAT_SQL)
+    + f" FROM lone_geo LEFT JOIN lone_stats USING ({_lone_key})")
 oracle("k15_class_composition", " UNION ALL ".join(
     f"SELECT {KP}, channel_a || '{x}/' || channel_b || '{y}' AS cell_class, {n} AS count, {r(f'100.0*({n})/nullif(ta+tb-m, 0)','percent')} FROM run_n"
     for x, y, n in (("+", "+", "m"), ("+", "-", "ta-m"), ("-", "+", "tb-m"))))

@@ -24,6 +24,12 @@ oracle("s5_load_run", """SELECT acquisition_id, count(*) AS rows, sum(object_a):
  UNION ALL SELECT acquisition_id, count(*), sum(object_a)::BIGINT, 'matching'
  FROM matches WHERE channel_a = 1 AND channel_b = 0 GROUP BY 1""")
 
+oracle("s6_run_bundle", " UNION ALL ".join(
+    f"""SELECT '{name}' AS table_name, count(*) FILTER (channel_b = 0) AS rows_of_nuclear_pairs,
+ (sum(object_b) FILTER (channel_b = 0))::BIGINT AS sum_object_b, count(*) AS rows, '{{"threshold": 0.25}}' AS metadata FROM {source}"""
+    for name, source in (("overlap", "overlap"), ("eligible_pairs", "overlap WHERE eligible"), ("positive_objects", "matches"),
+                         ("cell_id_mapping", "cells"))))
+
 # --- labels --------------------------------------------------------------------
 cte("label_px", f"SELECT {K}, x, y, 97*min(object_id) AS level FROM roi_pixels GROUP BY ALL HAVING min(object_id) <> 0")
 cte("level_rank", f"""SELECT {K}, level, row_number() OVER (PARTITION BY {K} ORDER BY level) AS roi

@@ -128,7 +128,7 @@ def image_value(ch: str, x: str = "x", y: str = "y", acq: str = "acquisition_id"
 
 _stats = ["mean_intensity", "median_intensity", "intensity_sd", "min_intensity", "p05_intensity",
           "p95_intensity", "max_intensity", "integrated_intensity"]
-_fn = {"mean_intensity": "avg(v)", "median_intensity": "quantile_cont(v, 0.5)", "intensity_sd": "stddev_pop(v)",
+STAT_SQL = {"mean_intensity": "avg(v)", "median_intensity": "quantile_cont(v, 0.5)", "intensity_sd": "stddev_pop(v)",
        "min_intensity": "min(v)", "p05_intensity": "quantile_cont(v, 0.05)", "p95_intensity": "quantile_cont(v, 0.95)",
        "max_intensity": "max(v)", "integrated_intensity": "sum(v)"}
 cte("region_pixels", f"""SELECT {PAIR}, 'a_roi' AS region, x, y FROM overlap o JOIN roi_pixels q
@@ -137,7 +137,7 @@ cte("region_pixels", f"""SELECT {PAIR}, 'a_roi' AS region, x, y FROM overlap o J
  ON q.acquisition_id = o.acquisition_id AND q.channel = o.channel_b AND q.object_id = o.object_b
  UNION ALL SELECT {PAIR}, 'intersection', x, y FROM shared""".replace(
     f"SELECT {PAIR}, '", "SELECT o.acquisition_id, channel_a, channel_b, object_a, object_b, '", 2))
-cte("region_stats", f"""SELECT {PAIR}, region, signal, {', '.join(f'{f} AS {n}' for n, f in _fn.items())} FROM (
+cte("region_stats", f"""SELECT {PAIR}, region, signal, {', '.join(f'{f} AS {n}' for n, f in STAT_SQL.items())} FROM (
  SELECT {PAIR}, region, 'a' AS signal, {image_value('channel_a')} AS v FROM region_pixels
  UNION ALL SELECT {PAIR}, region, 'b', {image_value('channel_b')} FROM region_pixels) GROUP BY ALL""")
 oracle("j8_region_intensity", f"SELECT {PAIR}, " + ", ".join(

@@ -172,9 +172,15 @@ def wald(c: str) -> str:
 oracle("t16_joint_test", " UNION ALL ".join(
     f"""SELECT metric, '{name}' AS covariance, {r(wald(c),'f')}, 2::BIGINT AS df_num, df AS df_den, {r(f'pow(1 + 2*{wald(c)}/df, -df/2.0)','p')} FROM hc"""
     for c, name in (("o", "ordinary covariance"), ("h", "HC3 robust covariance"))))
-oracle("t16_contrasts", " UNION ALL ".join(
-    f"SELECT metric, '{name}' AS comparison, {r(diff,'difference')}, {r(f'sqrt({var})','hc3_se')}, {r(f'({diff})/sqrt({var})','t')}, df FROM hc"
+cte("contrast", " UNION ALL ".join(
+    f"SELECT metric, '{name}' AS comparison, {diff} AS d, sqrt({var}) AS se, abs({diff})/sqrt({var}) AS t, sign({diff}) AS s, df FROM hc"
     for name, diff, var in (("N - A", "b1", "h11"), ("R - A", "b2", "h22"), ("N - R", "b1 - b2", "h11 + h22 - 2*h12"))))
+# Student's t for many degrees of freedom, as the normal distribution and the first terms in 1/df.
+cte("contrast_p", f"""SELECT *, least(1, {two_sided('t')} + (t*t*t + t)/(2.0*df)*exp(-t*t/2)/sqrt(2*pi())) AS p,
+ z + (z*z*z + z)/(4.0*df) + (5*pow(z, 5) + 16*z*z*z + 3*z)/(96.0*df*df) AS q FROM (SELECT *, 1.959963984540054::DOUBLE AS z FROM contrast)""")
+oracle("t16_contrasts", f"""SELECT metric, comparison, {r('d','difference')}, {r('se','hc3_se')}, {r('s*t','t')}, df, {r('p','raw_p')},
+ {r('least(1, max(step) OVER (PARTITION BY metric ORDER BY i))','p_holm')}, {r('d - q*se','ci95_lower')}, {r('d + q*se','ci95_upper')}
+ FROM (SELECT *, (4 - i)*p AS step FROM (SELECT *, row_number() OVER (PARTITION BY metric ORDER BY p, comparison) AS i FROM contrast_p))""")
 cte("qq_pos", """SELECT *, CASE WHEN i = n THEN pow(0.5::DOUBLE, 1.0/n) WHEN i = 1 THEN 1 - pow(0.5::DOUBLE, 1.0/n) ELSE (i - 0.3175::DOUBLE)/(n + 0.365) END AS pr
  FROM (SELECT metric, line, field_id, value, row_number() OVER (PARTITION BY metric, line ORDER BY value, field_id) AS i,
  count(*) OVER (PARTITION BY metric, line) AS n FROM lngv)""")

@@ -121,6 +121,32 @@ def _(spark, d):
     return fields.collect_fields(field_list(spark, d), known, selection, 17, [12, 13], SWITCH, "H1")
 
 
+def workspace_tiles(spark, d):
+    files = fixtures.file_inventory(spark, d).select("path").distinct()
+    return files.select(F.regexp_extract("path", r"(\d+)/[^/]*$", 1).cast("long").alias("index"),
+                        F.regexp_extract("path", r"_F0(\d)", 1).cast("long").alias("position"), F.col("path").alias("source")
+                        ).withColumn("source_index", F.col("position"))
+
+
+@query("f8_manifest_violations")
+def _(spark, d):
+    listed, tiles = field_list(spark, d).select("index", "source_field"), workspace_tiles(spark, d)
+    later = listed.where("index % 19 <> 6").selectExpr(
+        "index", "CASE WHEN index % 29 = 8 THEN concat(source_field, '_b') ELSE source_field END AS source_field")
+    changed = tiles.where("NOT (index % 13 = 4 AND position >= 2)").withColumn(
+        "source", F.expr("CASE WHEN index % 17 = 3 AND position = 1 THEN concat(source, '.old') ELSE source END"))
+    return fields.manifest_violations(listed.where("index % 23 <> 7"), later, tiles, changed)
+
+
+@query("f8_selection_gaps")
+def _(spark, d):
+    known = blocks(spark, d).where("block_id <> 152").select("block_id", "cell_line", "condition")
+    selection = field_list(spark, d).where("index % 2 = 0").select("index")
+    audit = fields.collect_fields(field_list(spark, d), known, selection, 17, [12, 13], SWITCH, "H1")
+    more = selection.unionByName(selection.where("index % 10 = 4").selectExpr("index + 1000000 AS index"))
+    return fields.selection_gaps(audit, more)
+
+
 @query("f9_sample_summary")
 def _(spark, d):
     audit = fields.collect_fields(field_list(spark, d), blocks(spark, d).select("block_id", "cell_line", "condition"),

@@ -141,6 +141,13 @@ def _(spark, d):
     return single_positive(spark, d)
 
 
+@query("k14_unmatched_metrics")
+def _(spark, d):
+    return classes.unmatched_metrics(
+        single_positive(spark, d), base.pair_overlap(spark, d), base.roi_metrics(spark, d), base.sizes(spark, d),
+        base.words(spark, d), base.written_images(spark, d), base.PAIRS)
+
+
 @query("k15_class_composition")
 def _(spark, d):
     return classes.class_composition(counts(spark, d))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from roispark.catalog import base
@@ -62,6 +64,21 @@ def _(spark, d):
     return sums[0].unionByName(sums[1])
 
 
+@query("s6_run_bundle")
+def _(spark, d):
+    from roispark.session import scratch_dir
+    import uuid
+    found = base.pair_overlap(spark, d)
+    path = f"{scratch_dir(spark)}/bundle-{uuid.uuid4().hex}"
+    manifest = io.save_bundle({
+        "overlap": found, "eligible_pairs": found.where("eligible"), "positive_objects": base.matches(spark, d),
+        "cell_id_mapping": base.cells(spark, d)}, path, ["channel_a", "channel_b"], {"threshold": THRESHOLD})
+    run = io.load_bundle(spark, path, ("overlap", "eligible_pairs", "positive_objects", "cell_id_mapping"), "channel_b = 0")
+    sums = [df.agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("rows_of_nuclear_pairs"),
+                   F.sum("object_b").alias("sum_object_b")) for n, df in run.items()]
+    return reduce(lambda a, b: a.unionByName(b), sums).join(manifest.select("table_name", "rows", "metadata"), "table_name")
+
+
 # --- labels --------------------------------------------------------------------
 @base.shared_table("levels")
 def ranked_levels(spark, d):

@@ -132,7 +132,7 @@ def _(spark, d):
 @query("t16_contrasts")
 def _(spark, d):
     return stats.robust_inference(long(spark, d), FACTORS)[1].select(
-        "metric", "comparison", "difference", "hc3_se", "t", "df")
+        "metric", "comparison", "difference", "hc3_se", "t", "df", "raw_p", "p_holm", "ci95_lower", "ci95_upper")
 
 
 @query("t17_qq_points")

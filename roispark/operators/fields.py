@@ -191,6 +191,36 @@ def reporter_roi_metrics(metrics: DataFrame, organoid_um2: DataFrame, area: str
         F.lit(intensity or "").alias("intensity_column"))
 
 
+def manifest_violations(original: DataFrame, remaining: DataFrame, original_tiles: DataFrame,
+                        remaining_tiles: DataFrame) -> DataFrame:
+    """F8: where the manifests of the two workspaces disagree; empty when they plan the same fields.
+
+    Manifests are ``(index, source_field)``, tiles ``(index, position, source_index, source)``.  One row per index
+    and check; ``differing_tiles`` counts positions whose tile is absent on one side or another file.
+    """
+    def both(a, b, keys, values):
+        left, right = (df.select(*keys, F.struct(*values).alias(name)) for df, name in ((a, "_o"), (b, "_r")))
+        return left.join(right, keys, "full_outer")
+
+    pair = both(original, remaining, ["index"], ["source_field"])
+    known = pair.where("_o IS NOT NULL AND _r IS NOT NULL").select("index")
+    planned = pair.where(~F.col("_o").eqNullSafe(F.col("_r"))).select(
+        "index", F.when(F.col("_o").isNull(), F.lit("not in original manifest"))
+        .when(F.col("_r").isNull(), F.lit("not in remaining manifest"))
+        .otherwise(F.lit("source field differs")).alias("check"), F.lit(0).cast("long").alias("differing_tiles"))
+    tiles = both(original_tiles, remaining_tiles, ["index", "position"], ["source_index", "source"]).where(
+        ~F.col("_o").eqNullSafe(F.col("_r"))).join(known, "index", "left_semi").groupBy("index").agg(
+        F.lit("tiles differ").alias("check"), F.count(F.lit(1)).alias("differing_tiles"))
+    return planned.unionByName(tiles.select("index", "check", "differing_tiles"))
+
+
+def selection_gaps(audit: DataFrame, selection: DataFrame) -> DataFrame:
+    """F8: verified indices that ``collect_fields`` did not include, with its reason (null: not planned at all)."""
+    taken = audit.where("included").select("index")
+    return selection.select("index").distinct().join(taken, "index", "left_anti").join(
+        audit.select("index", "reason"), "index", "left")
+
+
 def collect_fields(fields: DataFrame, blocks: DataFrame, selection: DataFrame, experiment: int,
                    excluded: list[int], switch_index: int, verified_line: str) -> DataFrame:
     """F8: audit of every planned field: included or not, from where, and why.

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from roispark.functions import bits
 from roispark.operators import classes, gates, identity, labels, matching, metrics, overlap
-from roispark.schema import OBJ, SHAPE_METRICS, INTENSITY_METRICS, AnalysisConfig
+from roispark.schema import OBJ, PAIR, SHAPE_METRICS, INTENSITY_METRICS, AnalysisConfig
 from roispark.session import materialize
 from roispark.sources import io
 
@@ -23,17 +23,23 @@ def gate_objects(metric_table: DataFrame, config: AnalysisConfig) -> DataFrame:
     return kept.select(*OBJ)
 
 
-def match_stage(words: DataFrame, areas: DataFrame, pairs: list[tuple], threshold: float) -> dict[str, DataFrame]:
-    """Overlap, eligibility, matching and the per-run tables of one stage."""
+def match_stage(words: DataFrame, areas: DataFrame, pairs: list[tuple], threshold: float, table: DataFrame,
+                images: DataFrame, sizes: DataFrame) -> dict[str, DataFrame]:
+    """Overlap, eligibility, matching, the metrics of pairs and unmatched objects and the per-run tables of one stage."""
     found = materialize(overlap.mark_eligible(overlap.overlap_counts(words, pairs, areas), threshold))
     matches = materialize(matching.stable_matching(found.where("eligible")))
     cells = materialize(matching.cell_ids(matches))
     counts = matching.side_counts(areas, found, matches, pairs)
+    unmatched = classes.unmatched_classes(areas, found, matches, pairs)
+    regions = overlap.region_intensity(matches, words, images, pairs)
     return {
+        "words": words, "pair_geometry": overlap.pair_geometry(matches, found, table, sizes), "pair_intensity": regions,
+        "matched_intensity": overlap.matched_intensity(matches, found, regions, areas),
+        "unmatched_metrics": classes.unmatched_metrics(unmatched, found, table, sizes, words, images, pairs),
         "overlap": found, "matches": matches, "cell_ids": cells, "side_counts": counts,
         "matching": matching.match_table(matches, found, matching.preferences(found.where("eligible"))),
         "below_threshold": overlap.below_threshold(areas, found, pairs),
-        "unmatched_classes": classes.unmatched_classes(areas, found, matches, pairs),
+        "unmatched_classes": unmatched,
         "class_composition": classes.class_composition(counts),
         "filtering_stage_counts": matching.stage_counts(counts, threshold),
         "status": overlap.pair_status(areas, found, pairs),
@@ -84,7 +90,7 @@ def analyze(pixels: DataFrame, images: DataFrame, organoids: DataFrame, sizes: D
     area_sum = io.organoid_area(organoids, False)
 
     nuclear_pairs = [(m, config.nuclear_channel) for m in markers]
-    first = match_stage(kept, areas, nuclear_pairs, config.marker_nuclear_threshold)
+    first = match_stage(kept, areas, nuclear_pairs, config.marker_nuclear_threshold, table, images, sizes)
     first["summary"] = matching.run_summary(first["side_counts"], area_sum, sizes)
 
     mapping = materialize(first["cell_ids"].select(
@@ -94,7 +100,7 @@ def analyze(pixels: DataFrame, images: DataFrame, organoids: DataFrame, sizes: D
         "acquisition_id", "channel", F.col("marker_id").alias("object_id"), "cell_id"), OBJ))
     pair_words = current.drop("cell_id")
     pair_areas = metrics.object_areas(pair_words)
-    free = match_stage(pair_words, pair_areas, config.marker_pairs, config.marker_marker_threshold)
+    free = match_stage(pair_words, pair_areas, config.marker_pairs, config.marker_marker_threshold, table, images, sizes)
     free["summary"] = matching.run_summary(free["side_counts"], area_sum, sizes)
 
     ids = current.select(*OBJ, F.col("object_id").alias("roi"), "cell_id")
@@ -123,3 +129,29 @@ def analyze(pixels: DataFrame, images: DataFrame, organoids: DataFrame, sizes: D
     for prefix, tables in (("nuclear", first), ("marker", free), ("constrained", constrained)):
         out.update({f"{prefix}_{name}": df for name, df in tables.items()})
     return out
+
+
+def run_tables(tables: dict[str, DataFrame], pairs: list[tuple], stage: str = "marker") -> dict[str, DataFrame]:
+    """The tables of one matching stage of ``analyze`` under the names of a run bundle.
+
+    Pixel tables are bit-row words.  The marker stage carries the identity audit and the assignments of both sides.
+    """
+    def of(name):
+        return tables[f"{stage}_{name}"]
+
+    eligible = of("overlap").where("eligible")
+    ranks = materialize(matching.preferences(eligible))
+    out = {
+        "overlap": of("overlap"), "eligible_pairs": eligible, "matching": of("matching"), "positive_objects": of("matching"),
+        "cell_id_mapping": of("cell_ids"), "unmatched": of("below_threshold"), "summary": of("summary"),
+        "filtering_stage_counts": of("filtering_stage_counts"),
+    }
+    for s in "ab":
+        out[f"object_{s}_pixels"] = overlap.side(of("words"), pairs, s)
+        out[f"{s}_preferences"] = ranks.select(*PAIR, "a_percent_inside_b", f"{s}_rank")
+        out[f"filtered_object_{s}_pixels"] = matching.matched_words(of("words"), of("cell_ids"), s)
+    if stage == "marker":
+        out["nuclear_constraint_audit"] = tables["constrained_audit"]
+        for s in "ab":
+            out[f"object_{s}_nuclear_assignments"] = overlap.side(tables["constrained_assignments"], pairs, s)
+    return out

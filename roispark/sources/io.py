@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import json
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roispark.functions import bits
 from roispark.functions.ranking import ranked
@@ -135,6 +139,70 @@ def load_run(spark: SparkSession, path: str, names: tuple[str, ...],
     return out
 
 
+MANIFEST = "table_name string, rows long, columns string, partition_columns array<string>, metadata string"
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def save_bundle(tables: dict[str, DataFrame], path: str, partition_by: list[str], metadata: dict | None = None) -> DataFrame:
+    """The tables of a run with a manifest that is written last, so that a run is whole or absent.
+
+    The manifest holds the rows that each write counted on the way, the schema, the partition columns and the run's
+    metadata.  Names are those of ``RUN_TABLES``.  What an interrupted run left behind is written over; a committed run
+    is refused.  Returns the manifest.
+    """
+    root = path.rstrip("/")
+    unknown = sorted(set(tables) - set(RUN_TABLES))
+    if unknown or not tables:
+        raise ValueError(f"not tables of a run: {unknown}" if unknown else "a run needs a table")
+    spark = next(iter(tables.values())).sparkSession
+    if _exists(spark, f"{root}/manifest"):
+        raise ValueError(f"{path} holds a committed run")
+    entries, text = [], json.dumps(metadata or {}, sort_keys=True)
+    for name, df in tables.items():
+        parts = [c for c in partition_by if c in df.columns]
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option(
+            "partitionOverwriteMode", "static").partitionBy(*parts).parquet(f"{root}/{name}")
+        entries.append((name, seen.get.get("rows", 0), df.schema.json(), parts, text))
+    staged = f"{root}/_manifest-{uuid.uuid4().hex}"
+    spark.createDataFrame(entries, MANIFEST).coalesce(1).write.json(staged)
+    # The commit: one rename.
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (staged, f"{root}/manifest"))
+    if not old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(old, new):
+        raise ValueError(f"{path} holds a committed run")
+    return spark.read.schema(MANIFEST).json(f"{root}/manifest")
+
+
+def load_bundle(spark: SparkSession, path: str, names: tuple[str, ...] | None = None,
+                where: Column | str | None = None) -> dict[str, DataFrame]:
+    """The tables of a committed run with the types they were written with.
+
+    Every table asked for must hold the rows that the manifest names (counted from the Parquet footers); ``where`` on
+    partition columns prunes folders.
+    """
+    root = path.rstrip("/")
+    if not _exists(spark, f"{root}/manifest"):
+        raise ValueError(f"{path} holds no committed run")
+    manifest = {r.table_name: r for r in spark.read.schema(MANIFEST).json(f"{root}/manifest").collect()}
+    out = {}
+    for name in names or manifest:
+        if name not in manifest:
+            raise ValueError(f"the run has no table {name}")
+        schema = T.StructType.fromJson(json.loads(manifest[name].columns))
+        # A table without rows may have no files of its own.
+        df = spark.read.schema(schema).parquet(f"{root}/{name}") if _exists(spark, f"{root}/{name}") else (
+            spark.createDataFrame([], schema))
+        if df.count() != manifest[name].rows:
+            raise ValueError(f"table {name} does not hold the {manifest[name].rows} rows of the manifest")
+        df = df.select(*schema.names)
+        out[name] = df.where(where) if where is not None else df
+    return out
+
+
 def export_gate(tables: dict[str, DataFrame], path: str, keys: list[str] = K) -> None:
     """CSV exports of a gate (pixels, metrics with status, kept, cutoffs, ids)."""
     for name, df in tables.items():

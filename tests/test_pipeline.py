@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 
 from roispark import catalog
 from roispark.functions import bits
-from roispark.operators import inventory
-from roispark.plans.pipeline import analyze
-from roispark.schema import AnalysisConfig, OBJ, Rule
+from roispark.operators import fields, inventory
+from roispark.plans.pipeline import analyze, run_tables
+from roispark.schema import AnalysisConfig, OBJ, PAIR, Rule
 from roispark.sources import fixtures, io
 from roispark.streaming.arrivals import process_arrivals
 
@@ -34,13 +34,29 @@ def test_query_equals_sql(spark, name):
     assert sorted(tuple(r) for r in df.collect()) == want
 
 
-def test_analyze_end_to_end(spark):
+def test_analyze_end_to_end(spark, tmp_path):
     config = AnalysisConfig(nuclear_channel=0, marker_nuclear_threshold=0.25, marker_marker_threshold=0.25,
                             marker_pairs=[(1, 2)], intensity_rules=[Rule("mean_intensity", 10)],
                             shape_rules=[Rule("area_px", 10)])
     px = fixtures.roi_pixels(spark, SF).withColumnRenamed("object_id", "roi")
     out = analyze(px, fixtures.image_rows(spark, SF), fixtures.organoids(spark, SF), fixtures.pixel_sizes(spark, SF), config)
     assert out["checks"].count() == 0
+    run = run_tables(out, [(1, 2)])
+    assert set(run) == set(io.RUN_TABLES)
+    path = str(tmp_path / "run")
+    io.save_bundle(run, path, ["channel_a", "channel_b"], {"pairs": [[1, 2]]})
+    back = io.load_bundle(spark, path)
+    for name, df in run.items():
+        assert back[name].schema.simpleString() == df.schema.simpleString() and rows(back[name]) == rows(df), name
+    lone, pairs = out["marker_unmatched_metrics"], out["marker_pair_geometry"].join(out["marker_pair_intensity"], PAIR)
+    assert pairs.count() == out["marker_matches"].count()
+    assert lone.count() == out["marker_unmatched_classes"].count()
+    for r in lone.collect():
+        own, other = ("a", "b") if r.side == "a" else ("b", "a")
+        assert r[f"{own}_pixel_count"] > 0 and r[f"{own}_signal_in_{own}_roi_mean_intensity"] is not None
+        alone = r[f"object_{other}"] is None
+        assert alone == (r[f"{other}_pixel_count"] is None) == (r.intersection_pixels == 0)
+        assert alone == (r.a_signal_in_intersection_mean_intensity is None)
     n = out["metrics"].count()
     gated = out["areas"].where("channel <> 0").count()
     assert 0 < gated < out["metrics"].where("channel <> 0").count() and n == 1500
@@ -82,6 +98,44 @@ def test_run_tables_round_trip_and_dynamic_overwrite(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(acquisition_id" in pruned._jdf.queryExecution().toString()
 
 
+def test_a_run_bundle_is_whole_or_absent(spark, tmp_path):
+    path = str(tmp_path / "run")
+    df = spark.createDataFrame([("007", 1, 5), ("b", 2, 6)], "acquisition_id string, channel_a long, v long")
+    none = df.where("v > 9")
+    broken = df.withColumn("v", F.when(F.col("v") == 6, F.raise_error(F.lit("lost"))).otherwise(F.col("v")).cast("long"))
+    with pytest.raises(Exception, match="lost"):
+        io.save_bundle({"overlap": df, "matching": broken}, path, ["acquisition_id"])
+    with pytest.raises(ValueError, match="no committed run"):
+        io.load_bundle(spark, path)
+    manifest = io.save_bundle({"overlap": df, "matching": none}, path, ["acquisition_id"], {"pair": "A/B"})
+    assert rows(manifest, "table_name", "rows", "metadata") == [("matching", 0, '{"pair": "A/B"}'), ("overlap", 2, '{"pair": "A/B"}')]
+    back = io.load_bundle(spark, path)
+    assert rows(back["overlap"]) == rows(df) and back["matching"].count() == 0 and back["overlap"].schema == df.schema
+    assert rows(io.load_bundle(spark, path, ("overlap",), "acquisition_id = '007'")["overlap"], "v") == [(5,)]
+    with pytest.raises(ValueError, match="holds a committed run"):
+        io.save_bundle({"overlap": df}, path, [])
+    with pytest.raises(ValueError, match="not tables of a run"):
+        io.save_bundle({"other": df}, path, [])
+    spark.read.parquet(path + "/overlap").limit(1).write.mode("append").parquet(path + "/overlap/acquisition_id=b")
+    with pytest.raises(ValueError, match="does not hold the 2 rows"):
+        io.load_bundle(spark, path)
+
+
+def test_manifests_that_disagree(spark):
+    plan = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c"), (3, None)], "index long, source_field string")
+    other = spark.createDataFrame([(0, "a"), (1, "x"), (3, None), (4, "d")], "index long, source_field string")
+    tile = "index long, position long, source_index long, source string"
+    t1 = spark.createDataFrame([(0, 0, 5, "p"), (0, 1, 6, "q"), (2, 0, 1, "z"), (3, 0, 1, None)], tile)
+    t2 = spark.createDataFrame([(0, 0, 5, "p"), (0, 1, 7, "q"), (0, 2, 8, "r"), (3, 0, 1, None)], tile)
+    assert rows(fields.manifest_violations(plan, other, t1, t2), "index", "check", "differing_tiles") == [
+        (0, "tiles differ", 2), (1, "source field differs", 0), (2, "not in remaining manifest", 0),
+        (4, "not in original manifest", 0)]
+    assert fields.manifest_violations(plan, plan, t1, t1).count() == 0
+    audit = spark.createDataFrame([(0, True, "complete analysis"), (1, False, "late")], "index long, included boolean, reason string")
+    wanted = spark.createDataFrame([(0,), (1,), (1,), (9,)], "index long")
+    assert rows(fields.selection_gaps(audit, wanted), "index", "reason") == [(1, "late"), (9, None)]
+
+
 def test_gate_export_and_csv_input(spark, tmp_path):
     df = spark.createDataFrame([("a", "c", 1, 5, 6), ("a", "c", 1, 5, 6)], "acquisition_id string, channel string, roi long, x long, y long")
     io.export_gate({"pixels": df}, str(tmp_path / "out"))
