@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from roispark.operators import labels
+from helpers import rows
+from roispark.operators import labels, metrics
+from roispark.schema import OBJ
 from roispark.sources import fixtures
 
 DATA = "/root/testdata/sf0.001"
@@ -29,3 +31,8 @@ def task_count(df):
 def test_relabel_keeps_the_pixels_out_of_the_driver(spark):
     out = labels.relabel(fixtures.label_pixels(spark, DATA))
     assert not [line for line in broadcast_parts(out) if "Generate" in line]
+
+
+def test_intensity_keeps_the_images_out_of_the_driver(spark):
+    out = metrics.intensity_stats(fixtures.roi_words(spark, DATA), fixtures.image_rows(spark, DATA), OBJ)
+    assert not [line for line in broadcast_parts(out) if "Generate" in line]
