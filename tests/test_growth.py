@@ -1,5 +1,6 @@
 """Plans and intermediate tables that must not grow into one task or the driver."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows
@@ -36,3 +37,8 @@ def test_relabel_keeps_the_pixels_out_of_the_driver(spark):
 def test_intensity_keeps_the_images_out_of_the_driver(spark):
     out = metrics.intensity_stats(fixtures.roi_words(spark, DATA), fixtures.image_rows(spark, DATA), OBJ)
     assert not [line for line in broadcast_parts(out) if "Generate" in line]
+
+
+@pytest.mark.parametrize("build", [fixtures.image_rows, fixtures.stack_rows, fixtures.mask_pixels])
+def test_rows_of_images_are_made_in_many_tasks(spark, build):
+    assert task_count(build(spark, DATA)) > 1
