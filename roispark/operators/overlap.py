@@ -6,6 +6,8 @@ bit-row words on (acquisition, channel pair, y, segment).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -176,30 +178,38 @@ def region_intensity(pairs: DataFrame, words: DataFrame, images: DataFrame,
                      channel_pairs: list[tuple], shared: DataFrame | None = None) -> DataFrame:
     """Both signals in the A object, the B object and their intersection.
 
-    The words of all regions are one table with a region tag, so the images are joined once.  Object regions are
-    measured once per object and signal, not once per pair; only the intersections are measured per pair.  One wide
-    row per pair.
+    The words of all regions are one table, so the images are joined once.  An object is measured once per signal that
+    some pair of it asks for, whatever the number of its pairs and channel pairs and its side in them; only the
+    intersections are measured per pair.  One wide row per pair.
     """
     pairs = pairs.select(*PAIR)
     shared = shared_words(words, channel_pairs) if shared is None else shared
-    regions = shared.join(pairs, PAIR, "left_semi").select(*PAIR, F.lit("intersection").alias("region"), "y", "seg", "bits")
-    on = {"intersection": PAIR}
-    for own, other in (("object_a", "object_b"), ("object_b", "object_a")):
-        ids = on[f"{own[-1]}_roi"] = [*KP, own]
-        part = side(words, channel_pairs, own[-1]).join(pairs.select(*ids).distinct(), ids, "left_semi")
-        regions = regions.unionByName(part.select(
-            *ids, F.lit(None).cast(pairs.schema[other].dataType).alias(other), F.lit(f"{own[-1]}_roi").alias("region"), "y", "seg", "bits"))
-    both = F.explode(F.array(F.struct(F.lit("a").alias("signal"), F.col("channel_a").alias("_s")),
-                             F.struct(F.lit("b").alias("signal"), F.col("channel_b").alias("_s"))))
-    tagged = regions.select("*", both.alias("_t")).select(*PAIR, "region", "y", "seg", "bits", "_t.*")
-    measured = materialize(intensity_stats(tagged, images, [*PAIR, "region", "signal"], "_s"))
-    out = pairs
-    for region in ("a_roi", "b_roi", "intersection"):
-        cells = [F.max(F.when(F.col("signal") == signal, F.col(stat))).alias(f"{signal}_signal_in_{region}_{stat}")
-                 for signal in ("a", "b") for stat in [*STATS, "integrated_intensity"]]
-        out = out.join(measured.where(F.col("region") == region).groupBy(*on[region]).agg(
-            F.count(F.lit(1)).alias(f"_{region}"), *cells), on[region], "left")
-    return out.where("coalesce(_a_roi, _b_roi, _intersection) IS NOT NULL").drop("_a_roi", "_b_roi", "_intersection")
+    signals = F.explode(F.array("channel_a", "channel_b")).alias("_s")
+    configured = reduce(lambda x, y: x | y, [(F.col("channel_a") == F.lit(a)) & (F.col("channel_b") == F.lit(b))
+                                             for a, b in validate_pairs(channel_pairs)])
+    wanted = reduce(DataFrame.unionByName, [pairs.where(configured).select(
+        "acquisition_id", F.col(f"channel_{s}").alias("channel"), F.col(f"object_{s}").alias("object_id"), signals)
+        for s in ("a", "b")]).distinct()
+    # The region of an object is a pair without B.
+    kinds = pairs.schema
+    rois = words.join(wanted, [*K, "object_id"]).select(
+        "acquisition_id", F.col("channel").alias("channel_a"), F.lit(None).cast(kinds["channel_b"].dataType).alias("channel_b"),
+        F.col("object_id").alias("object_a"), F.lit(None).cast(kinds["object_b"].dataType).alias("object_b"),
+        "_s", "y", "seg", "bits")
+    crossings = shared.join(pairs, PAIR, "left_semi").select(*PAIR, signals, "y", "seg", "bits")
+    measured = materialize(intensity_stats(rois.unionByName(crossings), images, [*PAIR, "_s"], "_s"))
+    values = F.struct(*STATS, "integrated_intensity")
+    by_signal = F.map_from_entries(F.collect_list(F.struct("_s", values)))  # at most one entry per channel
+    of_object = measured.where("object_b IS NULL").groupBy("acquisition_id", "channel_a", "object_a").agg(by_signal.alias("_m"))
+    out = pairs.join(measured.where("object_b IS NOT NULL").groupBy(*PAIR).agg(by_signal.alias("_intersection")), PAIR, "left")
+    for s in ("a", "b"):
+        ids = ["acquisition_id", f"channel_{s}", f"object_{s}"]
+        out = out.join(of_object.toDF(*ids, f"_{s}_roi"), ids, "left")
+    regions = ("a_roi", "b_roi", "intersection")
+    cells = {(region, s): F.element_at(f"_{region}", F.col(f"channel_{s}")) for region in regions for s in ("a", "b")}
+    return out.where(F.coalesce(*cells.values()).isNotNull()).select(*PAIR, *[
+        cells[region, s][stat].alias(f"{s}_signal_in_{region}_{stat}")
+        for region in regions for s in ("a", "b") for stat in [*STATS, "integrated_intensity"]])
 
 
 def matched_intensity(matches: DataFrame, overlap: DataFrame, regions: DataFrame,

@@ -4,8 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows
-from roispark.operators import labels, metrics
-from roispark.schema import OBJ
+from roispark.functions import bits
+from roispark.operators import labels, metrics, overlap
+from roispark.schema import OBJ, PAIR
+from roispark.session import collecting
 from roispark.sources import fixtures
 
 DATA = "/root/testdata/sf0.001"
@@ -42,3 +44,19 @@ def test_intensity_keeps_the_images_out_of_the_driver(spark):
 @pytest.mark.parametrize("build", [fixtures.image_rows, fixtures.stack_rows, fixtures.mask_pixels])
 def test_rows_of_images_are_made_in_many_tasks(spark, build):
     assert task_count(build(spark, DATA)) > 1
+
+
+def test_an_object_is_measured_once_per_signal(spark):
+    px = spark.createDataFrame([(1, c, o, x, 0) for c, o in ((0, 10), (1, 20), (2, 30)) for x in range(4)],
+                               "acquisition_id long, channel long, object_id long, x long, y long")
+    images = spark.createDataFrame([(1, c, 0, 0, [c * 100 + i for i in range(32)]) for c in range(3)],
+                                   "acquisition_id long, channel long, y long, seg long, pixel_values array<int>")
+    words, wanted = bits.pack(px, OBJ), [(1, 0), (2, 0), (1, 2)]
+    pairs = overlap.overlap_counts(words, wanted).select(*PAIR)
+    written = []
+    with collecting(written):
+        got = overlap.region_intensity(pairs, words, images, wanted)
+        means = rows(got, "channel_a", "channel_b", "a_signal_in_b_roi_mean_intensity", "b_signal_in_intersection_max_intensity")
+    assert means == [(1, 0, 101.5, 3.0), (1, 2, 101.5, 203.0), (2, 0, 201.5, 3.0)]
+    # 3 objects under 3 signals each, and 3 intersections under 2.
+    assert written[-1].count() == 9 + 6
