@@ -85,15 +85,9 @@ def ranked_levels(spark, d):
     return labels.levels(fixtures.label_pixels(spark, d))
 
 
-def label_rois(spark, d):
-    px = fixtures.label_pixels(spark, d)
-    return px.join(ranked_levels(spark, d).select(*K, "level", "roi"), [*K, "level"]).select(
-        *K, "roi", "x", "y", "level")
-
-
 @base.shared_table("label_summary")
 def summary(spark, d):
-    return labels.label_summary(label_rois(spark, d))
+    return labels.image_summary(fixtures.label_pixels(spark, d))
 
 
 @base.shared_table("label_words")
@@ -125,7 +119,7 @@ def _(spark, d):
 
 @query("l3_label_summary")
 def _(spark, d):
-    return labels.label_summary(label_rois(spark, d))
+    return labels.image_summary(fixtures.label_pixels(spark, d))
 
 
 @query("l4_label_to_pixels")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from roispark.functions import bits
 from roispark.functions.ranking import ranked
 from roispark.schema import K
+from roispark.session import materialize
 
 # Verification tolerance, slab height of the padding search.
 CENTER_TOLERANCE = 1e-6
@@ -51,6 +52,14 @@ def label_summary(roi_pixels: DataFrame, keys: list[str] = K) -> DataFrame:
         F.avg("y").alias("center_y"), F.min("level").alias("level"))
 
 
+def image_summary(label_pixels: DataFrame, keys: list[str] = K) -> DataFrame:
+    """L1 and L3 of label images in one pass over the pixels: they are counted per level, and the levels that were
+    found, one row each, get their ROI ids afterwards."""
+    per_level = materialize(label_summary(label_pixels.where("level <> 0").withColumn("roi", F.col("level")), keys).drop("roi"))
+    return per_level.join(levels(per_level, keys).select(*keys, "level", "roi"), [*keys, "level"]).select(
+        *keys, "roi", *[c for c in per_level.columns if c not in (*keys, "level")], "level")
+
+
 def verify_labels(measured: DataFrame, summary: DataFrame, keys: list[str] = K) -> DataFrame:
     """Measured against reconstructed ROIs.
 

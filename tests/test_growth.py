@@ -46,6 +46,17 @@ def test_rows_of_images_are_made_in_many_tasks(spark, build):
     assert task_count(build(spark, DATA)) > 1
 
 
+def test_summary_equals_that_of_relabelled_pixels(spark):
+    pixels = fixtures.label_pixels(spark, DATA).unionByName(
+        fixtures.label_pixels(spark, DATA).limit(5).withColumn("level", F.lit(0).cast("long")))
+    plain = labels.label_summary(labels.relabel(pixels))
+    written = []
+    with collecting(written):
+        got = labels.image_summary(pixels)
+        assert rows(got, *plain.columns) == rows(plain)
+    assert all("x" not in t.columns for t in written)
+
+
 def test_an_object_is_measured_once_per_signal(spark):
     px = spark.createDataFrame([(1, c, o, x, 0) for c, o in ((0, 10), (1, 20), (2, 30)) for x in range(4)],
                                "acquisition_id long, channel long, object_id long, x long, y long")
