@@ -15,6 +15,15 @@ DATA = "/root/testdata/sf0.001"
 
 def broadcast_parts(df):
     """The lines of the plan that lie under a broadcast."""
+    return parts_under(df, "BroadcastExchange")
+
+
+def exchanged_parts(df):
+    """The lines of the plan that lie under a shuffle."""
+    return parts_under(df, "Exchange hashpartitioning")
+
+
+def parts_under(df, node):
     found, above = [], None
     for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
         depth = len(line) - len(line.lstrip(" :+-*("))
@@ -22,7 +31,7 @@ def broadcast_parts(df):
             above = None
         if above is not None:
             found.append(line)
-        elif "BroadcastExchange" in line:
+        elif node in line:
             above = depth
     return found
 
@@ -41,6 +50,13 @@ def test_intensity_keeps_the_images_out_of_the_driver(spark):
     assert not [line for line in broadcast_parts(out) if "Generate" in line]
 
 
+def test_join_of_words_and_images_moves_places_not_pixels(spark):
+    img = fixtures.image_rows(spark, DATA)
+    met = fixtures.roi_words(spark, DATA).join(img.hint("merge"), [*img.columns[:4]])
+    assert "sequence" in str(exchanged_parts(met))
+    assert not [line for line in exchanged_parts(met) if "pixel_values" in line]
+
+
 @pytest.mark.parametrize("build", [fixtures.image_rows, fixtures.stack_rows, fixtures.mask_pixels])
 def test_rows_of_images_are_made_in_many_tasks(spark, build):
     assert task_count(build(spark, DATA)) > 1
