@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from roispark.functions import bits
 from roispark.schema import K, KP, OBJ, PAIR
+from roispark.session import materialize
 
 # Statuses and exclusion reasons.
 RESOLVED = "resolved"
@@ -83,10 +84,11 @@ def resolve_identities(current_words: DataFrame, current_ids: DataFrame, source_
         "input_cell_id", F.col("object_id") if current_id_column == "cell_id" else none))
 
     markers = mapping.select(*K, F.col("marker_id").alias("source_id"))
+    # Read twice, for the fingerprints and for the proof: written, so that the words meet the markers once.
+    candidates = materialize(
+        source_words.withColumnRenamed("object_id", "source_id").join(markers, [*K, "source_id"], "left_semi"))
     sets = equal_sets(
-        current_words.withColumnRenamed("object_id", "current_id"),
-        source_words.withColumnRenamed("object_id", "source_id").join(markers, [*K, "source_id"], "left_semi"),
-        K,
+        current_words.withColumnRenamed("object_id", "current_id"), candidates, K,
     ).select(*K, F.col("current_id").alias("object_id"), F.col("copies").alias("_sets"),
              F.col("source_id").alias("_source"))
     by_roi = mapping.select(*K, F.col("marker_id").alias("_roi_key"), F.col("marker_id").alias("_from_roi"))

@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from roispark.functions import bits
 from roispark.functions.ranking import ranked
 from roispark.operators.overlap import objects_of_side
 from roispark.schema import K, KP, PAIR
@@ -158,6 +159,11 @@ def matched_words(words: DataFrame, cells: DataFrame, own: str) -> DataFrame:
         *KP, "cell_id", "object_id", "y", "seg", "bits")
 
 
+def matched_word_pixels(words: DataFrame, cells: DataFrame, own: str) -> DataFrame:
+    """K5 from words: what meets the cells are words, pixels are made afterwards."""
+    return bits.unpack(matched_words(words, cells, own), ["cell_id", *KP, "object_id"])
+
+
 def matched_pixels(pixels: DataFrame, cells: DataFrame, own: str) -> DataFrame:
     """K5: pixel rows of matched objects, cell id first, original columns kept."""
     rest = [c for c in pixels.columns if c not in (*K, "object_id")]

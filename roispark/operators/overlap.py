@@ -41,17 +41,22 @@ def shared_words(words: DataFrame, pairs: list[tuple]) -> DataFrame:
 
     At most 32 disjoint objects per side can meet in one segment and one row, so
     the candidate fan-out of the join is bounded by the overlap depth, and a
-    candidate without a common pixel is dropped inside the join condition.
+    candidate without a common pixel is dropped inside the join condition.  Both
+    sides are the same words by block, so one shuffle serves them and all pairs.
     """
     validate_pairs(pairs)
-    a = side(words, pairs, "a").withColumnRenamed("bits", "bits_a")
-    b = side(words, pairs, "b").withColumnRenamed("bits", "bits_b")
-    at = [*KP, "y", "seg"]
-    condition = [a[c] == b[c] for c in at] + [a["bits_a"].bitwiseAND(b["bits_b"]) != 0]
-    joined = a.join(b, condition)
-    return joined.select(
-        *[a[c] for c in KP], "object_a", "object_b", a["y"], a["seg"],
-        F.col("bits_a").bitwiseAND(F.col("bits_b")).alias("bits"))
+    at = ["acquisition_id", "y", "seg"]
+    placed = words.select(*at, "channel", "object_id", "bits")
+    a, b = placed.alias("a"), placed.alias("b")
+    kind = words.schema["channel"].dataType
+    # A lookup, since a plain comparison would be moved below the shuffle, differently on both sides.
+    wanted = F.array(*[F.struct(F.lit(x).cast(kind).alias("channel_a"), F.lit(y).cast(kind).alias("channel_b")) for x, y in pairs])
+    asked = F.array_contains(wanted, F.struct(F.col("a.channel").alias("channel_a"), F.col("b.channel").alias("channel_b")))
+    both = F.col("a.bits").bitwiseAND(F.col("b.bits"))
+    condition = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in at] + [both != 0, asked]
+    return a.join(b, condition).select(
+        "a.acquisition_id", F.col("a.channel").alias("channel_a"), F.col("b.channel").alias("channel_b"),
+        F.col("a.object_id").alias("object_a"), F.col("b.object_id").alias("object_b"), "a.y", "a.seg", both.alias("bits"))
 
 
 def shared_pixels(words: DataFrame, pairs: list[tuple]) -> DataFrame:

@@ -41,9 +41,14 @@ def objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def roi_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per object pixel; objects of one channel may overlap."""
+    """One row per object pixel; objects of one channel may overlap.
+
+    The objects are dealt before their pixels are made: what is grouped by object moves no pixels and no words.
+    """
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return (
         objects(spark, sf_dir)
+        .repartition(count, *K, "object_id")
         .selectExpr("*", "explode(sequence(0L, w - 1)) AS i")
         .selectExpr("*", "explode(sequence(0L, h - 1)) AS j")
         .where("(i + j + object_id) % 11 <> 0")

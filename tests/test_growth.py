@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from helpers import rows
 from roispark.functions import bits
-from roispark.operators import labels, metrics, overlap
+from roispark.operators import labels, matching, metrics, overlap
 from roispark.schema import OBJ, PAIR
 from roispark.session import collecting
 from roispark.sources import fixtures
@@ -57,6 +57,34 @@ def test_join_of_words_and_images_moves_places_not_pixels(spark):
     assert not [line for line in exchanged_parts(met) if "pixel_values" in line]
 
 
+def test_words_are_packed_where_their_object_is(spark):
+    assert not [line for line in exchanged_parts(fixtures.roi_words(spark, DATA)) if "Generate" in line]
+
+
+def test_pairs_of_all_channels_come_from_one_shuffle_of_the_words(spark):
+    words = bits.pack(spark.createDataFrame(
+        [(1, c, c * 10 + o, x + o, 0) for c in range(3) for o in range(2) for x in range(4)],
+        "acquisition_id long, channel long, object_id long, x long, y long"), OBJ)
+    found = overlap.overlap_counts(words, [(1, 0), (2, 0)], overlap.object_areas(words))
+    assert rows(found, *PAIR, "shared_area") == sorted(
+        (1, a, 0, a * 10 + i, j, 4 - abs(i - j)) for a in (1, 2) for i in range(2) for j in range(2))
+    shared = overlap.shared_words(words, [(1, 0), (2, 0)])
+    assert "Generate" not in shared._jdf.queryExecution().executedPlan().toString()
+
+
+def test_matched_pixels_are_made_after_the_join(spark):
+    words = bits.pack(spark.createDataFrame(
+        [(1, 1, 7, x, y) for x in (30, 31, 32, 40) for y in (0, 5)] + [(1, 1, 8, 0, 0)],
+        "acquisition_id long, channel long, object_id long, x long, y long"), OBJ)
+    cells = spark.createDataFrame([(1, 1, 0, 7, 3, 1)], "acquisition_id long, channel_a long, channel_b long, "
+                                  "object_a long, object_b long, cell_id long")
+    out = matching.matched_word_pixels(words, cells, "a")
+    plan = out._jdf.queryExecution().executedPlan().toString().splitlines()
+    join = next(i for i, line in enumerate(plan) if "Join" in line)
+    assert [line for line in plan[:join] if "Generate" in line] and not [line for line in plan[join:] if "Generate" in line]
+    assert rows(out, "cell_id", "object_id", "x", "y") == sorted((1, 7, x, y) for x in (30, 31, 32, 40) for y in (0, 5))
+
+
 @pytest.mark.parametrize("build", [fixtures.image_rows, fixtures.stack_rows, fixtures.mask_pixels])
 def test_rows_of_images_are_made_in_many_tasks(spark, build):
     assert task_count(build(spark, DATA)) > 1
