@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,8 +50,8 @@ def finite(c: Column | str) -> Column:
 def read_roi_pixels(df: DataFrame, keys: list[str] = K) -> DataFrame:
     """Choose the id column, cast strictly, drop duplicate pixels.
 
-    Extra columns are kept as they are (the first of equal pixels wins).  A value
-    that is not a number fails the job under ANSI mode.
+    Extra columns are kept as they are (the first of equal pixels wins; of differing ids the lowest).  A value
+    that is not a number fails the job under ANSI mode.  A table of ids alone moves as words.
     """
     ident = id_column(df.columns)
     names = {c.lower(): c for c in df.columns}
@@ -60,7 +60,29 @@ def read_roi_pixels(df: DataFrame, keys: list[str] = K) -> DataFrame:
         *df.columns, F.col(ident).cast("long").alias("object_id")
     ).withColumn(names["x"], F.col(names["x"]).cast("long")).withColumn(
         names["y"], F.col(names["y"]).cast("long"))
-    return out.dropDuplicates([*keys, "object_id", names["x"], names["y"]])
+    x, y = names["x"], names["y"]
+    ids = [c for c in df.columns if c not in (*keys, x, y)]
+    if {c.lower() for c in ids} - {"roi", "cell_id", "cellid"}:
+        return out.dropDuplicates([*keys, "object_id", x, y])
+    return _distinct_pixels(out, [*keys, "object_id", y], ids, x).select(*out.columns)
+
+
+def _distinct_pixels(pixels: DataFrame, place: list[str], ids: list[str], x: str) -> DataFrame:
+    """One row per ``place`` and ``x``, with the lowest ``ids``.
+
+    Pixels with the same ids combine to words before they move; a word then loses what words with lower ids hold.  A
+    missing ``x`` is the first place of a segment without number.
+    """
+    bit = F.coalesce(F.col(x).bitwiseAND(F.lit(bits.SEGMENT - 1)), F.lit(0)).cast("int")
+    words = pixels.groupBy(*place, F.shiftright(x, 5).alias("_seg"), *ids).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("_bits"))
+    lower = Window.partitionBy(*place, "_seg").orderBy(*ids).rowsBetween(Window.unboundedPreceding, -1)
+    held = F.coalesce(F.bit_or("_bits").over(lower), F.lit(0).cast("long"))
+    own = words.withColumn("_held", held).withColumn("_own", F.col("_bits").bitwiseAND(F.bitwise_not("_held"))).where("_own <> 0")
+    low, high = bits.lowest(F.col("_own")).cast("int"), bits.highest(F.col("_own")).cast("int")
+    spread = own.select(*place, *ids, "_seg", "_own", F.explode_outer(F.sequence(low, high)).alias("_i"))
+    return spread.where("getbit(_own, _i) = 1").select(
+        *place, *ids, (F.col("_seg") * bits.SEGMENT + F.col("_i")).alias(x))
 
 
 def read_roi_words(df: DataFrame, keys: list[str] = K) -> DataFrame:

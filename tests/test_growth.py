@@ -8,7 +8,7 @@ from roispark.functions import bits
 from roispark.operators import labels, matching, metrics, overlap
 from roispark.schema import OBJ, PAIR
 from roispark.session import collecting
-from roispark.sources import fixtures
+from roispark.sources import fixtures, io
 
 DATA = "/root/testdata/sf0.001"
 
@@ -85,6 +85,20 @@ def test_matched_pixels_are_made_after_the_join(spark):
     assert rows(out, "cell_id", "object_id", "x", "y") == sorted((1, 7, x, y) for x in (30, 31, 32, 40) for y in (0, 5))
 
 
+def test_read_pixels_move_as_words_and_keep_every_pixel(spark):
+    given = [(1, 0, 5, 9, x, y) for x in (-1, 31, 32, 70) for y in (0, 1)] + [(1, 0, 6, None, 3, 3), (1, 0, 6, None, None, 3)]
+    df = spark.createDataFrame(given + given[:3] + given[-2:] + [(1, 0, 5, 8, 31, 0)],
+                               "acquisition_id long, channel long, roi long, cell_id long, x long, y long")
+    out = io.read_roi_pixels(df)
+    assert out.columns == [*df.columns, "object_id"]
+    assert sorted(r[4:6] for r in rows(out) if r[2] == 5) == sorted(r[4:6] for r in given if r[2] == 5)
+    assert rows(out.where("roi = 6")) == [(1, 0, 6, None, None, 3, 6), (1, 0, 6, None, 3, 3, 6)]
+    # Of equal pixels with other ids the lowest ids stay, whatever task sees them.
+    assert rows(out.where("x = 31 AND y = 0"), "cell_id") == [(8,)]
+    many = df.unionByName(df.selectExpr("acquisition_id", "channel", "roi", "cell_id", "x + 1000 AS x", "y"))
+    assert [line for line in exchanged_parts(io.read_roi_pixels(many)) if "bit_or" in line]
+
+
 @pytest.mark.parametrize("build", [fixtures.image_rows, fixtures.stack_rows, fixtures.mask_pixels])
 def test_rows_of_images_are_made_in_many_tasks(spark, build):
     assert task_count(build(spark, DATA)) > 1
