@@ -206,14 +206,17 @@ def assign_pairs(pairs: DataFrame, gate_px: float, tile_gates: int = TILE_GATES)
                 yield serve(held)
         return run
 
-    def round_(state: DataFrame, steps: list[float], number: int) -> tuple[DataFrame, DataFrame]:
-        """New prices and owners of the objects of ``state``, and the acquisitions where somebody waits."""
+    def round_(state: DataFrame | None, steps: list[float], number: int) -> tuple[DataFrame, DataFrame]:
+        """New prices and owners of the objects of ``state`` (none yet: all are free and cost nothing), and the
+        acquisitions where somebody waits."""
         shift = [(0.0, 0.0), (0.5, 0.5), (0.5, 0.0), (0.0, 0.5)][number % 4]
 
         def tile(column, k):
             return F.floor((F.col(column) - F.col(f"{column[-1]}0")) / side + shift[k])
 
-        tiles = edges.join(state, [key, "object"]).select(
+        met = edges.join(state, [key, "object"]) if state is not None else edges.withColumn(
+            "price", F.lit(0.0)).withColumn("owner", F.lit(NOBODY))
+        tiles = met.select(
             key, "person", "object", "w", "price", "owner", tile("x", 0).alias("tx"), tile("y", 1).alias("ty"),
             ((tile("x", 0) == tile("ox", 0)) & (tile("y", 1) == tile("oy", 1))).alias("near"))
         dealt = tiles.repartition(key, "tx", "ty").sortWithinPartitions(key, "tx", "ty")
@@ -221,8 +224,7 @@ def assign_pairs(pairs: DataFrame, gate_px: float, tile_gates: int = TILE_GATES)
         open_ = materialize(sold.where("waiting > 0").select(key).distinct())
         return sold.where(F.col("object") != NOBODY).select(key, "object", "price", "owner"), open_
 
-    fresh = edges.select(key, "object").distinct().withColumn("price", F.lit(0.0)).withColumn("owner", F.lit(NOBODY))
-    state, waiting = round_(fresh, scaling, 0)
+    state, waiting = round_(None, scaling, 0)
     done = state.join(waiting, key, "left_anti")
     if not waiting.isEmpty():
         # Acquisitions of several tiles: each step is bid to its end everywhere before the next one begins.

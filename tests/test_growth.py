@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from helpers import rows
 from roispark.functions import bits
-from roispark.operators import labels, matching, metrics, overlap
+from roispark.operators import labels, matching, metrics, overlap, registration
 from roispark.schema import OBJ, PAIR
 from roispark.session import collecting
 from roispark.sources import fixtures, io
@@ -129,3 +129,18 @@ def test_an_object_is_measured_once_per_signal(spark):
     assert means == [(1, 0, 101.5, 3.0), (1, 2, 101.5, 203.0), (2, 0, 201.5, 3.0)]
     # 3 objects under 3 signals each, and 3 intersections under 2.
     assert written[-1].count() == 9 + 6
+
+
+def test_first_bids_move_the_edges_once(spark, monkeypatch):
+    plans, write = [], registration.materialize
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df)
+
+    monkeypatch.setattr(registration, "materialize", seen)
+    pairs = spark.createDataFrame([(1, 1, 1, 0.0, 0.0, 0.0, 1.0, 1.0), (1, 1, 2, 0.0, 0.0, 2.0, 0.0, 4.0),
+                                   (1, 2, 1, 0.0, 3.0, 0.0, 1.0, 4.0)],
+                                  "acquisition_id long, moving_id long, fixed_id long, mx double, my double, fx double, fy double, d2 double")
+    assert rows(registration.assign_pairs(pairs, 10.0), "moving_id", "fixed_id") == [(1, 2), (2, 1)]
+    assert "Join" not in next(p for p in plans if "MapInPandas" in p)
