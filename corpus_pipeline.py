@@ -19,6 +19,9 @@ from roispark.llm import decontam, neardup, packing, pii, toxicity
 from roispark.llm.common import table
 from roispark.session import collecting, discard, scratch_dir
 
+# Bytes that a Python worker gets at once (at least one row): the default is many times that, held on both sides.
+BATCH_BYTES = 2 << 20
+
 _held: list[DataFrame] = []
 
 
@@ -35,6 +38,7 @@ def stage(work: Callable[[SparkSession, DataFrame, str], DataFrame]):
     @functools.wraps(work)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         release(spark)
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
         with collecting(_held):
             return work(spark, docs, sf_dir)
     return run_stage

@@ -27,6 +27,16 @@ def crc_bucket(column: str | Column, buckets: int) -> Column:
     return F.crc32(F.col(column).cast("string") if isinstance(column, str) else column.cast("string")) % buckets
 
 
+def released(run):
+    """The work of a task, which gives Arrow's unused memory back at its end: a worker is used again by other stages."""
+
+    def work(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return work
+
+
 def append_columns(df: DataFrame, work, fields: list) -> DataFrame:
     """``df`` with the columns that ``work(batch) -> arrays`` computes for each Arrow batch."""
     names = [f.name for f in fields]
@@ -35,7 +45,7 @@ def append_columns(df: DataFrame, work, fields: list) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, *work(batch)], [*batch.schema.names, *names])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, *fields]))
+    return df.mapInArrow(released(run), T.StructType([*df.schema.fields, *fields]))
 
 
 def text_of(batch: pa.RecordBatch, name: str = "text") -> pa.Array:

@@ -18,7 +18,7 @@ WINDOW = 10
 # Item words that one pass over the documents searches for; this bounds what is broadcast.
 PASS_WORDS = 1 << 20
 # Bytes of text in one shard.
-SHARD = 1 << 22
+SHARD = 1 << 21
 # Codes of 21 bits, three to a key.
 _BITS, _PER_KEY = 21, 3
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roispark.llm.common import text_of
+from roispark.llm.common import released, text_of
 from roispark.llm.text import utf8
 from roispark.session import materialize
 
@@ -22,7 +22,7 @@ VOCABULARY = "word_bpe_49k.json"
 # Rows per shard whose pieces are numbered together; bounds every window function.
 SHARD_ROWS = 50_000
 # Chunks in each half of a worker's cache: when the younger half is full it replaces the older one.
-_CACHE = 250_000
+_CACHE = 50_000
 # Words that go to the tokenizer in one call.
 _JOIN = 64
 _STOPS = ".,;:!?%$&#*|)"
@@ -157,7 +157,7 @@ def pieces(docs: DataFrame, path: str | None = None, window: int = WINDOW, with_
     fields = T.StructType([*PIECE_FIELDS, T.StructField("ids", T.BinaryType())]) if with_ids else PIECE_FIELDS
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.monotonically_increasing_id().alias("row"))
-    return rows.mapInArrow(run, fields)
+    return rows.mapInArrow(released(run), fields)
 
 
 class Capacities:

@@ -34,21 +34,34 @@ SPACED = Alphabet([32, *range(9, 14)])
 # Everything in ASCII that is neither letter nor digit.
 ALNUM = Alphabet([*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
 
-_powers: list[np.ndarray] = []
+# Powers are looked up as (high part, low part) of their exponent, so tables stay small for slices of any size.
+_LOW = 1 << 12
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The powers of the hash base and of its inverse mod 2^64, at least ``n`` of them."""
-    if not _powers or len(_powers[0]) < n:
-        size = max(n, SLICE + (SLICE >> 1))
-        inverse = pow(_BASE, -1, 1 << 64)
-        tables = []
-        for base in (_BASE, inverse):
-            out = np.full(size, _U(base))
-            out[0] = _U(1)
-            tables.append(np.multiply.accumulate(out))
-        _powers[:] = tables
-    return _powers[0], _powers[1]
+def _power_table(base: int, n: int) -> np.ndarray:
+    out = np.full(n, _U(base))
+    out[:1] = _U(1)
+    return np.multiply.accumulate(out)
+
+
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_low, _low_inverse = _power_table(_BASE, _LOW), _power_table(_INVERSE, _LOW)
+
+
+def _times_powers(values: np.ndarray) -> None:
+    """Multiply every value, in place, by the hash base to the power of its place (mod 2^64)."""
+    high = _power_table(pow(_BASE, _LOW, 1 << 64), len(values) // _LOW + 1)
+    even = len(values) // _LOW * _LOW
+    rows = values[:even].reshape(-1, _LOW)
+    rows *= _low
+    rows *= high[:-1, None]
+    values[even:] *= _low[:len(values) - even] * high[-1]
+
+
+def _inverse_powers(at: np.ndarray) -> np.ndarray:
+    """The inverse of the hash base to the given powers, which ascend."""
+    high = _power_table(pow(_INVERSE, _LOW, 1 << 64), int(at[-1]) // _LOW + 1 if len(at) else 0)
+    return high[at // _LOW] * _low_inverse[at % _LOW]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -77,10 +90,11 @@ class Slice:
         end = ~gap
         end[:-1] &= gap[1:] | cut[1:-1]
         self.begin, self.end = np.flatnonzero(begin), np.flatnonzero(end) + 1
-        power, inverse = _power_tables(n)
         total = np.zeros(n + 1, np.uint64)
-        np.cumsum(alphabet.letter[data] * power[:n], out=total[1:])
-        self.word = mix((total[self.end] - total[self.begin]) * inverse[self.begin])
+        np.take(alphabet.letter, data, out=total[1:], mode="clip")
+        _times_powers(total[1:])
+        np.cumsum(total[1:], out=total[1:])
+        self.word = mix((total[self.end] - total[self.begin]) * _inverse_powers(self.begin))
         self.first = np.searchsorted(self.begin, offsets)
 
     def shingles(self, k: int) -> tuple[np.ndarray, np.ndarray]:

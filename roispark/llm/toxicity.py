@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roispark.llm.common import fresh, text_of
+from roispark.llm.common import fresh, released, text_of
 from roispark.llm.text import ALNUM, SLICE, Slice, mix, slices
 from roispark.session import materialize, own, scratch_dir, settled
 
@@ -181,26 +181,39 @@ def _blocks(rows: DataFrame) -> DataFrame:
     spark, kind = rows.sparkSession, rows.schema["doc_id"].dataType
 
     def run(batches):
-        task, number = TaskContext.get().partitionId(), 0
+        task, number, ids, held = TaskContext.get().partitionId(), 0, [], 0
+
+        def block():
+            out.close()
+            return pa.RecordBatch.from_arrays([
+                pa.array([task << 32 | number], pa.int64()), pa.array([ids], pa.list_(of)),
+                pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["block", "ids", "body"])
+
         for batch in batches:
             if not batch.num_rows:
                 continue
+            of = batch.schema.field("doc_id").type
             size = np.frombuffer(text_of(batch).buffers()[1], np.int64)[batch.column("text").offset:][:batch.num_rows + 1]
-            for begin, end in _cuts(size, 0, batch.num_rows, BLOCK):
-                ids, sink = batch.column("doc_id").slice(begin, end - begin), pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as out:
-                    for a, b in _cuts(size, begin, end, SLICE):
-                        out.write_batch(batch.slice(a, b - a))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([task << 32 | number], pa.int64()), pa.array([ids.to_pylist()], pa.list_(ids.type)),
-                    pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["block", "ids", "body"])
-                number += 1
-
-    made = rows.mapInArrow(run, T.StructType([
+            for a, b in _cuts(size, 0, batch.num_rows, min(SLICE, BLOCK)):
+                if ids and held + size[b] - size[a] > BLOCK:
+                    yield block()
+                    number, ids, held = number + 1, [], 0
+                if not ids:
+                    sink = pa.BufferOutputStream()
+                    out = pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3)))
+                out.write_batch(batch.slice(a, b - a))
+                ids += batch.column("doc_id").slice(a, b - a).to_pylist()
+                held += size[b] - size[a]
+        if ids:
+            yield block()
+
+    made = rows.mapInArrow(released(run), T.StructType([
         T.StructField("block", T.LongType()), T.StructField("ids", T.ArrayType(kind)), T.StructField("body", T.BinaryType())]))
     name = f"t_{uuid.uuid4().hex}"
     path = f"{scratch_dir(spark).rstrip('/')}/{name}"
-    made.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").option("path", path).format("parquet").saveAsTable(name)
+    # Bodies are compressed already.
+    made.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").option("path", path).option(
+        "compression", "none").format("parquet").saveAsTable(name)
     found = spark.table(name)
     found.schema
     spark.sql(f"DROP TABLE {name}")  # the name only; the files go with their owner
@@ -216,6 +229,15 @@ def _body(value: pa.Scalar) -> pa.RecordBatch:
     return pa.Table.from_batches(_pieces(value)).combine_chunks().to_batches()[0]
 
 
+def _chosen(value: pa.Scalar, places: list[int]) -> Iterator[pa.Array]:
+    """The texts at some places of a body, piece by piece."""
+    begin, places = 0, np.sort(np.array(places, np.int64))
+    for piece in _pieces(value):
+        a, b = np.searchsorted(places, [begin, begin + piece.num_rows])
+        yield text_of(piece).take(pa.array(places[a:b] - begin))
+        begin += piece.num_rows
+
+
 def _codes_of(texts: Iterable[pa.Array]) -> np.ndarray:
     """The distinct n-grams of texts that come piece by piece."""
     own = [np.unique(_word_codes(part)[3]) for piece in texts for part in slices(piece, ALNUM) if len(part.word)]
@@ -275,7 +297,7 @@ def asked(blocks: DataFrame) -> DataFrame:
                 if len(code):
                     yield _send(4, block, code)
 
-    return blocks.select("block", "body").mapInArrow(run, _SENT)
+    return blocks.select("block", "body").mapInArrow(released(run), _SENT)
 
 
 def taught(blocks: DataFrame, labelled: DataFrame) -> DataFrame:
@@ -284,19 +306,18 @@ def taught(blocks: DataFrame, labelled: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             for block, body, marks in zip(batch.column("block").to_pylist(), batch.column("body"), batch.column("marks").to_pylist()):
-                texts = text_of(_body(body))
                 for kind in range(4):
-                    chosen = texts.take(pa.array([m["place"] for m in marks if m["toxic"] + 2 * m["held"] == kind], pa.int64()))
                     own = []
-                    for part in slices(chosen, ALNUM):
-                        if len(part.word):
-                            _, count, size, code = _word_codes(part)
-                            own.append(_summed(code, np.repeat(count, size - 1)))
+                    for texts in _chosen(body, [m["place"] for m in marks if m["toxic"] + 2 * m["held"] == kind]):
+                        for part in slices(texts, ALNUM):
+                            if len(part.word):
+                                _, count, size, code = _word_codes(part)
+                                own.append(_summed(code, np.repeat(count, size - 1)))
                     if own:
                         yield _send(kind, block, *_summed(np.concatenate([c for c, _ in own]), np.concatenate([n for _, n in own])))
 
     marks = labelled.groupBy("block").agg(F.collect_list(F.struct("place", "toxic", "held")).alias("marks"))
-    return blocks.select("block", "body").join(marks.hint("shuffle_hash"), "block").mapInArrow(run, _SENT)
+    return blocks.select("block", "body").join(marks.hint("shuffle_hash"), "block").mapInArrow(released(run), _SENT)
 
 
 def base(sent: DataFrame, kinds: tuple[int, ...]) -> Base:
@@ -309,7 +330,7 @@ def base(sent: DataFrame, kinds: tuple[int, ...]) -> Base:
             own, n = _summed(_cut(code, 3), np.where(_has(code, 3), 0, n))
             yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(n.astype(np.int64))], ["code", "n"])
 
-    three = sent.where(F.col("kind").isin(*kinds)).select("codes", "n").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    three = sent.where(F.col("kind").isin(*kinds)).select("codes", "n").mapInArrow(released(run), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
     pairs = three.groupBy(F.col("code").bitwiseAND(0xFFFF).alias("code")).agg(
         F.sum(F.col("n") + (F.col("code") > 0xFFFF).cast("long")).alias("n")).toPandas()
     return Base(pairs["code"].to_numpy(np.int64), pairs["n"].to_numpy(np.float64))
@@ -353,7 +374,7 @@ def answered(sent: DataFrame, models: list[tuple[Base, tuple[int, ...]]]) -> Dat
                     *(told if i == which else pa.nulls(b - a, pa.binary()) for i in range(len(models)))], names)
 
     dealt = sent.repartition("shard").sortWithinPartitions("shard", "kind")
-    return dealt.mapInArrow(run, ", ".join(["block long", "shard int", "kind int", *(f"{n} binary" for n in names[3:])]))
+    return dealt.mapInArrow(released(run), ", ".join(["block long", "shard int", "kind int", *(f"{n} binary" for n in names[3:])]))
 
 
 def features(part: Slice, code: np.ndarray, ratio_of: np.ndarray) -> np.ndarray:
@@ -458,16 +479,15 @@ class Scorer:
         def run(batches):
             for batch in batches:
                 for body, marks, got in zip(batch.column("body"), batch.column("marks").to_pylist(), batch.column("got").to_pylist()):
-                    texts = text_of(_body(body))
                     for toxic in (0, 1):
-                        mine = texts.take(pa.array([m["place"] for m in marks if m["toxic"] == toxic], pa.int64()))
+                        mine = pa.concat_arrays(list(_chosen(body, [m["place"] for m in marks if m["toxic"] == toxic])))
                         x = _block_features(mine, [g for g in got or [] if g["kind"] == toxic + 2])
                         yield pa.RecordBatch.from_arrays([pa.array([toxic] * len(x), pa.int32()), *(pa.array(x[:, i]) for i in range(3))], ["toxic", *names])
 
         names = ["x0", "x1", "x2"]
         marks = labelled.where("held = 1").groupBy("block").agg(F.collect_list(F.struct("place", "toxic")).alias("marks"))
         chosen = self.blocks.select("block", "body").join(marks.hint("shuffle_hash"), "block").join(self._ratios("r1"), "block", "left")
-        held = chosen.select("body", "marks", "got").mapInArrow(run, "toxic int, x0 double, x1 double, x2 double").limit(2 * CALIBRATION_ROWS).toPandas()
+        held = chosen.select("body", "marks", "got").mapInArrow(released(run), "toxic int, x0 double, x1 double, x2 double").limit(2 * CALIBRATION_ROWS).toPandas()
         x, y = held[names].to_numpy(), held["toxic"].to_numpy()
         # Each class weighs what it does among all labelled rows.
         share = np.array([sum(n for (toxic, _), n in mass.items() if toxic == label) for label in (0, 1)]) / sum(mass.values())
@@ -498,7 +518,7 @@ class Scorer:
                         yield pa.RecordBatch.from_arrays([*own.columns, pa.array(1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30))))], names)
 
         told = self.blocks.select("block", "body").join(self._ratios("r0"), "block", "left")
-        return told.select("body", "got").mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(out, T.DoubleType())])), out
+        return told.select("body", "got").mapInArrow(released(run), T.StructType([*rows.schema.fields, T.StructField(out, T.DoubleType())])), out
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -62,3 +62,20 @@ def test_all_but_the_last_stage_return_the_columns_of_documents(spark, tmp_path)
         out = stage(spark, docs, str(tmp_path))
         assert out.schema.names == docs.columns and out.count() == 0
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_python_workers_get_batches_of_bounded_bytes(spark, tmp_path):
+    import pyarrow as pa
+
+    documents(spark, [(i, "x" * 100_000) for i in range(100)]).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+
+    @corpus_pipeline.stage
+    def sizes(spark, docs, sf_dir):
+        def run(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes], pa.int64())], ["n"])
+
+        return docs.mapInArrow(run, "n long")
+
+    got = [r.n for r in sizes(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path)).collect()]
+    assert sum(got) >= 10_000_000 and max(got) < 1.2 * corpus_pipeline.BATCH_BYTES

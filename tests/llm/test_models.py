@@ -153,6 +153,36 @@ def test_toxicity_reads_blocks_in_pieces_and_keeps_no_lessons(labelled, monkeypa
     assert kept and not any("codes" in t.columns for t in kept)
 
 
+def test_toxicity_blocks_gather_small_batches(spark):
+    rows = documents(spark, [(i, prose(i, 40)) for i in range(300)]).coalesce(1).select("doc_id", "text")
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", 4_000)
+    try:
+        blocks = toxicity._blocks(rows).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", before)
+    assert len(blocks) == 1 and len(list(toxicity._pieces(toxicity.pa.scalar(bytes(blocks[0].body))))) > 5
+    assert sorted(blocks[0].ids) == list(range(300))
+    places = [250, 3, 100]
+    got = [t for piece in toxicity._chosen(toxicity.pa.scalar(bytes(blocks[0].body)), places) for t in piece.to_pylist()]
+    assert got == [prose(blocks[0].ids[p], 40) for p in sorted(places)]
+
+
+def test_words_are_hashed_in_little_memory():
+    import tracemalloc
+
+    from roispark.llm.text import SPACED, slices
+
+    texts = toxicity.pa.array([prose(i, 2_000) for i in range(300)], toxicity.pa.large_string())
+    size = texts.buffers()[2].size
+    tracemalloc.start()
+    try:
+        words = [len(part.word) for part in slices(texts, SPACED, 1 << 22)]
+        assert sum(words) == 600_000 and tracemalloc.get_traced_memory()[1] < 24 * size
+    finally:
+        tracemalloc.stop()
+
+
 def test_toxicity_counts_all_rows_and_needs_no_second_class(spark):
     """Every toxic label is in the fold that fits the last step, or none is: the models still reject."""
     import zlib
