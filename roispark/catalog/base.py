@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from roispark.functions import bits
 from roispark.operators import matching, metrics, overlap
 from roispark.schema import K
-from roispark.session import materialize
+from roispark.session import collecting, settled
 from roispark.sources import fixtures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,12 +22,14 @@ _MEMO: dict[tuple, DataFrame] = {}
 
 
 def shared_table(name: str):
-    """An intermediate that several queries read is written once per session and input."""
+    """An intermediate that several queries read is written once per session and input; what was written on the way
+    is deleted, but for other such tables, which outlive whoever asked for them first."""
     def wrap(build):
         def get(spark: SparkSession, sf_dir: str) -> DataFrame:
             key = (spark.sparkContext.applicationId, sf_dir, name)
             if key not in _MEMO:
-                _MEMO[key] = materialize(build(spark, sf_dir))
+                with collecting([]):
+                    _MEMO[key] = settled(lambda: build(spark, sf_dir))
             return _MEMO[key]
         return get
     return wrap

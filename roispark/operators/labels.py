@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roispark.functions import bits
@@ -44,19 +44,21 @@ def level_spacing(ranked_levels: DataFrame, keys: list[str] = K) -> DataFrame:
         (F.max("_gap") - F.min("_gap") <= 2).alias("evenly_spaced"))
 
 
+def _extents() -> list[Column]:
+    return [F.count(F.lit(1)).alias("pixel_count"), F.min("x").alias("min_x"), F.max("x").alias("max_x"),
+            F.min("y").alias("min_y"), F.max("y").alias("max_y"), F.avg("x").alias("center_x"), F.avg("y").alias("center_y")]
+
+
 def label_summary(roi_pixels: DataFrame, keys: list[str] = K) -> DataFrame:
     """L3: pixel count, bounding box, centre and original level per ROI."""
-    return roi_pixels.groupBy(*keys, "roi").agg(
-        F.count(F.lit(1)).alias("pixel_count"), F.min("x").alias("min_x"), F.max("x").alias("max_x"),
-        F.min("y").alias("min_y"), F.max("y").alias("max_y"), F.avg("x").alias("center_x"),
-        F.avg("y").alias("center_y"), F.min("level").alias("level"))
+    return roi_pixels.groupBy(*keys, "roi").agg(*_extents(), F.min("level").alias("level"))
 
 
 def image_summary(label_pixels: DataFrame, keys: list[str] = K) -> DataFrame:
     """L1 and L3 of label images in one pass over the pixels: they are counted per level, and the levels that were
-    found, one row each, get their ROI ids afterwards."""
-    per_level = materialize(label_summary(label_pixels.where("level <> 0").withColumn("roi", F.col("level")), keys).drop("roi"))
-    return per_level.join(levels(per_level, keys).select(*keys, "level", "roi"), [*keys, "level"]).select(
+    found, one row each, are ranked with what was counted."""
+    per_level = materialize(label_pixels.where("level <> 0").groupBy(*keys, "level").agg(*_extents()))
+    return ranked(per_level, keys, ["level"], "roi", None).select(
         *keys, "roi", *[c for c in per_level.columns if c not in (*keys, "level")], "level")
 
 

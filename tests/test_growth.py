@@ -1,13 +1,16 @@
 """Plans and intermediate tables that must not grow into one task or the driver."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows
+from roispark.catalog import base
 from roispark.functions import bits
 from roispark.operators import labels, matching, metrics, overlap, registration
 from roispark.schema import OBJ, PAIR
-from roispark.session import collecting
+from roispark.session import collecting, materialize
 from roispark.sources import fixtures, io
 
 DATA = "/root/testdata/sf0.001"
@@ -115,6 +118,42 @@ def test_summary_equals_that_of_relabelled_pixels(spark):
     assert all("x" not in t.columns for t in written)
 
 
+def test_label_images_are_made_where_their_objects_were_dealt(spark, tmp_path):
+    # Twice the same order, objects that cross a band or lie over each other, one below zero, one without a customer.
+    orders = [(5, 3), (5, 3), (8, 3), (605, 7), (608, 7), (611, 900), (1, -8), (2, None)] + [(k, k * k) for k in range(1200, 1800)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    plain = fixtures.roi_pixels(spark, str(tmp_path)).groupBy("acquisition_id", "channel", "x", "y").agg(
+        (F.min("object_id") * 97).alias("level"))
+    got = fixtures.label_pixels(spark, str(tmp_path))
+    assert got.columns == plain.columns and rows(got) == rows(plain)
+    moved = exchanged_parts(got)
+    assert moved and not [line for line in moved if "AS x#" in line or "bit_or" in line]
+
+
+def test_levels_are_ranked_with_what_was_counted(spark, monkeypatch):
+    monkeypatch.setattr(labels, "levels", None)
+    px = spark.createDataFrame([(1, 0, x, y, v) for v, x, y in ((970, 3, 0), (970, 4, 2), (97, 9, 9), (0, 1, 1))],
+                               "acquisition_id long, channel long, x long, y long, level long")
+    got = rows(labels.image_summary(px), "roi", "level", "pixel_count", "min_x", "max_y", "center_x")
+    assert got == [(1, 97, 1, 9, 9, 9.0), (2, 970, 2, 3, 2, 3.5)]
+
+
+def test_tables_on_the_way_to_a_shared_table_are_deleted(spark):
+    seen, folder = [], spark.conf.get("spark.checkpoint.dir")
+
+    def inner(session, name):
+        return session.range(3)
+
+    def outer(session, name):
+        seen.append(materialize(shared(session, name)))
+        return seen[0].join(shared(session, name), "id")
+
+    shared = base.shared_table("inner of a test")(inner)
+    found = base.shared_table("outer of a test")(outer)(spark, "none")
+    assert not os.path.exists(seen[0]._scratch_path) and os.path.exists(found._scratch_path)
+    assert shared(spark, "none").count() == found.count() == 3 and found._scratch_path.startswith(folder)
+
+
 def test_an_object_is_measured_once_per_signal(spark):
     px = spark.createDataFrame([(1, c, o, x, 0) for c, o in ((0, 10), (1, 20), (2, 30)) for x in range(4)],
                                "acquisition_id long, channel long, object_id long, x long, y long")
