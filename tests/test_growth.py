@@ -130,6 +130,16 @@ def test_label_images_are_made_where_their_objects_were_dealt(spark, tmp_path):
     assert moved and not [line for line in moved if "AS x#" in line or "bit_or" in line]
 
 
+def test_pixels_of_a_label_lie_together(spark):
+    # Small tables would be merged into one task, where all of them do.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        pieces = fixtures.label_pixels(spark, DATA).select("level", F.spark_partition_id().alias("p")).distinct().groupBy("level").count()
+        assert pieces.agg(F.avg("count")).first()[0] < 1.3
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_levels_are_ranked_with_what_was_counted(spark, monkeypatch):
     monkeypatch.setattr(labels, "levels", None)
     px = spark.createDataFrame([(1, 0, x, y, v) for v, x, y in ((970, 3, 0), (970, 4, 2), (97, 9, 9), (0, 1, 1))],
