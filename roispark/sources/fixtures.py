@@ -171,8 +171,9 @@ def field_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def centroids_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return roi_pixels(spark, sf_dir).where("channel = 1").groupBy(
-        "acquisition_id", "object_id").agg(F.avg("x").alias("x"), F.avg("y").alias("y"))
+    # By channel too, as the objects were dealt: the pixels of an object lie together.
+    return roi_pixels(spark, sf_dir).where("channel = 1").groupBy(*K, "object_id").agg(
+        F.avg("x").alias("x"), F.avg("y").alias("y")).drop("channel")
 
 
 def centroids_moving(spark: SparkSession, sf_dir: str) -> DataFrame:

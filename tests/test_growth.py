@@ -2,6 +2,7 @@
 
 import os
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -193,3 +194,41 @@ def test_first_bids_move_the_edges_once(spark, monkeypatch):
                                   "acquisition_id long, moving_id long, fixed_id long, mx double, my double, fx double, fy double, d2 double")
     assert rows(registration.assign_pairs(pairs, 10.0), "moving_id", "fixed_id") == [(1, 2), (2, 1)]
     assert "Join" not in next(p for p in plans if "MapInPandas" in p)
+
+
+def test_acquisitions_of_one_tile_are_solved_without_bidding_tables(spark):
+    points = [(1, i, float(x), float(y)) for i, (x, y) in enumerate(((-3, 0), (0, 0), (12, 0), (12, 5), (47.5, 48), (48, 60)))]
+    moving = spark.createDataFrame(points, "acquisition_id long, object_id long, x double, y double")
+    fixed = moving.select("acquisition_id", (F.col("object_id") + 10).alias("object_id"), (F.col("x") + 4).alias("x"), "y")
+    pairs = registration.gated_pairs(moving, fixed, 12.0)
+    near = {(i, j + 10) for _, i, x, y in points for _, j, u, v in points if (x - u - 4) ** 2 + (y - v) ** 2 <= 144}
+    assert set(rows(pairs, "moving_id", "fixed_id")) == near and pairs.count() == len(near)
+    written = []
+    with collecting(written):
+        assert rows(registration.assign_pairs(pairs, 12.0), "moving_id", "fixed_id") == [(i, i + 10) for i in range(6)]
+    assert written and not [t for t in written if "person" in t.columns]
+
+
+def test_best_edges_save_as_much_as_any_matching():
+    rng, single = np.random.default_rng(3), 2.02 * 100
+
+    def most(edges, used=frozenset()):
+        if not edges:
+            return 0.0
+        (m, f, w), rest = edges[0], edges[1:]
+        return max(most(rest, used), w + most(rest, used | {m, f}) if not used & {m, f} else 0.0)
+
+    for clash in (1, 3, 30):
+        group, moving, fixed, d2 = [], [], [], []
+        for g in range(40):
+            for k in rng.choice(16, 8, replace=False):
+                group.append(g), moving.append(k // 4), fixed.append(100 + k % 4), d2.append(float(rng.integers(0, 100) // clash))
+        group, moving, fixed, d2 = (np.array(v) for v in (group, moving, fixed, d2))
+        order = np.lexsort((fixed, d2, moving, group))
+        group, moving, fixed, d2 = group[order], moving[order], fixed[order], d2[order]
+        got = registration._best_edges(group, moving, fixed, d2, single, registration._scaling(single))
+        for g in range(40):
+            mine = got[group[got] == g]
+            assert len(set(moving[mine])) == len(set(fixed[mine])) == len(mine)
+            all_ = [(m, f, single - v) for m, f, v in zip(moving[group == g], fixed[group == g], d2[group == g])]
+            assert abs((single - d2[mine]).sum() - most(all_)) < 1e-4
