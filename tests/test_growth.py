@@ -242,13 +242,18 @@ def test_values_under_a_set_are_one_list_a_place_and_images_dealt_by_band_stay(s
     words = bits.pack(px, OBJ)
     lists = metrics.pixel_values(words, images, OBJ)
     # Rows 14 and 15, row 16; row 17 is outside of the image, x = 32 is not a number.
-    assert sorted(sorted(r[0]) for r in rows(lists.select("v"))) == [[14.0, 14.0, 15.0, 15.0], [14.0, 15.0], [16.0], [16.0, 16.0]]
+    assert lists.where("v IS NOT NULL").isEmpty() and dict(lists.dtypes)["narrow"] == "array<smallint>"
+    assert sorted(sorted(r[0]) for r in rows(lists.select(metrics.whole_values(lists)))) == [[14.0, 14.0, 15.0, 15.0], [14.0, 15.0], [16.0], [16.0, 16.0]]
     both = metrics.pixel_values(words.withColumn("_s", F.array(F.lit(0).cast("long"), F.lit(1).cast("long"))), images, [*OBJ, "_s"], "_s")
     assert sorted(set(r[0] for r in rows(both.select("_s")))) == [0, 1] and both.count() == 8
     one = metrics.intensity_stats(words, images, OBJ).first()
     values = [14.0, 14.0, 14.0, 15.0, 15.0, 15.0, 16.0, 16.0, 16.0]
     assert (one.measured_px, one.integrated_intensity, one.median_intensity, one.min_intensity, one.max_intensity) == (9, 135.0, 15.0, 14.0, 16.0)
     assert abs(one.intensity_sd - np.std(values)) < 1e-12 and abs(one.p95_intensity - np.percentile(values, 95)) < 1e-12
+    for odd in (70000.0, -1.0, 0.5):
+        wide = images.withColumn("pixel_values", F.transform("pixel_values", lambda v: v + odd))
+        assert metrics.pixel_values(words, wide, OBJ).where("narrow IS NOT NULL").count() == (odd == -1.0) * 4
+        assert metrics.intensity_stats(words, wide, OBJ).first().min_intensity == 14.0 + odd
     none = metrics.intensity_stats(words.withColumn("bits", F.lit(1).cast("long")).where("seg = 1"), images, OBJ).first()
     assert none.measured_px == 0 and [none[c] for c in none.asDict() if c not in (*OBJ, "measured_px")] == [None] * 8
     dealt = fixtures.image_bands(spark, DATA)
@@ -264,3 +269,13 @@ def test_known_shared_words_are_not_made_again(spark):
     got = overlap.overlap_counts(words, [(1, 0)], shared=shared)
     assert rows(got, *PAIR, "shared_area") == [(1, 1, 0, 10, 0, 4)]
     assert not [line for line in got._jdf.queryExecution().executedPlan().toString().splitlines() if "bit_or" in line and "Join" in line]
+
+
+def test_shapes_stay_where_their_words_were_dealt(spark):
+    words = materialize(fixtures.roi_words(spark, DATA))
+    sizes = materialize(fixtures.pixel_sizes(spark, DATA))
+    got = metrics.roi_metrics(words, fixtures.image_bands(spark, DATA), sizes)
+    assert not [line for line in exchanged_parts(got) if "ArrowEvalPython" in line]
+    assert got.columns[-9:] == ["mean_intensity", "median_intensity", "intensity_sd", "min_intensity", "p05_intensity", "p95_intensity",
+                                "max_intensity", "integrated_intensity", "measured_px"]
+    assert got.where("convex_hull_area_um2 IS NULL OR mean_intensity IS NULL").isEmpty()
